@@ -1,10 +1,11 @@
 """The registered queries of this subpackage and their SQL."""
 
-from quire.llm import bpe, langid, tokencount, topk, warc
+from quire.llm import bpe, langid, tokencount, topk, warc, webp
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op4_bpe": bpe.op4_bpe,
+    "op7_webp": webp.op7_webp,
     "op8_topk": topk.op8_topk,
     "op9_warc": warc.op9_warc,
     "op10_tokencount": tokencount.op10_tokencount,
