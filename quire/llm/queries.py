@@ -1,10 +1,12 @@
 """The registered queries of this subpackage and their SQL."""
 
-from quire.llm import bpe, langid, tokencount, topk, warc, webp
+from quire.llm import bpe, langid, linededup, mixing, tokencount, topk, warc, webp
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
+    "op2_mixing": mixing.op2_mixing,
     "op4_bpe": bpe.op4_bpe,
+    "op6_linededup": linededup.op6_linededup,
     "op7_webp": webp.op7_webp,
     "op8_topk": topk.op8_topk,
     "op9_warc": warc.op9_warc,
