@@ -84,7 +84,7 @@ def number_depth(text: Column) -> Column:
     """Dots of a leading section number, plus one, 6 at most; null without a number."""
     s = strip(text)
     number = F.coalesce(F.nullif(F.regexp_extract(s, NUMBER, 1), F.lit("")), F.nullif(F.regexp_extract(s, LETTER_NUMBER, 1), F.lit("")))
-    return F.least(F.length(number) - F.length(F.replace(number, F.lit("."))) + 1, F.lit(6))
+    return F.when(number.isNotNull(), F.least(F.length(number) - F.length(F.replace(number, F.lit("."))) + 1, F.lit(6)))
 
 
 def level_of_numbering(text: Column) -> Column:

@@ -32,10 +32,10 @@ def collapsed(starts: DataFrame, keep_last: bool = False) -> DataFrame:
     return groups.select("doc_id", "pos", "start_page", (last["title"] if keep_last else joined).alias("title"), (last["level"] if keep_last else F.col("all")[0]["level"]).alias("level"))
 
 
-def with_front_matter(chapters: DataFrame, title=F.lit(FRONT)) -> DataFrame:
+def with_front_matter(chapters: DataFrame, title: str = FRONT) -> DataFrame:
     """A first interval from page 1 where a document's first chapter starts later."""
     first = chapters.groupBy("doc_id").agg(F.min("start_page").alias("s"), F.min("pos").alias("p")).where("s > 1")
-    front = first.select("doc_id", (F.col("p") - 1).alias("pos"), title.alias("title"), F.lit(1).alias("start_page"), (F.col("s") - 1).alias("end_page"), F.lit(1).alias("level"))
+    front = first.select("doc_id", (F.col("p") - 1).alias("pos"), F.lit(title).alias("title"), F.lit(1).alias("start_page"), (F.col("s") - 1).alias("end_page"), F.lit(1).alias("level"))
     return chapters.select("doc_id", "pos", "title", "start_page", "end_page", "level").unionByName(front)
 
 
