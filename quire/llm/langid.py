@@ -27,7 +27,8 @@ from quire.llm.common import arrow_map, slices
 
 DOCS_PER_LANGUAGE = 1500
 SWITCH = 14.0
-SMOOTHING = 0.05
+#: Share of the probability that is spread evenly over all trigrams.
+SMOOTHING = 0.02
 #: A script belongs to a language that writes at least this share of its letters in it.
 SCRIPT_SHARE = 0.01
 #: Words that a worker remembers before it starts anew; bounds its memory.
@@ -65,10 +66,10 @@ class Model:
         self.scripts: dict[str, np.ndarray] = {}
         for j, language in enumerate(self.languages):
             own, letters = counts[language], {}
-            total = math.log(sum(own.values()) + SMOOTHING * (len(grams) + 1))
-            self.logs[:, j] = math.log(SMOOTHING) - total
+            total, floor = sum(own.values()), SMOOTHING / (len(grams) + 1)  # alike for languages with much and with little text
+            self.logs[:, j] = math.log(floor)
             for g, c in own.items():
-                self.logs[self.row[g], j] = math.log(c + SMOOTHING) - total
+                self.logs[self.row[g], j] = math.log((1 - SMOOTHING) * c / total + floor)
                 name = script(g[1])
                 letters[name] = letters.get(name, 0) + c
             for name, c in letters.items():
@@ -183,7 +184,7 @@ def label(model: Model, text: str | None) -> tuple[str, float, list[tuple[str, i
     found = [m for m in WORDS.finditer(text or "") if any(map(str.isalpha, m[0]))]
     pred, score, labels = _label(model, [m[0] for m in found])
     out: list = []
-    for m, j in zip(found, labels, strict=True):
+    for m, j in zip(found, labels, strict=False):  # no labels if there are no languages
         name = model.languages[j]
         if out and out[-1][0] == name:
             out[-1][2] = m.end()
