@@ -104,8 +104,19 @@ def parse(text: str) -> list[tuple[str, str, int, int, str]]:
     return out
 
 
-def canonical(text: str) -> str:
-    """Canonical form: one blank line between blocks, no space at line ends, `-` bullets, pipe rows with single spaces."""
+def canonical(text: str, passes: int = 8) -> str:
+    """Canonical form: one blank line between blocks, no space at line ends, `-` bullets, pipe rows with single spaces. A text that
+    does not settle within some passes stays as it is, so the form of a form is itself."""
+    now = text
+    for _ in range(passes):
+        after = _pass(now)
+        if after == now:
+            return now
+        now = after
+    return text
+
+
+def _pass(text: str) -> str:
     blocks, last = [], -1
     for kind, _, _, b, raw in parse(text):
         if b <= last:  # an item of the list before it, or a second image of a paragraph
