@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def text_key(text: Column) -> Column:
-    """Identity of a text: SHA-256 of its UTF-8 bytes, null as empty."""
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+def light(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """A checkpointed table of a few short columns as a broadcast side if it has at most ``rows`` rows; else as it is, for a shuffle
+    join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def arrow_map(df: DataFrame, schema: str | T.StructType, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[list]]) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, stored
+from quire.llm.common import cut, light, stored
 
 DEPTH, MIN_DOCS, SIMILAR = 3, 10, 0.7
 SPACE = r"[\x20\x09-\x0D]+"
@@ -53,7 +53,7 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, sim
     leaves = each.groupBy("leaf").agg(F.sum("n").alias("total"), F.count("*").alias("variants")).where((F.col("total") >= min_docs) & (F.col("variants") > 1))
     leaves = cut(leaves)
     # the tokens of the lines of those leaves, each line once
-    texts = _addresses(_lines(docs), depth).select("leaf", "hash", "tokens").join(leaves.select("leaf"), "leaf").groupBy("leaf", "hash").agg(F.first("tokens").alias("tokens"))
+    texts = _addresses(_lines(docs), depth).select("leaf", "hash", "tokens").join(light(leaves.select("leaf")), "leaf").groupBy("leaf", "hash").agg(F.first("tokens").alias("tokens"))
     variants = cut(texts.join(each, ["leaf", "hash"]).select("leaf", "hash", "tokens", "n"))
     places = variants.select("leaf", "n", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     fixed = places.join(leaves, "leaf").where(F.col("n") * 2 > F.col("total")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
