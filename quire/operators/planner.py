@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.schemas import OVERSIZED, SLICE
+from quire.session import cut
 
 TARGET, HARD_MAX, MERGE_MIN = 20, 25, 6
 
@@ -74,7 +75,7 @@ def physical(title: Column, start: Column, end: Column, level: Column, safe: Col
     """Slices of a chapter without structure: each ends at the safe page nearest to its target, else at the first safe page beyond
     the hard maximum (flagged), else with the chapter (flagged)."""
 
-    def cut(at):
+    def piece_from(at):
         left = end - at + 1
         want, upper = at + (target - 1), F.least(at + (most - 1), end - 1)
         near, far = nearest(safe, at, want, upper), first_safe(safe, upper + 1, end - 1)
@@ -86,7 +87,7 @@ def physical(title: Column, start: Column, end: Column, level: Column, safe: Col
 
     def step(state, _):
         done = state["at"] > end
-        piece = cut(state["at"])
+        piece = piece_from(state["at"])
         return F.when(done, state).otherwise(F.struct((piece["end_page"] + 1).alias("at"), F.concat(state["out"], F.array(piece)).alias("out")))
 
     rounds = F.sequence(F.lit(0), F.greatest(end - start, F.lit(0)))
@@ -161,6 +162,7 @@ def plan(documents: DataFrame, target: int = TARGET, most: int = HARD_MAX, least
     documents: doc_id, last_page, chapters array<struct<title,start_page,end_page,level,sections array<struct<title,start_page,
     end_page,level>>>>, safe array<int> (pages after which a cut is safe), texts map<int,string>."""
     rows = documents.withColumn("groups", small_groups(F.transform("chapters", lambda c: F.struct(c["title"], c["start_page"], c["end_page"], c["level"])), target, least))
+    rows = cut(rows)
     one = lambda g: F.get(F.filter("chapters", lambda c: (c["start_page"] == g["start_page"]) & (c["end_page"] == g["end_page"])), F.lit(0))
 
     def slices(g):
@@ -171,12 +173,12 @@ def plan(documents: DataFrame, target: int = TARGET, most: int = HARD_MAX, least
         split = F.when((F.size(packs) > 0) & ~useless, packs).otherwise(physical(title, g["start_page"], g["end_page"], g["level"], F.col("safe"), target, most))
         return F.when((g["count"] > 1) | (_pages(g) <= most), F.array(whole)).otherwise(split)
 
-    rows = rows.withColumn("base", F.flatten(F.transform("groups", slices)))
+    rows = cut(rows.withColumn("base", F.flatten(F.transform("groups", slices))))  # each step reads the one before it many times
     big = F.filter("chapters", lambda c: _pages(c) > most)
     tails = lambda a: F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
     starts = F.concat(F.transform(tails(F.col("chapters")), lambda c: c["start_page"]), F.flatten(F.transform(big, lambda c: F.transform(tails(F.coalesce(c["sections"], F.array().cast("array<struct<title:string,start_page:int,end_page:int,level:int>>"))), lambda s: s["start_page"]))))
     rows = rows.withColumn("starts", starts)
-    rows = rows.withColumn("base", moved_boundaries(F.col("base"), F.col("safe"), F.col("starts"), F.col("last_page"), most))
+    rows = cut(rows.withColumn("base", moved_boundaries(F.col("base"), F.col("safe"), F.col("starts"), F.col("last_page"), most)))
     rows = rows.withColumn("base", with_overlap(F.col("base"), F.col("starts"), F.coalesce("texts", F.create_map().cast("map<int,string>")), most))
     return rows.select("doc_id", F.posexplode(settled_flags(F.col("base"), most)).alias("pos", "s")).select("doc_id", (F.col("pos") + 1).alias("pos"), "s.*")
 

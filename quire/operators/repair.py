@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.session import cut
 
 PRIORITY = {"heading": 0, "paragraph": 1, "list_item": 2, "code": 3, "table": 4, "image": 5}
 
@@ -158,10 +159,12 @@ def join_paragraphs(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def repair(blocks: DataFrame, drafts: DataFrame, titles: DataFrame, missing: DataFrame, captions: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
-    """All passes in their order: code, completeness, structure, style."""
-    rows = merge_code(recover_code(blocks, drafts, key), key)
-    rows = structure(restored(top_heading(rows, titles, key), missing, key), captions, key)
-    return join_paragraphs(heading_levels(rows, key), key)
+    """All passes in their order: code, completeness, structure, style. The plan is cut between the groups, since each pass reads
+    its predecessor's columns more than once."""
+    rows = cut(merge_code(recover_code(blocks, drafts, key), key))
+    rows = cut(restored(top_heading(rows, titles, key), missing, key))
+    rows = cut(structure(rows, captions, key))
+    return join_paragraphs(cut(heading_levels(rows, key)), key)
 
 
 def fixes(blocks: DataFrame, key: str = "doc_id") -> DataFrame:

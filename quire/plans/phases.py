@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from quire.functions import markdown as M
 from quire.functions import text as T
 from quire.operators import align, blocks, chapters, merge, planner, repair, tables
+from quire.session import cut
 
 
 def slice_phase(toc: DataFrame, layout: DataFrame, texts: DataFrame, target: int = planner.TARGET) -> DataFrame:
     """Slices of laid-out documents; texts: doc_id, page, text."""
     pages = layout.groupBy("doc_id").agg(F.max("page").alias("total_pages"))
-    found = chapters.recognize(toc, layout, pages)
-    inner = chapters.sections(found, toc, layout).groupBy("doc_id", "chapter").agg(F.array_sort(F.collect_list(F.struct("start_page", "end_page", "title", "level"))).alias("s"))
+    pages = cut(pages)
+    found = cut(chapters.recognize(toc, layout, pages))
+    inner = cut(chapters.sections(found, toc, layout)).groupBy("doc_id", "chapter").agg(F.array_sort(F.collect_list(F.struct("start_page", "end_page", "title", "level"))).alias("s"))
     inner = inner.select("doc_id", F.col("chapter").alias("pos"), F.transform("s", lambda x: F.struct(x["title"].alias("title"), x["start_page"].alias("start_page"), x["end_page"].alias("end_page"), x["level"].alias("level"))).alias("sections"))
     nested = found.join(inner, ["doc_id", "pos"], "left").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "title", "start_page", "end_page", "level", "sections"))).alias("c"))
     nested = nested.select("doc_id", F.transform("c", lambda x: F.struct(x["title"].alias("title"), x["start_page"].alias("start_page"), x["end_page"].alias("end_page"), x["level"].alias("level"), x["sections"].alias("sections"))).alias("chapters"))
-    safe = blocks.boundaries(layout).groupBy("doc_id").agg(F.collect_list(F.when(F.col("safe"), F.col("page"))).alias("safe"))
+    safe = cut(blocks.boundaries(layout)).groupBy("doc_id").agg(F.collect_list(F.when(F.col("safe"), F.col("page"))).alias("safe"))
     words = texts.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("page", "text"))).alias("texts"))
     rows = nested.join(pages.withColumnRenamed("total_pages", "last_page"), "doc_id").join(safe, "doc_id").join(words, "doc_id", "left")
     return planner.slice_names(planner.plan(rows, target))
@@ -52,23 +54,24 @@ def format_phase(content: DataFrame, drafts: DataFrame, strict: bool = False) ->
     b, t, i, pages = exploded(content)
     b = b.withColumn("norm", T.normalized(F.coalesce("text", F.lit(""))))
     parsed = M.segments(drafts, ["doc_id"])
-    segments = parsed.withColumn("norm", T.normalized(F.coalesce("text", F.lit(""))))
+    b, segments = cut(b), cut(parsed.withColumn("norm", T.normalized(F.coalesce("text", F.lit("")))))
     placed = b.withColumns({"ordinal": F.xxhash64("page", "at"), "source_page": F.col("page")})
-    found = align.align(placed, segments)
+    found = cut(align.align(placed, segments))
     ts, im = align.matched_tables(t, segments, strict=strict), align.matched_images(i, segments, drafts)
     lost = align.overlap_issues(pages.withColumnRenamed("page", "source_page"))
     problems = align.issues(found, ts, im).unionByName(lost.select("doc_id", "issue_type", "severity", F.col("source_page").cast("string").alias("node_ref"), F.lit("Overlap page has no text").alias("message"), F.lit(True).alias("auto_fixable")))
+    problems = cut(problems)
     levels = b.join(draft_levels(drafts), ["doc_id", "norm"], "left").withColumn("level", F.coalesce(F.nullif("heading_level", F.lit(0)), "draft_level", T.heading_level(F.col("text"))))
     text_rows = levels.select("doc_id", "page", "reading_order", "block_type", T.block_markdown(F.col("block_type"), F.col("text"), F.col("level")).alias("markdown"), F.col("dedupe_key").alias("node_ref"), "is_overlap", F.col("at").alias("ordinal"))
     shown = tables.table_markdown(F.struct(*(F.col(c) for c in ("markdown", "headers", "rows", "fallback_html", "fallback_image"))))
     table_rows = t.withColumn("m", shown).select("doc_id", "page", "reading_order", F.lit("table").alias("block_type"), F.coalesce("m.markdown", F.concat(F.lit("<!-- table "), "node_ref", F.lit(": no content available -->"))).alias("markdown"), "node_ref", "is_overlap", (F.col("at") + 100_000).alias("ordinal"), F.col("m.fix").alias("fix"))
     image_rows = i.select("doc_id", "page", "reading_order", F.lit("image").alias("block_type"), F.when(F.coalesce("asset_path", F.lit("")) == "", F.concat(F.lit("<!-- image "), "node_ref", F.lit(": no asset path -->"))).otherwise(F.concat(F.lit("!["), F.coalesce(F.nullif("caption", F.lit("")), F.lit("image")), F.lit("]("), "asset_path", F.lit(")"))).alias("markdown"), "node_ref", "is_overlap", (F.col("at") + 200_000).alias("ordinal"))
-    rows = repair.ordered(text_rows.unionByName(table_rows.drop("fix")).unionByName(image_rows))
+    rows = cut(repair.ordered(text_rows.unionByName(table_rows.drop("fix")).unionByName(image_rows)))
     missing = problems.where("issue_type <> 'overlap_lost'").select("doc_id", "node_ref", "issue_type", F.lit(None).cast("int").alias("page")).unionByName(lost.select("doc_id", F.lit(None).cast("string").alias("node_ref"), "issue_type", F.col("source_page").cast("int").alias("page")))
     titles = content.select(F.col("slice_file").alias("doc_id"), "display_title")
-    done = repair.repair(rows, drafts, titles, missing, i.select("doc_id", "node_ref", "caption"))
+    done = cut(repair.repair(rows, drafts, titles, missing, i.select("doc_id", "node_ref", "caption")))
     raw = repair.render(done)
-    final = raw.withColumn("final", M.normalize_markdown("markdown"))
+    final = cut(raw.withColumn("final", M.normalize_markdown("markdown")))
     counts = lambda column, name: M.segments(final, ["doc_id"], column).groupBy("doc_id").agg(F.count("*").alias(name))
     assets = i.where("asset_path <> ''").groupBy("doc_id").agg(F.collect_set("asset_path").alias("asset_paths"))
     checked = final.join(counts("markdown", "before"), "doc_id", "left").join(counts("final", "after"), "doc_id", "left").join(assets, "doc_id", "left")

@@ -1,6 +1,8 @@
 """Sessions with the settings that the library expects."""
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(name: str = "quire", master: str | None = None, **conf) -> SparkSession:
@@ -17,3 +19,12 @@ def session(name: str = "quire", master: str | None = None, **conf) -> SparkSess
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` on a plan of their own: a checkpoint in the folder that the cluster names, so that what several results
+    share is computed once and survives lost executors. Only a session without that setting gets a folder of its own."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-checkpoint-"))
+    return df.checkpoint(eager=True)
