@@ -1,6 +1,7 @@
 """Command line: one subcommand a phase, over tables in folders.
 
     python -m quire.cli slice  --layouts DIR --toc FILE --texts FILE --output-dir DIR [--max-pages 20]
+    python -m quire.cli extract --input-manifest FILE --pages FILE --output-dir DIR [--no-emit-md]
     python -m quire.cli format --input-dir DIR --output-dir DIR [--overwrite] [--fail-on-manual-review]
     python -m quire.cli merge  --input-dir DIR --output-dir DIR [--overwrite] [--allow-upstream-manual-review]
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quire import schemas as S
-from quire.plans import phases
+from quire.plans import extract, phases
 from quire.session import session
 from quire.sources import layout, manifests
 
@@ -35,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--max-pages", type=int, default=20)
         elif name == "extract":
             p.add_argument("--input-manifest", required=True)
+            p.add_argument("--pages", required=True)
             p.add_argument("--emit-md", action=argparse.BooleanOptionalAction, default=True)
         else:
             p.add_argument("--input-dir", required=True)
@@ -57,9 +59,15 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         if args.phase == "extract":
             rows = manifests.slices(manifests.read(spark, args.input_manifest, "slice"))
-            bad = manifests.slice_errors(rows)
-            bad.write.mode(mode).json(f"{out}/errors")
-            return int(spark.read.schema("slice_file string, error_code string").json(f"{out}/errors").limit(1).count() > 0)
+            manifests.slice_errors(rows).write.mode(mode).json(f"{out}/errors")
+            if spark.read.schema("slice_file string, error_code string").json(f"{out}/errors").limit(1).count():
+                return 1
+            done = extract.extract_phase(spark.read.schema(extract.PAGES).json(args.pages), rows.select("slice_file", "display_title", "start_page", "end_page", "overlap_pages", "manual_review_required"))
+            for name in ("content", "records", "stats"):
+                done[name].write.mode(mode).json(f"{out}/{name}")
+            if args.emit_md:
+                extract.drafts(done["content"]).write.mode(mode).json(f"{out}/drafts")
+            return int(done["records"].where("status = 'failed'").limit(1).count() > 0)
         if args.phase == "format":
             done = phases.format_phase(spark.read.schema(S.CONTENT).json(f"{args.input_dir}/content"), spark.read.schema("doc_id string, markdown string").json(f"{args.input_dir}/drafts"))
             for name in ("coverage", "issues", "fixes", "documents"):
