@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 
+# How captions and headings begin, and what names of monospaced fonts hold.
 CAPTION = r"(?i)^\s*(图|表|figure|fig\.)"
 HEADING = r"(?i)^\s*(第[一二三四五六七八九十百零\d]+章|chapter\s+\d+|\d+\.\s+|\d+\.\d+)"
 MONO = "cour|mono|consola|code"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.operators.blocks import heading_candidates
 
+# How titles of chapters and sections begin, and the name of pages before the first chapter.
 TOP = (r"^\s*第[一二三四五六七八九十百零\d]+章(?:\b|$)", r"(?i)^\s*chapter\s+\d+\b", r"^\s*\d+\.\s+\S+")
 SUB = (r"^\s*\d+\.\d+(?:\.\d+)*\s+\S+", r"(?i)^\s*section\s+\d+(?:\.\d+)*\b")
 FRONT = "前言"
