@@ -217,21 +217,39 @@ def test_split_tree_keeps_quotas(spark):
     assert by_source == quotas and len(by_shard) == 8 and max(by_shard.values()) - min(by_shard.values()) <= 1
 
 
-def test_pipeline(spark, data, tmp_path):
+def test_pipeline_against_plain_versions(spark, data, tmp_path):
+    import tiktoken
+
     import corpus_pipeline
-    from quire.llm import langid
+    from quire.llm import bpe
 
     docs = spark.read.parquet(f"{data}/documents.parquet")
-    columns = docs.columns
-    kept = {}
+    columns, kept = docs.columns, {"": docs.collect()}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, data)
         if k < len(corpus_pipeline.STAGES) - 1:
             assert out.columns == columns
         out.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
-        kept[name] = docs.count()
-    assert kept["language_id"] == 200 and kept["near_duplicates"] < kept["line_dedup"] and kept["bpe"] == kept["source_mixing"]
+        kept[name] = docs.collect()
+    texts = {n: sorted(((r.doc_id, r.text) for r in rows)) for n, rows in kept.items() if n != "bpe"}
+    assert texts["language_id"] == texts[""]
+    lines = recurring_plain(texts["language_id"], linededup.DEPTH, linededup.MIN_DOCS, linededup.SIMILAR)
+    assert texts["line_dedup"] == sorted((d, t) for d, t in lines.items() if t.strip() or t == dict(texts[""])[d])
+    roots = jaccards([t for _, t in texts["line_dedup"]])
+    assert texts["near_duplicates"] == [texts["line_dedup"][i] for i in sorted(set(roots))]
+    assert set(texts["source_mixing"]) <= set(texts["near_duplicates"]) and max(Counter(texts["source_mixing"]).values()) <= 2
+    sizes, drawn, longest = Counter(), Counter(), Counter()
+    for r in kept["near_duplicates"]:
+        n = len(r.text.split())
+        sizes[r.source] += n
+        longest[r.source] = max(longest[r.source], n)
+    for r in kept["source_mixing"]:
+        drawn[r.source] += len(r.text.split())
+    for source, goal in goals(sizes).items():
+        assert goal - 1 <= drawn[source] <= goal + 2 * longest[source] + 1  # a document within which the quota ends stays whole
+    path, pattern = bpe.rank_file()
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load(path, pattern).ranks, special_tokens={})
+    assert Counter((r.doc_id, r.n_tokens) for r in kept["bpe"]) == Counter((d, len(library.encode_ordinary(t))) for d, t in texts["source_mixing"])
     whole = corpus_pipeline.run(spark, data)
-    assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
-    assert langid is not None
+    assert sorted(map(str, whole.collect())) == sorted(map(str, kept["bpe"]))
