@@ -30,9 +30,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, slices, stored
+from quire.llm.common import arrow_map, cut, discard, slices, stored
 
-LENGTH, GRAM, HOT = 400, 16, 1000
+LENGTH, GRAM, HOT = 400, 16, 8192
 _seed = np.random.Generator(np.random.PCG64(3))
 _BYTE = _seed.integers(0, 2**64, 256, np.uint64)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -231,6 +231,7 @@ def _hot(pieces: DataFrame) -> DataFrame:
     rows = stored(arrow_map(pieces.select("m", "r0", "r1", "piece"), "lead long, m long, p long, r0 long, r1 long, s int", _explode), "hot-strings")
     key = ["lead", "m", "p", "r0", "r1", "s"]
     marked = cut(arrow_map(rows.repartitionByRange(*key).sortWithinPartitions(*key), "lead long, m long, p long, r0 long, r1 long, s int, mark boolean, edge boolean", _sorted_bucket))
+    discard(rows)
     across = marked.where("edge").groupBy("lead", "m", "p").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     found = marked.where("mark").select("m", "r0", "r1", "s").union(marked.where("edge").join(across, ["lead", "m", "p"]).select("m", "r0", "r1", "s"))
     return found.groupBy("m", "r0", "r1").agg(F.flatten(F.transform(F.array_sort(F.collect_set("s")), lambda s: F.array(s, s))).alias("found"))
@@ -261,7 +262,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     hot_anchors = cut(shared.where(F.col("variants") > HOT).select("m").distinct())
     usual = pieces.join(hot_anchors, "m", "left_anti").repartitionByRange("token", "m").sortWithinPartitions("token", "m")
     part = cut(arrow_map(usual.select("m", "r0", "r1", "piece"), "m long, r0 long, r1 long, found array<int>", _buckets).where("size(found) > 0"))
-    hot = _hot(pieces.join(hot_anchors, "m", "left_semi").dropDuplicates(["m", "r0", "r1"]))
+    hot = cut(_hot(pieces.join(hot_anchors, "m", "left_semi").dropDuplicates(["m", "r0", "r1"])))
+    discard(pieces)
+    settle(spark)
     found = again.union(part).union(hot).groupBy("m", "r0", "r1").agg(F.flatten(F.collect_list("found")).alias("found"))
     places = runs.select("t0", "t1", "a", "m", "r0", "r1").distinct().join(found, ["m", "r0", "r1"])
     cover = places.groupBy("t0", "t1").agg(F.flatten(F.collect_list(F.transform("found", lambda x: x + F.col("a")))).alias("cover"))
