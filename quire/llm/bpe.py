@@ -21,7 +21,7 @@ from itertools import accumulate, chain
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, slices
+from quire.llm.common import arrow_map, remembers, slices
 
 #: Pre-tokens a worker remembers before it starts anew; bounds its memory.
 CACHE_ENTRIES = 400_000
@@ -184,6 +184,10 @@ class ByteBpe:
             out.append(ids)
         return out
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.chunks.clear()
+
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
@@ -212,7 +216,8 @@ def rank_file(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
 
 def _encode_rows(batches, name, ids_too):
     coder = load(*rank_file(name))
-    for batch in slices(batches):
+    remembers("bpe", coder.forget)
+    for batch in slices(batches, 4 << 20):
         ids_out, counts, id_hashes, decoded_hashes = [], [], [], []
         for ids in coder.encode_all([text or "" for text in batch.column(1).to_pylist()]):
             counts.append(len(ids))

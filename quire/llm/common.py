@@ -74,6 +74,18 @@ class ArrowRows:
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Spark uses Python workers again, so what operators remember in a worker would add up: when one begins to fill its cache, the
+    others' are emptied."""
+    for other, clear in _caches.items():
+        if other != owner:
+            clear()
+    _caches[owner] = forget
+
+
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches into pieces of about ``max_bytes``, one row at least, to bound Python memory."""
     for batch in batches:

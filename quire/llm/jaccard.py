@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, slices, stored
+from quire.llm.common import arrow_map, cut, remembers, slices, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, LABEL, RECALL = 24, 8, 0.9995
@@ -95,7 +95,8 @@ def signature(shingles: np.ndarray) -> bytes:
 
 
 def _signatures(batches):
-    for batch in slices(batches):
+    remembers("jaccard", _hashes.clear)
+    for batch in slices(batches, 4 << 20):
         nodes, labels = [], []
         for text in batch.column(2).to_pylist():
             s = shingle_set(text)
@@ -171,6 +172,7 @@ def _candidates(batches, depth):
 
 def _verified(batches, threshold):
     known: dict[bytes, np.ndarray] = {}
+    remembers("jaccard", _hashes.clear)
 
     def sets(node, text):
         found = known.get(node)
@@ -180,7 +182,7 @@ def _verified(batches, threshold):
             found = known[node] = shingle_set(text)
         return found
 
-    for batch in slices(batches):
+    for batch in slices(batches, 4 << 20):
         a, b, ta, tb = (c.to_pylist() for c in batch.columns)
         good = [jaccard(sets(x, s), sets(y, t)) >= threshold for x, y, s, t in zip(a, b, ta, tb, strict=True)]
         kept = batch.filter(pa.array(good, pa.bool_()))

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, slices
+from quire.llm.common import arrow_map, remembers, slices
 
 DOCS_PER_LANGUAGE = 1500
 SWITCH = 14.0
@@ -215,6 +215,7 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = True) -> DataFram
     """doc_id, lang_pred, score and, if wanted, spans; a map without a shuffle over the text alone."""
 
     def rows(batches):
+        remembers("langid", model.forget)
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
             found = [label(model, t) for t in texts] if with_spans else [_label(model, WORDS.findall(t or "")) for t in texts]
@@ -245,6 +246,7 @@ def stage(spark, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     def rows(batches):
         import pyarrow as pa
 
+        remembers("langid", model.forget)
         for batch in slices(batches):
             found = [_label(model, WORDS.findall(t or "")) for t in batch.column(columns.index("text")).to_pylist()]
             keep = batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found]))
