@@ -248,9 +248,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     keyed = docs.select(*text_hashes(), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"))
     runs = stored(arrow_map(keyed.where(F.octet_length("text") >= LENGTH).select("t0", "t1", "text"), f"{WHERE}, m long, r0 long, r1 long", _spread), "runs")
-    unique = runs.groupBy("m", "r0", "r1").agg(F.count("*").alias("n"), *(F.first(c).alias(c) for c in ("t0", "t1", "a", "b", "o")))
-    per_anchor = unique.groupBy("m").agg(F.count("*").alias("variants"), F.sum("n").alias("total")).where("total > 1").drop("total")
-    shared = stored(unique.join(per_anchor, "m"), "shared-runs")
+    # place: a, b - a and o - a in one number, since every byte of these rows is shuffled twice
+    place = F.shiftleft(F.col("a").cast("long"), 18) + (F.col("b") - F.col("a")) * 512 + (F.col("o") - F.col("a"))
+    unique = runs.select("m", "r0", "r1", "t0", "t1", place.alias("place")).groupBy("m", "r0", "r1").agg(F.count("*").cast("int").alias("n"), *(F.first(c).alias(c) for c in ("t0", "t1", "place")))
+    per_anchor = unique.groupBy("m").agg(F.count("*").cast("int").alias("variants"), F.sum("n").alias("total")).where("total > 1").drop("total")
+    first = F.shiftright("place", 18).cast("int")
+    ends = {"a": first, "b": first + F.shiftright("place", 9).bitwiseAND(511).cast("int"), "o": first + F.col("place").bitwiseAND(511).cast("int")}
+    shared = stored(unique.join(per_anchor, "m").withColumns(ends).drop("place"), "shared-runs")
     settle(spark)
     again = shared.where("n > 1").select("m", "r0", "r1", F.array(F.lit(0), F.col("b") - F.col("a")).alias("found"))
     asked = shared.where("variants > 1").groupBy("t0", "t1").agg(F.collect_list(F.struct("a", "b", "o", "m", "r0", "r1")).alias("wanted"))
