@@ -1,16 +1,16 @@
 """Near-duplicate join: Jaccard similarity of word shingles by a MinHash LSH forest.
 
 * Documents with one shingle set are one node (exact classes, by a 128-bit hash of the set), counted before anything is compared.
-* Forest: each of ``TREES`` trees has a label of ``LABEL`` MinHash values a node. A range partitioning sorts all labels, which makes
-  every tree a sorted prefix trie. Nodes are candidates if their labels share a prefix; prefixes are shortened from the whole label
-  until the chance that two texts at the threshold share one in some tree reaches ``RECALL`` (``prefix_length``).
-* Within the nodes under one prefix, a node is a candidate with the two before it in trie order and with the first of the run. So
-  candidates grow with the nodes, not with the square of a group, and texts that are alike have a path of candidates.
+* Forest: each of ``TREES`` trees has a label of ``LABEL`` MinHash values a node. All nodes whose labels share a prefix in some tree
+  are candidates of each other; prefixes are shortened from the whole label until the chance that two texts at the threshold share
+  one in some tree reaches ``RECALL`` (``prefix_length``). A prefix's nodes are dealt to one partition, so no border cuts them.
+* A prefix of up to ``CROWD`` nodes gives all its pairs as rows. The nodes of a larger one are joined to a group (with all that
+  they share another crowded prefix with), a hash deals a group to blocks of about ``BLOCK`` nodes, and a task compares all pairs
+  of two blocks at once. So no pair is left out, and rows are nodes times blocks, not pairs.
 * Every candidate pair is verified on the whole texts' shingle sets. Links join nodes to classes (connected components, by
   minimum labels with pointer jumping, a checkpoint each round).
 
-``n_links`` counts the verified links of a document's text to different texts, of those candidates; copies of one text are not
-expanded. Words are runs of word characters in lower case; a text of fewer than ``SHINGLE`` words is one shingle.
+``n_links`` counts the verified links of a document's text to different texts; copies of one text are not expanded. Words are runs of word characters in lower case; a text of fewer than ``SHINGLE`` words is one shingle.
 
 Defined cases: a null text, or one without words, is a class of its own; rows with a null id are named by a hash of their text and never
 represent a class that has another id; repeated rows are one document, of which ``keep_one`` keeps one row; ties go to the
@@ -27,11 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, remembers, slices, stored
+from quire.llm.common import arrow_map, cut, light, remembers, slices, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, LABEL, RECALL = 24, 8, 0.9995
-NEIGHBOURS = 2
+CROWD, BLOCK = 16, 256
+COLUMNS = 4096
 CACHE_ENTRIES = 400_000
 WORDS = re.compile(r"\w+")
 _seed = np.random.Generator(np.random.PCG64(5))
@@ -116,58 +117,105 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, size)
 
 
-def _tries(batches):
-    """One row a tree of each node: the tree's number and label, then the node."""
+def _tries(batches, depth):
+    """One row a tree of each node: the tree's number and the prefix of its label, then the node."""
     for batch in slices(batches, 1 << 20):
         node, labels = _matrix(batch.column(0), 16), _matrix(batch.column(1), TREES * LABEL * 2)
         n = len(node)
-        out = np.empty((n, TREES, 1 + 2 * LABEL), np.uint8)
+        out = np.empty((n, TREES, 1 + 2 * depth), np.uint8)
         out[:, :, 0] = np.arange(TREES)
-        out[:, :, 1:] = labels.reshape(n, TREES, 2 * LABEL)
+        out[:, :, 1:] = labels.reshape(n, TREES, 2 * LABEL)[:, :, : 2 * depth]
         yield [_binary(out.reshape(n * TREES, -1)), _binary(np.repeat(node, TREES, axis=0))]
 
 
-def _candidates(batches, depth):
-    """Pairs under one prefix in a sorted partition; the last rows and the first of a run are carried on."""
+def _candidates(batches, depth, crowd):
+    """From rows sorted by prefix and node all pairs under one prefix (a < b); of a prefix with more than ``crowd`` nodes, each with
+    the first. The run that is open at a batch's end is carried on, of a crowded one the first node."""
     size = 1 + 2 * depth
-    tail_l, tail_n = np.empty((0, 1 + 2 * LABEL), np.uint8), np.empty((0, 16), np.uint8)
-    hub_l, hub_n = tail_l, tail_n
+    held_p, held_n, crowded = np.empty((0, size), np.uint8), np.empty((0, 16), np.uint8), False
+
+    def rows(nodes, starts, sizes, first_crowded):
+        left, right, many = [], [], []
+        big = sizes > crowd
+        if len(big):
+            big[0] |= first_crowded
+        for m in np.unique(sizes[~big]).tolist():
+            if m > 1:
+                at = starts[~big & (sizes == m)]
+                i, j = np.triu_indices(m, 1)
+                left.append(nodes[(at[:, None] + i).ravel()])
+                right.append(nodes[(at[:, None] + j).ravel()])
+                many.append(np.zeros(len(at) * len(i), bool))
+        for at, m in zip(starts[big].tolist(), sizes[big].tolist(), strict=True):
+            left.append(np.repeat(nodes[at : at + 1], m - 1, axis=0))
+            right.append(nodes[at + 1 : at + m])
+            many.append(np.ones(m - 1, bool))
+        if left:
+            yield [_binary(np.concatenate(left)), _binary(np.concatenate(right)), pa.array(np.concatenate(many))]
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        labels = np.concatenate((tail_l, _matrix(batch.column(0), 1 + 2 * LABEL)))
-        nodes = np.concatenate((tail_n, _matrix(batch.column(1), 16)))
-        old, n = len(tail_l), len(labels)
-        prefix = labels[:, :size]
-        new_run = np.r_[True, (prefix[1:] != prefix[:-1]).any(1)]
-        start = np.maximum.accumulate(np.where(new_run, np.arange(n), 0))
-        at = np.arange(old, n)
-        left, right = [], []
-        for gap in range(1, NEIGHBOURS + 1):
-            i = at[(at - gap >= start[at])]
-            left.append(nodes[i - gap])
-            right.append(nodes[i])
-        hub_of = nodes[start[at]]
-        if len(hub_l) and (prefix[0] == hub_l[0, :size]).all():  # the first run began before these rows
-            first = start[at] == 0
-            hub_of = np.where(first[:, None], hub_n, hub_of)
-            far = np.where(first, True, at - start[at] > NEIGHBOURS)
-        else:
-            far = at - start[at] > NEIGHBOURS
-        left.append(hub_of[far])
-        right.append(nodes[at[far]])
-        last = start[-1]
-        if not (last == 0 and len(hub_l) and (prefix[0] == hub_l[0, :size]).all()):
-            hub_l, hub_n = labels[last : last + 1], nodes[last : last + 1]
-        tail_l, tail_n = labels[-NEIGHBOURS:], nodes[-NEIGHBOURS:]
-        a, b = np.concatenate(left), np.concatenate(right)
-        differ = a != b
-        first = np.argmax(differ, 1)
-        rows = np.arange(len(a))
-        swap, same = a[rows, first] > b[rows, first], ~differ.any(1)
-        a, b = np.where(swap[:, None], b, a)[~same], np.where(swap[:, None], a, b)[~same]
-        both = np.unique(np.concatenate((a, b), 1), axis=0)  # partly the same pairs again
-        yield [_binary(both[:, :16]), _binary(both[:, 16:])]
+        prefix = np.concatenate((held_p, _matrix(batch.column(0), size)))
+        nodes = np.concatenate((held_n, _matrix(batch.column(1), 16)))
+        starts = np.flatnonzero(np.r_[True, (prefix[1:] != prefix[:-1]).any(1)])
+        sizes = np.diff(np.r_[starts, len(nodes)])
+        yield from rows(nodes, starts[:-1], sizes[:-1], crowded)
+        last, crowded = starts[-1], crowded and len(starts) == 1
+        held_p, held_n = prefix[last:], nodes[last:]
+        if crowded or len(held_n) > crowd:
+            yield from rows(held_n, np.array([0]), np.array([len(held_n)]), True)
+            held_p, held_n, crowded = held_p[:1], held_n[:1], True
+    if len(held_n) > 1:
+        yield from rows(held_n, np.array([0]), np.array([len(held_n)]), crowded)
+
+
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share, by products of 0/1 matrices over some shingles at a time."""
+    n = len(sets)
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
+    again = seen > 1
+    place = np.cumsum(again) - 1
+    kept = again[column]
+    row, column = row[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    both = np.zeros((n, n), np.float32)
+    for lo in range(0, int(again.sum()), COLUMNS):
+        i, j = np.searchsorted(column, (lo, lo + COLUMNS))
+        m = np.zeros((n, COLUMNS), np.float32)
+        m[row[i:j], column[i:j] - lo] = 1
+        both += m @ m.T
+    return both.astype(np.int64)
+
+
+def _block_pair(threshold):
+    """All pairs of two blocks (of one, within it): each linked node with its number of links and a root it is connected with."""
+
+    def run(table: pa.Table) -> pa.Table:
+        remembers("jaccard", _hashes.clear)
+        table = table.sort_by("node")  # the smallest node is the root, the same in many block pairs
+        nodes, block = table.column("node").to_pylist(), table.column("block").to_numpy()
+        sets = [shingle_set(t) for t in table.column("text").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        both = shared(sets)
+        near = both / (sizes[:, None] + sizes[None, :] - both) >= threshold
+        np.fill_diagonal(near, False)
+        if table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
+            near &= block[:, None] != block[None, :]
+        root = np.arange(len(nodes))
+        while True:
+            least = np.minimum(root, np.where(near, root[None, :], len(nodes)).min(1))
+            least = least[least]
+            if (least == root).all():
+                break
+            root = least
+        n = near.sum(1)
+        at = np.flatnonzero(n)
+        return pa.table({"node": pa.array([nodes[i] for i in at], pa.binary()), "root": pa.array([nodes[root[i]] for i in at], pa.binary()), "n": pa.array(n[at], pa.int64())})
+
+    return run
 
 
 def _verified(batches, threshold):
@@ -209,28 +257,40 @@ def _named(docs: DataFrame):
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """Documents (doc_id, name, node) and the verified links between nodes (a, b)."""
+def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, crowd: int = CROWD, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents (doc_id, name, node), links (a, b) that connect all nodes with a path of verified pairs, and each linked node's
+    number of verified pairs (node, n_links)."""
     text = F.col("text").cast("string")
     found = stored(arrow_map(docs.select(F.col("doc_id").cast("long"), _named(docs).alias("name"), text), "doc_id long, name long, node binary, labels binary", _signatures), "signatures")
     nodes = cut(found.where("node IS NOT NULL").groupBy("node").agg(F.min("name").alias("name"), F.first("labels").alias("labels")))
     depth = prefix_length(threshold, recall)
-    tries = arrow_map(nodes.select("node", "labels"), "label binary, node binary", _tries)
-    ordered = stored(tries, "tries").repartitionByRange("label", "node").sortWithinPartitions("label", "node")
-    pairs = cut(arrow_map(ordered, "a binary, b binary", lambda batches: _candidates(batches, depth)).distinct())
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "name"), "node")
+    tries = arrow_map(nodes.select("node", "labels"), "label binary, node binary", lambda batches: _tries(batches, depth))
+    ordered = tries.repartition("label").sortWithinPartitions("label", "node")
+    met = cut(arrow_map(ordered, "a binary, b binary, crowded boolean", lambda batches: _candidates(batches, depth, crowd)).distinct())
+    groups = components(met.where("crowded").select("a", "b")).withColumnRenamed("root", "grp")
+    near = groups.select(F.col("node").alias("a"), F.col("grp").alias("ga")), groups.select(F.col("node").alias("b"), F.col("grp").alias("gb"))
+    single = met.where("NOT crowded").select("a", "b").join(near[0], "a", "left").join(near[1], "b", "left")
+    pairs = cut(single.where("ga IS NULL OR gb IS NULL OR ga <> gb").select("a", "b"))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct().join(nodes.select("node", "name"), "node")
     wanted = docs.select(_named(docs).alias("name"), text.alias("text"))
     texts = stored(wanted.join(asked, "name").select("node", "name", "text"), "candidate-texts").dropDuplicates(["node"])
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     whole = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-    return found.drop("labels"), cut(arrow_map(whole, "a binary, b binary", lambda batches: _verified(batches, threshold)))
-
-
-def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    verified = cut(arrow_map(whole, "a binary, b binary", lambda batches: _verified(batches, threshold)))
+    sizes = cut(groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
+    dealt = groups.join(light(sizes), "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sides = texts.select("node", "text").join(dealt, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = sides.select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "text")
+    inside = cut(cells.groupBy("grp", "lo", "hi").applyInArrow(_block_pair(threshold), "node binary, root binary, n long"))
+    each = verified.select(F.col("a").alias("node"), F.lit(1).alias("n")).union(verified.select("b", F.lit(1))).union(inside.select("node", "n"))
+    joined = verified.union(inside.where("node <> root").select("node", "root").distinct())
+    return found.drop("labels"), joined, each.groupBy("node").agg(F.sum("n").alias("n_links"))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, **options) -> DataFrame:
     """doc_id, name, class_id (smallest name in the class, of rows with an id if there are any) and n_links of each row."""
-    found, joined = links(docs, threshold, recall)
+    found, joined, counts = links(docs, threshold, recall, **options)
     roots = components(joined)
-    counts = joined.select(F.col("a").alias("node")).union(joined.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
     best = found.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "name")).alias("best"))
     placed = best.join(roots, "node", "left").join(counts, "node", "left").select("node", "best", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     placed = cut(placed)

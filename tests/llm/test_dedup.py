@@ -150,6 +150,31 @@ def test_classes_of_many_near_copies(spark):
     assert jaccard.keep_one(df).count() == 31
 
 
+def linked(texts):
+    """Links of every text to other texts, by unrestricted brute force over different shingle sets."""
+    sets = [jaccard.shingle_set(t) for t in texts]
+    different = {s.tobytes(): s for s in sets if len(s)}
+    count = {k: sum(jaccard.jaccard(s, o) >= 0.8 for m, o in different.items() if m != k) for k, s in different.items()}
+    return [count.get(s.tobytes(), 0) for s in sets]
+
+
+@pytest.mark.parametrize("options", [{}, {"crowd": 3, "block": 20}, {"crowd": 10_000}])
+def test_links_against_brute_force(spark, options):
+    rng = random.Random(11)
+    texts = []
+    for size, own in ((90, 2), (70, 27), (12, 2)):  # mutually near, crowded about the threshold, few
+        base = [f"w{rng.randint(0, 9999)}" for _ in range(300)]
+        tails = [[f"t{rng.randint(0, 99999)}" for _ in range(own)] for _ in range(size)]
+        texts += [" ".join(base + t if rng.random() < 0.5 else t + base) for t in tails]
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(300)]
+    texts += [" ".join(base + [f"s{rng.randint(0, 99999)}" for _ in range(60)]) for _ in range(70)]  # alike, all below the threshold
+    texts += texts[:3] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    got = jaccard.classes(df, **options).orderBy("doc_id").collect()
+    assert [r.n_links for r in got] == linked(texts)
+    assert max(r.n_links for r in got) > 80 and [r.class_id for r in got] == jaccards(texts)
+
+
 def test_classes_odd_rows(odd, none):
     rows = jaccard.classes(odd).collect()
     assert len(rows) == odd.count() and jaccard.classes(none).count() == 0
