@@ -8,7 +8,8 @@ then ``DEPTH`` leading tokens. Two kinds of templates come from a leaf:
   it if at least ``SIMILAR`` of its tokens stand in the pattern.
 
 A template recurs if at least ``MIN_DOCS`` different documents have it. Its lines are dropped everywhere but in its first document
-(smallest id), so that what many documents share is kept once.
+(smallest id), so that what many documents share is kept once. A line of at least ``LONG`` tokens recurs by itself, fields and all,
+from ``LONG_DOCS`` documents on: so long a line isn't equal by chance, a short or generalised one may be.
 
 Equal lines are counted before anything is compared, so a very frequent line is one row. Blank lines are kept.
 
@@ -25,18 +26,20 @@ from pyspark.sql import functions as F
 from quire.llm.common import cut, light, stored
 
 DEPTH, MIN_DOCS, SIMILAR = 3, 10, 0.7
+LONG, LONG_DOCS = 50, 2
 SPACE = r"[\x20\x09-\x0D]+"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Every line that isn't blank: doc, key, line_no, tokens, fields made variable."""
+    """Every line that isn't blank: doc, key, line_no, exact (hash of a long line), tokens, fields made variable."""
     key = F.xxhash64(F.coalesce("text", F.lit("")))
     doc = F.coalesce(F.col("doc_id").cast("long"), key)
     lines = docs.where("text IS NOT NULL").select(doc.alias("doc"), key.alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
     text = F.regexp_replace(F.btrim("line", F.lit(" \t\n\x0b\f\r")), SPACE, " ")
+    exact = F.when(F.regexp_count(text, F.lit(" ")) >= LONG - 1, F.xxhash64(F.lit(2), text))
     text = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace(text, r"[^ ]*[0-9][^ ]*", "<*>")).otherwise(text)
-    return lines.select("doc", "key", "line_no", F.split(text, " ").alias("tokens"))
+    return lines.select("doc", "key", "line_no", exact.alias("exact"), F.split(text, " ").alias("tokens"))
 
 
 def _addresses(lines: DataFrame, depth: int) -> DataFrame:
@@ -46,7 +49,7 @@ def _addresses(lines: DataFrame, depth: int) -> DataFrame:
 
 
 def recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, similar: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """All lines (doc, key, line_no, leaf, hash) and those that recur (leaf, hash, first)."""
+    """All lines (doc, key, line_no, exact, leaf, hash) and those that recur (leaf, hash, first)."""
     lines = stored(_addresses(_lines(docs), depth).drop("tokens"), "lines")
     each = lines.groupBy("leaf", "hash").agg(F.count_distinct("doc").alias("n"), F.min("doc").alias("first"))
     each = stored(each, "line-counts")
@@ -67,10 +70,16 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, sim
     return lines, cut(both.select("leaf", "hash", F.coalesce("pattern_first", "first").alias("first")))
 
 
-def dropped_lines(docs: DataFrame, **options) -> DataFrame:
-    """doc, key (hash of the text) and the numbers of the lines to drop, where there are any."""
+def dropped_lines(docs: DataFrame, long_docs: int | None = LONG_DOCS, **options) -> DataFrame:
+    """doc, key (hash of the text) and the numbers of the lines to drop, where there are any. Without ``long_docs`` long lines are
+    treated like others."""
     lines, again = recurring(docs, **options)
-    return lines.join(again, ["leaf", "hash"]).where(F.col("doc") != F.col("first")).groupBy("doc", "key").agg(F.collect_set("line_no").alias("drop"))
+    gone = lines.join(again, ["leaf", "hash"]).where(F.col("doc") != F.col("first")).select("doc", "key", "line_no")
+    if long_docs is not None:
+        whole = lines.where("exact IS NOT NULL").select("doc", "key", "line_no", "exact")
+        often = whole.groupBy("exact").agg(F.count_distinct("doc").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= long_docs)
+        gone = gone.union(whole.join(often, "exact").where(F.col("doc") != F.col("first")).select("doc", "key", "line_no"))
+    return gone.groupBy("doc", "key").agg(F.collect_set("line_no").alias("drop"))
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:
@@ -91,7 +100,8 @@ def op6_linededup(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; a document of which nothing is left goes. n_chars follows the text."""
-    out = dedup_lines(docs).where("n_dropped <= 0 OR trim(kept) <> ''")
+    """Documents without recurring lines; a document of which nothing is left goes. n_chars follows the text. Long lines have no
+    bound of their own here."""
+    out = dedup_lines(docs, long_docs=None).where("n_dropped <= 0 OR trim(kept) <> ''")
     fields = {"text": F.col("kept"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*(fields[c].alias(c) if fields.get(c) is not None else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -101,6 +101,22 @@ def test_lines_against_plain_version(spark):
     assert any(got[d] != t for d, t in docs)
 
 
+def test_long_lines_in_few_documents(spark, tmp_path):
+    rng = random.Random(7)
+    words = lambda n: " ".join(rng.choice("abcdefghijklmnop") + rng.choice("0xyz") for _ in range(n))
+    passages = {n: words(60) for n in range(2, 10)}
+    short, own = words(49), words(80)
+    docs = []
+    for d in range(12):
+        docs.append((d, "\n".join([words(70), own if d == 0 else words(5)] + [p for n, p in passages.items() if d < n] + ([short] if d < 9 else []) + ([own] if d == 0 else []))))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = {r.row.doc_id: r.kept for r in linededup.dedup_lines(df).collect()}
+    assert kept == {d: "\n".join(x for x in t.split("\n") if d == 0 or x not in passages.values()) for d, t in docs}
+    dropped = {r.doc_id: r.n_dropped for r in linededup.op6_linededup(spark, str(tmp_path)).collect()}
+    assert dropped == {d: sum(0 < d < n for n in passages) for d, _ in docs}
+
+
 def test_lines_odd_rows(spark, odd, none):
     assert linededup.dedup_lines(odd, min_docs=2).count() == odd.count()
     out = linededup.stage(spark, odd, "")
