@@ -1,7 +1,8 @@
 """Coverage: which blocks, tables and images of a slice its draft Markdown has.
 
 Exact matches are hash joins on the normal text. Only what is left is compared by containment and shared words, within a slice and
-only with segments that share one of the block's rarer words, which every match by words must."""
+only with segments that share one of the block's rarer words, which every match by words must, or, where a text has one or two
+words, that have a word which contains one of them."""
 
 from __future__ import annotations
 
@@ -19,13 +20,32 @@ def overlap_ratio(block_words, segment_words):
     return F.size(F.array_intersect(block_words, segment_words)) / F.size(block_words)
 
 
+def cut_words(short: DataFrame, other: DataFrame, keys: list[str], s: str, o: str, gram: int = 3) -> DataFrame:
+    """Candidates (keys, s, o) for texts (norm) of ``short`` with one or two words within texts of ``other``: the longer word, which no
+    space divides, lies within one word of the other text. Distinct words are compared, by the longer word's rarest n-gram."""
+    words = F.split("norm", " ")
+    cut = short.where(F.size(words) <= 2).select(*keys, s, F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("part")).where("part <> ''")
+    each = other.select(*keys, o, F.explode(F.array_distinct(words)).alias("word"))
+
+    def grams(word, n):
+        return F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substr(word, i, n))).otherwise(F.array().cast("array<string>"))
+
+    held = each.select("word").distinct().select("word", F.explode(F.array_distinct(F.concat(*(grams(F.col("word"), F.lit(n)) for n in range(1, gram + 1))))).alias("gram"))
+    count = held.groupBy("gram").agg(F.count("*").alias("n"))
+    asked = cut.select("part").distinct().select("part", F.explode(grams(F.col("part"), F.least(F.length("part"), F.lit(gram)))).alias("gram")).join(count, "gram", "left")
+    rarest = asked.groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram"))["gram"].alias("gram"))
+    within = rarest.join(held, "gram").where(F.contains("word", F.col("part"))).select("part", "word")
+    return cut.join(within, "part").join(each, [*keys, "word"]).select(*keys, s, o)
+
+
 def word_matches(left: DataFrame, right: DataFrame, keys: list[str], ratio: float = RATIO) -> DataFrame:
     """Pairs with containment, or at least ``ratio`` of the left text's words in the right text: left (keys, l, l_norm), right (keys, r,
     r_norm), normal texts, to keys, l, r, ratio. With ``keys`` the two sides are compared within those only.
 
     A pair at the ratio shares at least one of the n - ceil(ratio n) + 1 rarest of the left's n words (two more are looked up,
     since a contained text may be cut within its first and last words), so the join runs over those words alone. Right texts
-    contained in a left text are found by their own rarest words in the same way."""
+    contained in a left text are found by their own rarest words in the same way. A contained text of one or two words may share no
+    whole word; the other text then has a word that contains the longer of them (``cut_words``)."""
     lw = left.select(*keys, "l", "l_norm", F.array_distinct(F.split(F.lower("l_norm"), " ")).alias("lw")).where(F.length("l_norm") >= SHORTEST)
     rw = right.select(*keys, "r", "r_norm", F.array_distinct(F.split(F.lower("r_norm"), " ")).alias("rw")).where("r_norm <> ''")
     seen = rw.select(F.explode("rw").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -38,7 +58,9 @@ def word_matches(left: DataFrame, right: DataFrame, keys: list[str], ratio: floa
     few = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * ratio).cast("int") + 3)
     by_left = rare(lw, "l", "lw", few).join(rw.select(*keys, "r", F.explode("rw").alias("word")), [*keys, "word"]).select(*keys, "l", "r")
     by_right = rare(rw, "r", "rw", F.least(F.col("size"), F.lit(3))).join(lw.select(*keys, "l", F.explode("lw").alias("word")), [*keys, "word"]).select(*keys, "l", "r")
-    pairs = by_left.union(by_right).distinct().join(lw, [*keys, "l"]).join(rw, [*keys, "r"])
+    short_left = cut_words(lw.select(*keys, "l", F.col("l_norm").alias("norm")), rw.select(*keys, "r", F.col("r_norm").alias("norm")), keys, "l", "r").select(*keys, "l", "r")
+    short_right = cut_words(rw.select(*keys, "r", F.col("r_norm").alias("norm")), lw.select(*keys, "l", F.col("l_norm").alias("norm")), keys, "r", "l").select(*keys, "l", "r")
+    pairs = by_left.union(by_right).union(short_left).union(short_right).distinct().join(lw, [*keys, "l"]).join(rw, [*keys, "r"])
     share = overlap_ratio(F.col("lw"), F.col("rw"))
     inside = F.contains("r_norm", F.col("l_norm")) | F.contains("l_norm", F.col("r_norm"))
     return pairs.where(inside | (share >= ratio)).select(*keys, "l", "r", F.when(inside, 1.0).otherwise(share).alias("ratio"))

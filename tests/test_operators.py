@@ -240,6 +240,20 @@ def test_fuzzy_matches_against_all_pairs(spark):
     assert words <= got and got <= {(i, j) for i, a in left for j, b in right if share(a, b) >= 0.7 or a in b or b in a}
 
 
+def test_contained_texts_of_few_words(spark):
+    left = ["catalog", "data base", "漢字の長い文です", "今日は晴れ。明日は雨でしょう。", "two words", "ΟΔΟΣΣ", "a list of catalogues here", "<span>", "long enough text without any"]
+    right = ["old catalogues", "metadata basement", "前の漢字の長い文です。後の文", "明日は雨", "x two wordsmith", "καὶ ΟΔΟΣΣΟΣ", "tal", "o", "gh te", "span", "unlike", "日", "li"]
+    ls, rs = list(enumerate(left)), list(enumerate(right))
+    inside = {(i, j) for i, a in ls for j, b in rs if a in b or b in a}
+    df = spark.createDataFrame(ls, "l int, l_norm string"), spark.createDataFrame(rs, "r int, r_norm string")
+    assert {(r.l, r.r) for r in align.word_matches(*df, []).collect()} == inside
+    keyed = [d.withColumn("k", F.expr(f"{c} % 2")) for d, c in zip(df, "lr", strict=True)]
+    assert {(r.l, r.r) for r in align.word_matches(*keyed, ["k"]).collect()} == {(i, j) for i, j in inside if i % 2 == j % 2}
+    blocks = spark.createDataFrame([("d", 1, 1, "k", "漢字の長い文です")], "doc_id string, ordinal int, source_page int, dedupe_key string, norm string")
+    segments = spark.createDataFrame([("d", 1, "paragraph", "前の漢字の長い文です。後の文")], "doc_id string, ordinal int, segment_type string, norm string")
+    assert align.align(blocks, segments).first().matched
+
+
 def test_checks(spark):
     books = spark.createDataFrame([("a", " ", 1), ("b", "# x\n\n# y\n\n# z", 1), ("c", "p\n\np\n\np\n\n![i](assets/q.png)", 2)], "doc_id string, markdown string, n_slices int")
     assets = spark.createDataFrame([("c", "assets/r.png")], "doc_id string, path string")
