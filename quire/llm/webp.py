@@ -1,12 +1,13 @@
 """Lossless WebP media columns: a full decoder, and an encoder for byte payloads.
 
 ``decode`` reads any lossless stream: prefix codes (simple and normal, with groups by block), back-references, colour cache, and
-the predictor, cross-colour, subtract-green and palette transforms, and gives pixels as an array of R, G, B, A bytes. Runs of
-literals whose codes all have one length, as the payload encoder writes them, are read at once.
+the predictor, cross-colour, subtract-green and palette transforms, and gives pixels as an array of R, G, B, A bytes. What a token
+at any bit would be is looked up for all bits at once; then the chain of tokens is followed from the first (``read_tokens``).
 
-``encode_payload`` packs bytes four to a pixel, 16 pixels a row, and writes each channel with a prefix code of one length over
-the bytes that the channel holds. Payloads over 16,384 rows get wider rows and zeros at the end, and their length is kept in
-a chunk of its own.
+``encode_payload`` packs bytes four to a pixel, 16 pixels a row. It chooses by content: pixels as they are, a palette, differences
+to the left or cross-colour, whichever takes the fewest bits; copies of earlier pixels; a colour cache where it saves bits; and
+a prefix code by the frequencies of each channel. Payloads over 16,384 rows get wider rows and zeros at the end, and their length
+is kept in a chunk of its own; more than ``MOST_PAYLOAD`` bytes are stored as several files one after another.
 
 Defined cases: a null text is empty; an empty payload is padded to 64 zero bytes; equal texts give equal bytes; null ids, repeated
 rows and extra columns change nothing; an empty table gives an empty result. A damaged stream raises ValueError.
@@ -17,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -26,6 +28,9 @@ from quire.llm.common import arrow_map, slices
 
 ROW_BYTES = 64
 MAX_SIDE = 1 << 14
+MOST_PAYLOAD = 1 << 28
+#: Pixels of a copy, and how far away it may be; with more copies the encoder uses no colour cache; bits of a code.
+LEAST_COPY, MOST_COPY, MOST_DISTANCE, MOST_SEGMENTS, MOST_BITS = 4, 4096, (1 << 20) - 120, 8, 12
 # Fixed values of the format: order in which the lengths of the code-length code are stored, and the short distances as (x, y).
 LENGTH_ORDER = [17, 18, 0, 1, 2, 3, 4, 5, 16, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15]
 SHORT_DISTANCES = [
@@ -41,79 +46,141 @@ SHORT_DISTANCES = [
     (7, 5), (-7, 5), (8, 4), (6, 7), (-6, 7), (7, 6), (-7, 6), (8, 5), (7, 7), (-7, 7), (8, 6), (8, 7),
 ]
 N_LENGTHS, HASH = 24, 0x1E35A7BD
+N_DISTANCES = 40
+#: Bits that are scanned at once, and the most that one pixel or back-reference takes.
+SCAN, TOKEN_BITS = 1 << 16, 64
 
 
 class Bits:
-    """Reader of bits, lowest first."""
+    """Reader of bits, lowest first, through a number that holds the next bytes."""
 
     def __init__(self, data: bytes):
         self.data, self.at, self.end = data, 0, 8 * len(data)
+        self.word, self.base, self.limit = 0, 0, 0
+
+    def peek(self, n: int) -> int:
+        """The next n (at most 64) bits; zeros follow the end."""
+        if self.at + n > self.limit or self.at < self.base:
+            byte = self.at >> 3
+            self.base, self.limit = byte << 3, (byte + 128) << 3
+            self.word = int.from_bytes(self.data[byte : byte + 128], "little")
+        return (self.word >> (self.at - self.base)) & ((1 << n) - 1)
 
     def read(self, n: int) -> int:
         if self.at + n > self.end:
             raise ValueError("the stream ends too early")
-        byte, shift = divmod(self.at, 8)
+        value = self.peek(n)
         self.at += n
-        return (int.from_bytes(self.data[byte : byte + (n + shift + 7) // 8], "little") >> shift) & ((1 << n) - 1)
+        return value
 
 
 class Prefix:
-    """A prefix code: canonical codes by length, read one bit at a time from a dict of (length, code)."""
+    """A prefix code: canonical codes by length, as a table over all values of the longest code's bits, first bit highest."""
 
-    def __init__(self, lengths: dict[int, int]):
-        used = sorted((n, s) for s, n in lengths.items() if n)
-        self.single = used[0][1] if len(used) == 1 else None
-        if not used:
+    def __init__(self, lengths: np.ndarray):
+        used = np.flatnonzero(lengths)
+        if not len(used):
             raise ValueError("a prefix code without symbols")
-        code, last, self.symbols = 0, used[0][0], {}
-        for n, s in used:
-            code <<= n - last
-            last = n
-            self.symbols[n, code] = s
-            code += 1
-        if self.single is None and code != 1 << last:
+        sizes = lengths[used]
+        order = np.argsort(sizes, kind="stable")
+        symbols, sizes = used[order], sizes[order]
+        self.longest = int(sizes[-1])
+        self.single = int(symbols[0]) if len(used) == 1 else None
+        if self.single is not None:
+            self.longest, sizes = 0, sizes * 0
+        times = np.left_shift(1, self.longest - sizes)
+        if int(times.sum()) != 1 << self.longest:
             raise ValueError("a prefix code that isn't complete")
-        self.longest = last
-        #: Bits of every code if they are all alike, and the symbols in the order of their codes.
-        self.width = 0 if self.single is not None else used[0][0] if used[0][0] == last else None
-        self.ordered = [s for _, s in used]
+        #: symbol << 4 | bits of its code, by the next bits, the first highest
+        self.table = np.repeat(symbols << 4 | sizes, times)
+        self.sizes = self.table & 15
+        self.listed: list[int] | None = None
 
     def read(self, bits: Bits) -> int:
         if self.single is not None:
             return self.single
-        code = 0
-        for n in range(1, self.longest + 1):
-            code = code << 1 | bits.read(1)
-            symbol = self.symbols.get((n, code))
-            if symbol is not None:
-                return symbol
-        raise ValueError("no such code")
+        if self.listed is None:
+            self.lowest_first()
+        entry = self.listed[bits.peek(self.longest)]
+        bits.at += entry & 15
+        if bits.at > bits.end:
+            raise ValueError("the stream ends too early")
+        return entry >> 4
+
+
+    def lowest_first(self) -> list[int]:
+        """The table by the next bits as they are stored, lowest first."""
+        if self.listed is None:
+            self.listed = self.table[mirrored(self.longest)].tolist()
+        return self.listed
+
+
+@lru_cache(maxsize=16)
+def mirrored(n: int) -> np.ndarray:
+    """All numbers of n bits, bits in reverse order."""
+    values = np.arange(1 << n)
+    out = np.zeros_like(values)
+    for i in range(n):
+        out |= (values >> i & 1) << (n - 1 - i)
+    return out
+
+
+@lru_cache(maxsize=256)
+def _code_of_lengths(stored: int, n: int) -> Prefix:
+    lengths = np.zeros(19, np.int64)
+    lengths[LENGTH_ORDER[:n]] = [stored >> 3 * i & 7 for i in range(n)]
+    return Prefix(lengths)
 
 
 def read_prefix(bits: Bits, alphabet: int) -> Prefix:
+    lengths = np.zeros(max(alphabet, 256), np.int64)
     if bits.read(1):
         two, wide = bits.read(1), bits.read(1)
-        first = bits.read(8 if wide else 1)
-        return Prefix({first: 1, **({bits.read(8): 1} if two else {})})
-    code = Prefix({s: n for s, n in zip(LENGTH_ORDER, [bits.read(3) for _ in range(4 + bits.read(4))], strict=False) if n})
+        lengths[bits.read(8 if wide else 1)] = 1
+        if two:
+            lengths[bits.read(8)] = 1
+        return Prefix(lengths)
+    n = 4 + bits.read(4)
+    code = _code_of_lengths(bits.read(3 * n), n)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
-    lengths, s, before = {}, 0, 8
-    while s < alphabet and left:
+    listed, mask = code.lowest_first(), (1 << code.longest) - 1
+    out, before = [], 8
+    word, k, limit = 0, 0, -1  # bits from bits.at - k on
+    while len(out) < alphabet and left:
+        if k > limit:
+            bits.at += k
+            skip = bits.at & 7
+            word, k, limit = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 64], "little") >> skip, 0, 480 - skip
+            if bits.at > bits.end:
+                break
         left -= 1
-        n = code.read(bits)
+        entry = listed[word >> k & mask]
+        k += entry & 15
+        n = entry >> 4
         if n < 16:
             if n:
-                lengths[s] = before = n
-            s += 1
+                before = n
+            out.append(n)
         elif n == 16:
-            times = 3 + bits.read(2)
-            lengths |= {s + i: before for i in range(times)}
-            s += times
+            out += [before] * (3 + (word >> k & 3))
+            k += 2
+        elif n == 17:
+            out += [0] * (3 + (word >> k & 7))
+            k += 3
         else:
-            s += 3 + bits.read(3) if n == 17 else 11 + bits.read(7)
-    if s > alphabet:
+            out += [0] * (11 + (word >> k & 127))
+            k += 7
+    bits.at += k
+    if bits.at > bits.end:
+        raise ValueError("the stream ends too early")
+    if len(out) > alphabet:
         raise ValueError("more code lengths than symbols")
-    return Prefix(lengths)
+    return Prefix(np.array(out, np.int64))
+
+
+def _extra(symbol):
+    """Bits that follow the prefix symbol of a length or distance."""
+    return np.maximum(0, (symbol - 2) >> 1)
 
 
 def _value(bits: Bits, symbol: int) -> int:
@@ -128,6 +195,18 @@ def _blocks(n: int, size_bits: int) -> int:
     return (n + (1 << size_bits) - 1) >> size_bits
 
 
+def _distance(code: int, width: int) -> int:
+    if code > 120:
+        return code - 120
+    dx, dy = SHORT_DISTANCES[code - 1]
+    return max(1, dx + dy * width)
+
+
+def _slot(pixels: np.ndarray, cache_bits: int) -> np.ndarray:
+    """Places of pixels in the colour cache."""
+    return (pixels * HASH & 0xFFFFFFFF) >> (32 - cache_bits)
+
+
 def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
     """Pixels as ARGB numbers; only the main image may have groups of codes."""
     cache_bits = bits.read(4) if bits.read(1) else 0
@@ -139,68 +218,164 @@ def read_image(bits: Bits, width: int, height: int, main: bool) -> np.ndarray:
         groups = (read_image(bits, _blocks(width, size_bits), _blocks(height, size_bits), False) >> 8) & 0xFFFF
         groups = groups.reshape(-1, _blocks(width, size_bits))
         n_groups = int(groups.max()) + 1
-    sizes = (256 + N_LENGTHS + (1 << cache_bits if cache_bits else 0), 256, 256, 256, 40)
+    sizes = (256 + N_LENGTHS + (1 << cache_bits if cache_bits else 0), 256, 256, 256, N_DISTANCES)
     codes = [[read_prefix(bits, n) for n in sizes] for _ in range(n_groups)]
-    total = width * height
-    if n_groups == 1 and not cache_bits and all(c.width is not None for c in codes[0][:4]) and max(codes[0][0].ordered) < 256:
-        return _fixed(bits, codes[0][:4], total)
+    if n_groups == 1:
+        return place(*read_tokens(bits, codes[0], width * height), width, width * height, cache_bits)
+    return _by_group(bits, codes, groups, size_bits, width, width * height, cache_bits)
+
+
+def read_tokens(bits: Bits, codes: list[Prefix], total: int):
+    """All literals, cached colours and back-references of an image with one group of codes: symbol of green, ARGB number of
+    literals, length, distance code.
+
+    A token begins where the one before ends, but what a token at any bit would hold can be looked up for all bits at once; then
+    only the chain of ends is followed."""
+    green, red, blue, alpha, distance = codes
+    if not any(c.longest for c in codes[:4]) and green.single < 256:  # one colour, without any bits
+        colour = alpha.single << 24 | red.single << 16 | green.single << 8 | blue.single
+        return np.full(total, green.single), np.full(total, colour), np.ones(total, np.int64), np.zeros(total, np.int64)
+    if not green.longest and green.single >= 256:
+        raise ValueError("an image without a literal")
+    data, longest = np.frombuffer(bits.data, np.uint8), max(c.longest for c in codes)
+    parts, done, at = [], 0, bits.at
+    while done < total:
+        if at >= bits.end:
+            raise ValueError("the stream ends too early")
+        byte, skip = divmod(at, 8)
+        # the next bits at each bit, the first highest, from three bytes whose bits are turned round
+        part = mirrored(8).take(data[byte : byte + (SCAN + 2 * TOKEN_BITS) // 8])
+        n = min(SCAN, 8 * len(part) - skip)
+        part = np.concatenate((part, np.zeros(2 * TOKEN_BITS // 8 + 2, np.int64)))
+        three = part[:-2] << 16 | part[1:-1] << 8 | part[2:]
+        window = (three[:, None] >> (24 - longest - np.arange(8)) & (1 << longest) - 1).ravel()[skip:]
+
+        def look(k, where, window=window):
+            """Symbol << 4 | bits of a code that begins there."""
+            c = codes[k]
+            return c.table.take(window.take(where) >> (longest - c.longest)) if c.longest else np.full(len(where), c.single << 4)
+
+        g = green.table.take(window[:n] >> (longest - green.longest)) if green.longest else np.full(n, green.single << 4)
+        stop = ends = np.arange(n) + (g & 15)
+        for c in (red, blue, alpha):
+            if c.longest:
+                ends = ends + c.sizes.take(window >> (longest - c.longest)).take(ends)
+        other = np.flatnonzero(g >= 256 << 4)
+        if len(other):
+            ends = ends.copy() if ends is stop else ends
+            ends[other] = stop[other]
+            far = other[g[other] < (256 + N_LENGTHS) << 4]
+            if len(far):
+                after = stop[far] + _extra((g[far] >> 4) - 256)
+                d = look(4, after)
+                ends[far] = after + (d & 15) + _extra(d >> 4)
+        follow, p, chain = memoryview(ends), 0, []
+        add = chain.append
+        while p < n:
+            add(p)
+            p = follow[p]
+        chain = np.array(chain)
+        s = g[chain] >> 4
+        colour, length, code = np.zeros(len(s), np.int64), np.ones(len(s), np.int64), np.zeros(len(s), np.int64)
+        literal = np.flatnonzero(s < 256)
+        where = stop[chain[literal]]
+        value = s[literal] << 8
+        for k, shift in ((1, 16), (2, 0), (3, 24)):
+            e = look(k, where)
+            value |= e >> 4 << shift
+            where = where + (e & 15)
+        colour[literal] = value
+        for i in np.flatnonzero((s >= 256) & (s < 256 + N_LENGTHS)).tolist():
+            if at + int(ends[chain[i]]) > bits.end:
+                break  # behind the last token
+            bits.at = at + int(stop[chain[i]])
+            length[i] = _value(bits, int(s[i]) - 256)
+            code[i] = _value(bits, distance.read(bits))
+        made = np.cumsum(length)
+        last = int(np.searchsorted(made, total - done))
+        if last < len(s):  # the last token
+            if made[last] != total - done:
+                raise ValueError("a back-reference out of the image")
+            s, colour, length, code = (x[: last + 1] for x in (s, colour, length, code))
+            p, made = int(ends[chain[last]]), made[: last + 1]
+        done += int(made[-1])
+        at += p
+        if at > bits.end:
+            raise ValueError("the stream ends too early")
+        parts.append((s, colour, length, code))
+    bits.at = at
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def place(symbol, colour, length, code, width, total, cache_bits) -> np.ndarray:
+    """The pixels of an image's tokens."""
+    first = np.cumsum(length) - length
     out = np.zeros(total, np.int64)
-    cache = [0] * (1 << cache_bits)
-    shift, at, cached = 32 - cache_bits, 0, 0
+    out[first[symbol < 256]] = colour[symbol < 256]
+    cached = symbol >= 256 + N_LENGTHS
+    cache = np.zeros(1 << cache_bits, np.int64) if cached.any() else None
+    begin = 0  # the first pixel that the cache doesn't hold yet
+
+    def settle(lo, hi):
+        """Colours of the cached pixels among tokens lo to hi, none of which is a back-reference."""
+        nonlocal begin
+        if cache is None or lo == hi:
+            return
+        here, at = cached[lo:hi], first[lo:hi]
+        if at[0] > begin:
+            cache[_slot(out[begin : at[0]], cache_bits)] = out[begin : at[0]]
+        key = np.where(here, symbol[lo:hi] - 256 - N_LENGTHS, _slot(out[at], cache_bits))
+        order = np.argsort(key, kind="stable")
+        sorted_key, source = key[order], np.where(here[order], -1, np.arange(len(order)))
+        place_in = np.arange(len(order))
+        place_in[1:][sorted_key[1:] == sorted_key[:-1]] = 0
+        source = np.maximum.accumulate(source)
+        inside = source >= np.maximum.accumulate(place_in)  # else the cache has it from before
+        value = np.where(inside, out[at[order[source]]], cache[sorted_key])
+        out[at[order]] = value
+        cache[key] = out[at]
+        begin = int(at[-1]) + 1
+
+    last = 0
+    for i in np.flatnonzero((symbol >= 256) & ~cached).tolist():
+        settle(last, i)
+        last = i + 1
+        d, at, n = _distance(int(code[i]), width), int(first[i]), int(length[i])
+        if d > at:
+            raise ValueError("a back-reference out of the image")
+        out[at : at + n] = out[at - d : at - d + n] if d >= n else np.resize(out[at - d : at], n)
+    settle(last, len(symbol))
+    return out
+
+
+def _by_group(bits, codes, groups, size_bits, width, total, cache_bits) -> np.ndarray:
+    """An image whose blocks have different codes: a token's codes hang on its place, so tokens are read one by one."""
+    out, cache = np.zeros(total, np.int64), [0] * (1 << cache_bits)
+    at, held = 0, 0
     while at < total:
         y, x = divmod(at, width)
-        green, red, blue, alpha, distance = codes[int(groups[y >> size_bits, x >> size_bits]) if groups is not None else 0]
+        green, red, blue, alpha, distance = codes[int(groups[y >> size_bits, x >> size_bits])]
         s = green.read(bits)
         if s < 256:
             r, b, a = red.read(bits), blue.read(bits), alpha.read(bits)
             out[at] = a << 24 | r << 16 | s << 8 | b
             at += 1
         elif s < 256 + N_LENGTHS:
-            length, d = _value(bits, s - 256), _value(bits, distance.read(bits))
-            if d > 120:
-                d -= 120
-            else:
-                dx, dy = SHORT_DISTANCES[d - 1]
-                d = max(1, dx + dy * width)
+            length = _value(bits, s - 256)
+            d = _distance(_value(bits, distance.read(bits)), width)
             if d > at or at + length > total:
                 raise ValueError("a back-reference out of the image")
-            for _ in range(length):
-                out[at] = out[at - d]
-                at += 1
+            out[at : at + length] = np.resize(out[at - d : at], length)
+            at += length
         else:
-            while cached < at:  # the cache holds every pixel before this one
-                v = int(out[cached])
-                cache[(HASH * v & 0xFFFFFFFF) >> shift] = v
-                cached += 1
+            for v in out[held:at].tolist():  # the cache holds every pixel before this one
+                cache[(HASH * v & 0xFFFFFFFF) >> (32 - cache_bits)] = v
+            held = at
             out[at] = cache[s - 256 - N_LENGTHS]
             at += 1
     return out
 
 
-def _fixed(bits: Bits, codes: list[Prefix], total: int, part: int = 1 << 16) -> np.ndarray:
-    """All pixels where each channel's codes have one length: a table of bits, one row a pixel."""
-    widths = [c.width for c in codes]
-    each = sum(widths)
-    if bits.at + each * total > bits.end:
-        raise ValueError("the stream ends too early")
-    out = np.empty(total, np.int64)
-    data = np.frombuffer(bits.data, np.uint8)
-    for lo in range(0, total, part):
-        n = min(part, total - lo)
-        byte, skip = divmod(bits.at, 8)
-        table = np.unpackbits(data[byte : byte + (skip + each * n + 7) // 8], bitorder="little")[skip : skip + each * n].reshape(n, each)
-        value, at = np.zeros(n, np.int64), 0
-        for code, w, place in zip(codes, widths, (8, 16, 0, 24), strict=True):
-            index = np.zeros(n, np.int64)
-            for i in range(at, at + w):
-                index = index << 1 | table[:, i]
-            value |= np.array(code.ordered, np.int64)[index] << place
-            at += w
-        out[lo : lo + n] = value
-        bits.at += each * n
-    return out
-
-
 def _channels(pixels: np.ndarray) -> np.ndarray:
     """A, R, G, B in the last axis."""
     return np.stack([(pixels >> s) & 255 for s in (24, 16, 8, 0)], -1)
@@ -238,9 +413,11 @@ def undo_predictor(pixels: np.ndarray, width: int, modes: np.ndarray, size_bits:
     p = _channels(pixels).reshape(-1, width, 4)
     height = len(p)
     p[0, 0] = (p[0, 0] + (255, 0, 0, 0)) & 255
-    p[0] = np.cumsum(p[0], axis=0) & 255
     p[:, 0] = np.cumsum(p[:, 0], axis=0) & 255
     modes = (modes >> 8 & 15).reshape(-1, _blocks(width, size_bits))
+    if (modes == 1).all():
+        return _numbers(np.cumsum(p, axis=1) & 255)
+    p[0] = np.cumsum(p[0], axis=0) & 255
     for y in range(1, height):
         row, above = p[y], p[y - 1]
         kinds = np.repeat(modes[y >> size_bits], 1 << size_bits)[:width]
@@ -353,32 +530,297 @@ class Writer:
 
     def __init__(self):
         self.value, self.n = 0, 0
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def put(self, value: int, n: int) -> None:
         self.value |= value << self.n
         self.n += n
 
+    def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        """Values of up to 63 bits each."""
+        if self.n:
+            k = -(-self.n // 32)
+            widths = np.full(k, 32)
+            widths[-1] = self.n - 32 * (k - 1)
+            self.parts.append((np.frombuffer(self.value.to_bytes(4 * k, "little"), "<u4"), widths))
+            self.value, self.n = 0, 0
+        self.parts.append((values, sizes))
+
     def array(self) -> np.ndarray:
+        """The bits that were put one by one."""
         return np.unpackbits(np.frombuffer(self.value.to_bytes((self.n + 7) // 8, "little"), np.uint8), bitorder="little")[: self.n]
 
+    def packed(self) -> bytes:
+        values, sizes = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        values, ends = values.astype(np.uint64), np.cumsum(sizes)
+        at = ends - sizes
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        new = np.ones(len(word), bool)
+        new[1:] = word[1:] != word[:-1]
+        starts = np.flatnonzero(new)
+        words = np.zeros((int(ends[-1]) >> 6) + 2, np.uint64)
+        words[word[starts]] = np.bitwise_or.reduceat(values << shift, starts)
+        words[word[starts] + 1] |= np.bitwise_or.reduceat((values >> np.uint64(1)) >> (np.uint64(63) - shift), starts)
+        return words.astype("<u8").tobytes()[: -(-int(ends[-1]) // 8)]
+
+
+#: The code of lengths has 16 symbols of four bits: lengths up to MOST_BITS and the three runs. Codes, and bits with what follows.
+FOUR_BITS = np.array([int(f"{min(s, s - 3 if s > 12 else s):04b}"[::-1], 2) if s <= 12 or s >= 16 else 0 for s in range(19)])
+MORE_BITS = np.array([4] * 16 + [6, 7, 11])
+CODE_OF_LENGTHS = sum(4 << 3 * i for i, s in enumerate(LENGTH_ORDER) if s <= MOST_BITS or s >= 16)
+
+
+def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
+    """Lengths, ``most`` at most, of a complete prefix code: near the logarithm of each symbol's share, the rarest made less rare;
+    what is left over shortens the codes of the commonest that it is enough for."""
+    used = np.flatnonzero(counts)
+    out = np.zeros(len(counts), np.int64)
+    if len(used) < 2:
+        out[used] = 1
+        return out
+    count = counts[used]
+    total = int(count.sum())
+    least = total / ((1 << most) - len(used))
+    sizes = np.maximum(1, np.ceil(np.log2((total + least * len(used)) / (count + least)) - 1e-9)).astype(np.int64)
+    top = int(sizes.max())
+    spare = (1 << top) - int(np.left_shift(1, top - sizes).sum())
+    if spare:
+        order = np.argsort(-count, kind="stable").tolist()
+        listed = sizes.tolist()
+        while spare:
+            for i in order:
+                cost = 1 << (top - listed[i])
+                while cost <= spare and listed[i] > 1:
+                    listed[i] -= 1
+                    spare -= cost
+                    cost <<= 1
+                if not spare:
+                    break
+        sizes = np.array(listed)
+    out[used] = sizes
+    return out
+
 
-def write_code(out: Writer, symbols: list[int], width: int, alphabet: int) -> None:
-    """A prefix code in which every one of 2**width symbols has a code of that many bits."""
-    if width < 2:
+def codes_of(lengths: np.ndarray) -> np.ndarray:
+    """The code of each symbol, as it is stored."""
+    used = np.flatnonzero(lengths)
+    order = used[np.argsort(lengths[used], kind="stable")]
+    steps = np.left_shift(1, 15 - lengths[order])
+    out = np.zeros(len(lengths), np.int64)
+    out[order] = mirrored(15)[np.cumsum(steps) - steps]
+    return out
+
+
+def write_code(out: Writer, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Store a prefix code; its codes and their sizes as the pixels use them."""
+    used = np.flatnonzero(lengths).tolist()
+    if not used:
+        used = [0]
+    if len(used) <= 2 and used[-1] < 256:
         out.put(1, 1)
-        out.put(width, 1)
+        out.put(len(used) - 1, 1)
         out.put(1, 1)
-        for s in symbols:
+        for s in used:
             out.put(s, 8)
-        return
-    out.put(0, 1)
-    out.put(15, 4)
-    for s in LENGTH_ORDER:  # two code lengths occur, 0 and width, with a bit each
-        out.put(s in (0, width), 3)
+    else:
+        at = np.flatnonzero(lengths)
+        gap = at.copy()
+        gap[1:] -= at[:-1] + 1
+        rest = gap % 138
+        # before each length its zeros: runs of 138, then a run or single ones; none after the last
+        many, run = rest > 10, rest > 2
+        kinds, more, times = np.full((3, len(at), 3), 18)
+        kinds[:, 1], kinds[:, 2] = np.where(many, 18, np.where(run, 17, 0)), lengths[at]
+        more[:, 0], more[:, 1], more[:, 2] = 127, np.where(many, rest - 11, np.where(run, rest - 3, 0)), 0
+        times[:, 0], times[:, 1], times[:, 2] = gap // 138, np.where(run, 1, rest), 1
+        times = times.ravel()
+        kinds, more = np.repeat(kinds.ravel(), times), np.repeat(more.ravel(), times)
+        out.put(0, 1)
+        out.put(19 - 4, 4)
+        out.put(CODE_OF_LENGTHS, 3 * 19)
+        wide = max(0, ((len(kinds) - 2).bit_length() - 1) // 2)
+        for value, n in ((1, 1), (wide, 3), (len(kinds) - 2, 2 + 2 * wide)):
+            out.put(value, n)
+        out.put_all(FOUR_BITS[kinds] | more << 4, MORE_BITS[kinds])
+    if len(used) == 1:
+        return np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+    return codes_of(lengths), lengths
+
+
+def _split_value(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix symbol, extra bits and their number of lengths or distance codes."""
+    v = n - 1
+    top = np.frexp(np.maximum(v, 1).astype(np.float64))[1] - 1
+    extra = np.maximum(0, top - 1)
+    symbol = np.where(v < 4, v, 2 * top + (v >> np.maximum(top - 1, 0) & 1))
+    extra = np.where(v < 4, 0, extra)
+    return symbol, v & (np.left_shift(1, extra) - 1), extra
+
+
+@lru_cache(maxsize=8)
+def _short_codes(width: int) -> dict[int, int]:
+    """Distance codes of near pixels."""
+    return {_distance(code, width): code for code in range(120, 0, -1)}
+
+
+def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
+    """Back-references (place, length, distance) of at least LEAST_COPY pixels, from the left, each to the last earlier place that
+    begins alike."""
+    n = len(pixels)
+    if n <= LEAST_COPY:
+        return []
+    m = n - LEAST_COPY + 1
+    key = pixels[:m].copy()
+    for k in range(1, LEAST_COPY):
+        key = (key ^ key >> 31) * 0x2545F4914F6CDD1D + pixels[k : m + k]
+    found = np.sort(key)
+    if not (found[1:] == found[:-1]).any():
+        return []
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    at, source = order[1:][same], order[:-1][same]
+    by_place = np.argsort(at, kind="stable")
+    out, free = [], 0
+    for i, j in zip(at[by_place].tolist(), source[by_place].tolist(), strict=True):
+        if i < free or i - j > MOST_DISTANCE:
+            continue
+        length, step = 0, 32
+        while i + length < n and length < MOST_COPY:
+            a = pixels[i + length : i + min(length + step, MOST_COPY)]
+            differ = a != pixels[j + length : j + length + len(a)]
+            k = int(differ.argmax())
+            if differ[k]:
+                length += k
+                break
+            length, step = length + len(a), step * 4
+        if length >= LEAST_COPY:
+            out.append((i, length, i - j))
+            free = i + length
+    return out
+
+
+def _entropy(values: np.ndarray, channels: int = 1) -> float:
+    """Bits that values (of several channels: below 256, one after another) take with a prefix code for each channel, and for the
+    codes."""
+    if channels > 1:
+        values = (values.reshape(channels, -1) + np.arange(channels)[:, None] * 256).ravel()
+    n = np.bincount(values)
+    n = n[n > 0]
+    return float(len(values) * np.log2(len(values) / channels) - (n * np.log2(n)).sum()) + 6 * len(n)
+
+
+def write_image(out: Writer, pixels: np.ndarray, width: int, main: bool) -> None:
+    """Store an image of ARGB numbers. Copies and a colour cache are used, in the main image, where they save bits."""
+    n = len(pixels)
+    copies = repeats(pixels) if main else []
+    free = np.ones(n, bool)
+    for i, length, _ in copies:
+        free[i : i + length] = False
+    g, r, b, a = (pixels >> shift & 255 for shift in (8, 16, 0, 24))
+    cache_bits, hit = 0, np.zeros(n, bool)
+    if main and n >= 64 and len(copies) <= MOST_SEGMENTS:
+        cache_bits = min(10, n.bit_length() - 1)
+        slot = _slot(pixels, cache_bits)
+        order = np.argsort(slot.astype(np.uint16), kind="stable")
+        hit[order[1:]] = pixels[order[1:]] == pixels[order[:-1]]
+        hit &= free
+        slots = slot[hit]
+        if not len(slots) or len(slots) * (_entropy(np.concatenate((g, r, b, a)), 4) / n - 1) <= _entropy(slots):
+            cache_bits, hit = 0, np.zeros(n, bool)
+    lit = free & ~hit
+    symbol = np.where(lit, g, 0)
+    if cache_bits:
+        symbol[hit] = 256 + N_LENGTHS + slots
+    at = np.array([c[0] for c in copies], np.int64)
+    if copies:
+        short = _short_codes(width)
+        sizes = np.array([c[1] for c in copies])
+        away = np.array([short.get(c[2], c[2] + 120) for c in copies])
+        (ls, lx, ln), (ds, dx, dn) = _split_value(sizes), _split_value(away)
+        symbol[at] = 256 + ls
+    starts = free.copy()
+    starts[at] = True
+    alphabet = 256 + N_LENGTHS + (1 << cache_bits if cache_bits else 0)
+    if cache_bits:
+        out.put(1, 1)
+        out.put(cache_bits, 4)
+    else:
+        out.put(0, 1)
+    if main:
+        out.put(0, 1)
+    stored = [write_code(out, code_lengths(np.bincount(symbol[starts], minlength=alphabet), MOST_BITS))]
+    for channel in (r, b, a):
+        stored.append(write_code(out, code_lengths(np.bincount(channel[lit], minlength=256), MOST_BITS)))
+    distances = write_code(out, code_lengths(np.bincount(ds, minlength=N_DISTANCES) if copies else np.zeros(N_DISTANCES, np.int64), MOST_BITS))
+    value, bits = stored[0][0][symbol], stored[0][1][symbol]
+    for (code, size), channel in zip(stored[1:], (r, b, a), strict=True):
+        if size.any():
+            value = value | np.where(lit, code[channel] << bits, 0)
+            bits = bits + np.where(lit, size[channel], 0)
+    if copies:
+        more, k = value[at], bits[at]
+        more = more | lx << k
+        k = k + ln
+        more = more | distances[0][ds] << k
+        k = k + distances[1][ds]
+        value[at], bits[at] = more | dx << k, k + dn
+    out.put_all(value[starts], bits[starts])
+
+
+def _without_left(p: np.ndarray) -> np.ndarray:
+    """Residuals (A, R, G, B in the first axis) against the pixel to the left, in the first column that above."""
+    out = p.copy()
+    out[:, :, 1:] -= p[:, :, :-1]
+    out[:, 1:, 0] -= p[:, :-1, 0]
+    out[0, 0, 0] -= 255
+    return out & 255
+
+
+def encode_image(pixels: np.ndarray, width: int) -> bytes:
+    """A stream of an image of ARGB numbers. Of the pixels as they are, a palette, differences to the left neighbour and red and
+    blue without green, that which takes the fewest bits is stored."""
+    height, n = len(pixels) // width, len(pixels)
+    out = Writer()
+    for value, k in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3)):
+        out.put(value, k)
+    argb = np.concatenate([pixels >> shift & 255 for shift in (24, 16, 8, 0)])
+    a, r, g, b = argb.reshape(4, n)
+    colours = np.unique(pixels[:1024])
+    if len(colours) <= 256 and n > 1024:
+        colours = np.unique(pixels)
+    bits_each = 1 if len(colours) <= 2 else 2 if len(colours) <= 4 else 4 if len(colours) <= 16 else 8
+    left = _without_left(argb.reshape(4, height, width))
+    options = {"plain": _entropy(argb, 4), "green": _entropy(np.concatenate((a, g, r - g & 255, b - g & 255)), 4) + 60, "left": _entropy(left, 4) + 60}
+    if len(colours) <= 256:
+        index = np.searchsorted(colours, pixels)
+        options["palette"] = (n * bits_each if bits_each < 8 else _entropy(index)) + 26 * len(colours) + 60
+    best = min(options, key=options.get)
+
+    if best == "left":
+        for value, k in ((1, 1), (0, 2), (7, 3)):
+            out.put(value, k)
+        write_image(out, np.full(_blocks(width, 9) * _blocks(height, 9), 1 << 8), 1, False)
+        pixels = _numbers(np.moveaxis(left, 0, -1))
+    elif best == "green":
+        for value, k in ((1, 1), (1, 2), (7, 3)):
+            out.put(value, k)
+        write_image(out, np.full(_blocks(width, 9) * _blocks(height, 9), 32 << 8 | 32), 1, False)  # red and blue get 32 / 32 of green
+        signed = _signed(g)
+        pixels = _numbers(np.stack((a, r - signed & 255, g, b - signed & 255), -1))
+    elif best == "palette":
+        for value, k in ((1, 1), (3, 2), (len(colours) - 1, 8)):
+            out.put(value, k)
+        steps = _channels(colours)
+        steps[1:] -= steps[:-1].copy()
+        write_image(out, _numbers(steps & 255), len(colours), False)
+        per = 8 // bits_each
+        packed = -(-width // per)
+        index = np.pad(index.reshape(height, width), ((0, 0), (0, packed * per - width))).reshape(height, packed, per)
+        pixels = ((index << (np.arange(per) * bits_each)).sum(-1) << 8).ravel() | 255 << 24
+        width = packed
     out.put(0, 1)
-    used = set(symbols)
-    for s in range(alphabet):
-        out.put(s in used, 1)
+    write_image(out, pixels, width, True)
+    return out.packed()
 
 
 def wrap(stream: bytes, more: bytes = b"") -> bytes:
@@ -387,44 +829,32 @@ def wrap(stream: bytes, more: bytes = b"") -> bytes:
 
 
 def encode_payload(payload: bytes) -> bytes:
-    """A payload of a positive multiple of 64 bytes as a lossless WebP file."""
+    """A payload of a positive multiple of 64 bytes as a lossless WebP file; more than MOST_PAYLOAD bytes as several, one after
+    another."""
     if not payload or len(payload) % ROW_BYTES:
         raise ValueError("a payload is a positive multiple of 64 bytes")
+    if len(payload) > MOST_PAYLOAD:
+        return b"".join(encode_payload(payload[i : i + MOST_PAYLOAD]) for i in range(0, len(payload), MOST_PAYLOAD))
     rows = len(payload) // ROW_BYTES
     factor = -(-rows // MAX_SIDE)
     width, height, more = 16 * factor, -(-rows // factor), b""
-    if width > MAX_SIDE:
-        raise ValueError("payload too large for one image")
-    pixels = np.frombuffer(payload, np.uint8)
     if 4 * width * height != len(payload):
         more = b"SIZE" + struct.pack("<IQ", 8, len(payload))
-        pixels = np.concatenate((pixels, np.zeros(4 * width * height - len(payload), np.uint8)))
-    pixels = pixels.reshape(-1, 4)
-    out = Writer()
-    for value, n in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3), (0, 1), (0, 1), (0, 1)):
-        out.put(value, n)
-    planes = []
-    for channel, alphabet in ((1, 256 + N_LENGTHS), (0, 256), (2, 256), (3, 256)):
-        present = np.bincount(pixels[:, channel], minlength=256) > 0
-        n = int(present.sum())
-        w = (n - 1).bit_length()
-        present[np.flatnonzero(~present)[: (1 << w) - n]] = True  # symbols that make the code complete
-        symbols = np.flatnonzero(present)
-        write_code(out, symbols.tolist(), w, alphabet)
-        code = np.zeros(256, np.uint8)
-        code[symbols] = np.arange(len(symbols))
-        index = code[pixels[:, channel]]
-        planes += [index >> i & 1 for i in range(w - 1, -1, -1)]
-    for value, n in ((1, 1), (0, 1), (0, 1), (0, 1)):  # the distance code has one symbol
-        out.put(value, n)
-    bits = np.concatenate((out.array(), np.stack(planes, 1).ravel())) if planes else out.array()
-    return wrap(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes(), more)
+        payload = payload.ljust(4 * width * height, b"\0")
+    p = np.frombuffer(payload, "<u4").astype(np.int64)  # A B G R, as R G B A bytes are
+    return wrap(encode_image((p & 0xFF00FF00) | (p & 255) << 16 | (p >> 16 & 255), width), more)
 
 
 def decode_payload(data: bytes) -> bytes:
-    payload = decode(data).tobytes()
-    size = chunks(data).get(b"SIZE")
-    return payload if size is None else payload[: struct.unpack("<Q", size)[0]]
+    parts, at = [], 0
+    while at < len(data):
+        n = 8 + struct.unpack("<I", data[at + 4 : at + 8])[0]
+        part = data[at : at + n] if at or n < len(data) else data
+        payload = decode(part).tobytes()
+        size = chunks(part).get(b"SIZE")
+        parts.append(payload if size is None else payload[: struct.unpack("<Q", size)[0]])
+        at += n
+    return parts[0] if len(parts) == 1 else b"".join(parts)
 
 
 def padded(content: bytes) -> bytes:
