@@ -13,8 +13,15 @@ anchors.
    anchor; the first and last strings of each bucket are compared across the boundaries.
 4. The strings found cover intervals of their documents; what is left is hashed.
 
-Matches are exact up to 64-bit fingerprints of strings that share a 64-bit anchor. Matches never cross documents; documents
-of one text are counted as such and worked on once.
+Bytes themselves are not compared: a match needs an equal 64-bit hash of the anchor and, for whole runs, two more of first and
+last string and shape, for single strings the eight bytes at the anchor and a 64-bit hash of the string. Matches never cross
+documents; documents of one text are counted as such and worked on once. Long texts are hashed ``SPAN`` bytes at a time, so that
+memory doesn't grow with them beyond a few times their own size; a run that a span's end cuts is a run of its own.
+
+``passages`` looks for something else, which says more about short repeats: words (between ASCII white space) in passages of at
+least ``PASSAGE`` words that another document has too. Of each window of that many words the least ``SEED``-word gram is kept;
+a repeated passage has a gram that repeats, so only documents with such grams give all their windows around them, and a window
+counts if two texts have it.
 
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes stay whole; copies of a text lose all that is as long as ``LENGTH``;
 null ids, repeated rows and extra columns change nothing (rows are told apart by text alone); an empty table gives an
@@ -25,14 +32,20 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import re
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, discard, slices, stored
+from quire.llm.common import arrow_map, cut, discard, light, slices, stored
 
 LENGTH, GRAM, HOT = 400, 16, 8192
+SPAN = 1 << 20
+PASSAGE, SEED = 50, 20
+#: Most rows of what is found that are broadcast; each is a few dozen bytes.
+FOUND_ROWS = 200_000
 _seed = np.random.Generator(np.random.PCG64(3))
 _BYTE = _seed.integers(0, 2**64, 256, np.uint64)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -114,9 +127,10 @@ def _spread(batches):
         out, whose = [], []
         for i, text in enumerate(batch.column(2).to_pylist()):
             content = (text or "").encode()
-            if len(content) >= LENGTH:
-                out.append(runs_of(content))
-                whose.append(np.full(len(out[-1][0]), i))
+            for at in range(0, len(content) - LENGTH + 1, SPAN):
+                a, b, o, *hashes = runs_of(content[at : at + SPAN + LENGTH - 1])
+                out.append((a + at, b + at, o + at, *hashes))
+                whose.append(np.full(len(a), i))
         if not out:
             continue
         a, b, o, m, r0, r1 = (np.concatenate(c) for c in zip(*out, strict=True))
@@ -125,6 +139,96 @@ def _spread(batches):
         yield [t0, t1, a.astype(np.int32), b.astype(np.int32), o.astype(np.int32), m.view(np.int64), r0.view(np.int64), r1.view(np.int64)]
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_BLANKS = re.compile(rb"[\t-\r ]")
+_POWER = np.uint64(0x5851F42D4C957F2D)
+_INVERSE = np.uint64(pow(int(_POWER), -1, 1 << 64))
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+_UP, _DOWN = _powers(_POWER, SPAN), _powers(_INVERSE, SPAN)
+
+
+def word_hashes(content: bytes) -> np.ndarray:
+    """A hash of each run of bytes between white space, from sums over the bytes so far."""
+    out, at = [np.empty(0, np.uint64)], 0
+    while at < len(content):
+        end = len(content) if len(content) - at <= SPAN // 2 or (gap := _BLANKS.search(content, at + SPAN // 2)) is None else gap.start()
+        data = np.frombuffer(content[at:end], np.uint8)
+        n = len(data)
+        up, down = (_UP, _DOWN) if n <= SPAN else (_powers(_POWER, n), _powers(_INVERSE, n))
+        edges = np.flatnonzero(np.diff(_BLANK[data], prepend=True, append=True))
+        starts, stops = edges[::2], edges[1::2]
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:n])))
+        h = (sums[stops] - sums[starts]) * down[starts]
+        out.append((h ^ (h >> _32)) * _B)
+        at = end + 1
+    return np.concatenate(out)
+
+
+def windows_of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Place, hash and hash of the least gram of each window of PASSAGE words, some at a time."""
+    step = SPAN // 8
+    for lo in range(0, len(words) - PASSAGE + 1, step):
+        h = [words[lo : lo + step + PASSAGE - 1]]
+        for k in range(5):
+            h.append(_join(h[-1][: -(1 << k)], h[-1][1 << k :]))
+        n = len(h[0]) - PASSAGE + 1
+        m = n + PASSAGE - SEED
+        grams = _join(h[4][:m], h[2][16 : 16 + m])  # 16 + 4 words
+        whole = _join(_join(h[5][:n], h[4][32 : 32 + n]), h[1][48 : 48 + n])  # 32 + 16 + 2
+        least = grams
+        for k in range(4):
+            least = np.minimum(least[: -(1 << k)], least[1 << k :])
+        least = np.minimum(least[:n], least[15 : 15 + n])  # the least of 31
+        yield lo + np.arange(n), whole, least
+
+
+def _grams_of(batches):
+    for batch in slices(batches, 2 << 20):
+        keys, grams = [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for _, _, least in windows_of(word_hashes(text.encode())):
+                grams.append(np.unique(least))
+                keys.append(np.full(len(grams[-1]), key))
+        if grams:
+            yield [np.concatenate(keys), np.concatenate(grams).view(np.int64)]
+
+
+def _windows_around(batches):
+    for batch in slices(batches, 1 << 20):
+        for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            wanted = np.array(wanted, np.int64).view(np.uint64)
+            for place, whole, least in windows_of(word_hashes(text.encode())):
+                at = np.isin(least, wanted)
+                yield [np.full(int(at.sum()), key), whole[at].view(np.int64), place[at].astype(np.int32)]
+
+
+def passages(keyed: DataFrame, owners: DataFrame) -> DataFrame:
+    """t0 and passage_words of texts that share a passage with another text. ``keyed``: t0, t1, text, doc; ``owners``: t0, t1, doc."""
+    spark = keyed.sparkSession
+    long = keyed.where(F.octet_length("text") >= 2 * PASSAGE - 1)
+    grams = stored(arrow_map(long.select("t0", "text"), "t0 long, g long", _grams_of), "grams")
+    twice = lambda rows, key: rows.groupBy(key).agg(F.min("t0").alias("lo"), F.max("t0").alias("hi")).where("lo <> hi").select(key)
+    wanted = grams.join(light(cut(twice(grams, "g"))), "g").groupBy("t0").agg(F.collect_set("g").alias("wanted"))
+    asked = long.join(owners.join(wanted, "t0"), ["t0", "t1", "doc"]).dropDuplicates(["t0", "t1"])
+    windows = stored(arrow_map(asked.select("t0", "text", "wanted"), "t0 long, w long, i int", _windows_around), "windows")
+    discard(grams)
+    found = windows.join(light(cut(twice(windows, "w"))), "w").groupBy("t0").agg(F.array_sort(F.collect_set("i")).alias("at"))
+    # each window adds the words behind the end of the one before
+    add = lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(PASSAGE), i - s["last"])).alias("n"))
+    words = cut(found.select("t0", F.aggregate("at", F.struct(F.lit(-PASSAGE).alias("last"), F.lit(0).alias("n")), add)["n"].cast("long").alias("passage_words")))
+    discard(windows)
+    settle(spark)
+    return words
+
+
 def _cut_out(batches):
     """The bytes of wanted runs, with the leading token of the suffix at the anchor."""
     for batch in slices(batches, 2 << 20):
@@ -244,9 +348,11 @@ def settle(spark) -> None:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """t0, t1 (the text's hashes) and cover: first and last places of strings that occur elsewhere, flat."""
+    """t0, t1 (the text's hashes), copies, cover: first and last places of strings that occur elsewhere, flat, and passage_words."""
     spark = docs.sparkSession
     keyed = docs.select(*text_hashes(), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"))
+    owners = cut(keyed.groupBy("t0", "t1").agg(F.min("doc").alias("doc"), F.count("*").alias("copies")))
+    shared_words = passages(keyed, owners.select("t0", "t1", "doc"))
     runs = stored(arrow_map(keyed.where(F.octet_length("text") >= LENGTH).select("t0", "t1", "text"), f"{WHERE}, m long, r0 long, r1 long", _spread), "runs")
     # place: a, b - a and o - a in one number, since every byte of these rows is shuffled twice
     place = F.shiftleft(F.col("a").cast("long"), 18) + (F.col("b") - F.col("a")) * 512 + (F.col("o") - F.col("a"))
@@ -258,8 +364,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     settle(spark)
     again = shared.where("n > 1").select("m", "r0", "r1", F.array(F.lit(0), F.col("b") - F.col("a")).alias("found"))
     asked = shared.where("variants > 1").groupBy("t0", "t1").agg(F.collect_list(F.struct("a", "b", "o", "m", "r0", "r1")).alias("wanted"))
-    owners = keyed.groupBy("t0", "t1").agg(F.min("doc").alias("doc"))
-    asked = asked.join(owners, ["t0", "t1"])
+    asked = asked.join(owners.drop("copies"), ["t0", "t1"])
     pieces = arrow_map(keyed.join(asked, ["doc", "t0", "t1"]).select("text", "wanted"), "token long, m long, r0 long, r1 long, o int, piece binary", _cut_out)
     pieces = stored(pieces, "pieces")
     settle(spark)
@@ -269,10 +374,13 @@ def repeated(docs: DataFrame) -> DataFrame:
     hot = cut(_hot(pieces.join(hot_anchors, "m", "left_semi").dropDuplicates(["m", "r0", "r1"])))
     discard(pieces)
     settle(spark)
-    found = again.union(part).union(hot).groupBy("m", "r0", "r1").agg(F.flatten(F.collect_list("found")).alias("found"))
-    places = runs.select("t0", "t1", "a", "m", "r0", "r1").distinct().join(found, ["m", "r0", "r1"])
+    found = cut(again.union(part).union(hot).groupBy("m", "r0", "r1").agg(F.flatten(F.collect_list("found")).alias("found")))
+    places = runs.select("t0", "t1", "a", "m", "r0", "r1").distinct().join(light(found, FOUND_ROWS), ["m", "r0", "r1"])
     cover = places.groupBy("t0", "t1").agg(F.flatten(F.collect_list(F.transform("found", lambda x: x + F.col("a")))).alias("cover"))
-    cover = stored(cover, "cover")
+    said = owners.join(shared_words, "t0", "left").where("copies > 1 OR passage_words IS NOT NULL").drop("doc")
+    cover = stored(cover.join(said, ["t0", "t1"], "full_outer"), "cover")
+    discard(runs)
+    discard(shared)
     settle(spark)
     return cover
 
@@ -295,22 +403,24 @@ def keep(content: bytes, cover) -> tuple[bytes, int, int]:
 
 
 def dedup(docs: DataFrame, with_kept: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if wanted, kept, the bytes left."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, passage_words and, if wanted, kept, the bytes left."""
 
     def rows(batches):
         for batch in slices(batches):
             out = []
-            for text, cover in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for text, cover, copies, passage in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 content = (text or "").encode()
                 left, removed, spans = keep(content, cover)
-                out.append((len(content), removed, spans, hashlib.sha256(left).hexdigest(), *([left] if with_kept else [])))
+                words = len(content.split()) if copies else 0
+                words = words if words >= PASSAGE and copies > 1 else passage or 0
+                out.append((len(content), removed, spans, hashlib.sha256(left).hexdigest(), words, *([left] if with_kept else [])))
             yield [batch.column(0), *map(list, zip(*out, strict=True))]
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *text_hashes())
-    joined = keyed.join(repeated(docs), ["t0", "t1"], "left").select("doc_id", "text", "cover")
-    return arrow_map(joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else ""), rows)
+    joined = keyed.join(repeated(docs), ["t0", "t1"], "left").select("doc_id", "text", "cover", "copies", "passage_words")
+    return arrow_map(joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_words long" + (", kept binary" if with_kept else ""), rows)
 
 
 def op3_suffixdedup(spark, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of repeated 400-byte strings."""
+    """Every document without the bytes of repeated 400-byte strings, and its words in passages that repeat."""
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False)

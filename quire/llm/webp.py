@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -77,17 +78,16 @@ class Bits:
 class Prefix:
     """A prefix code: canonical codes by length, as a table over all values of the longest code's bits, first bit highest."""
 
-    def __init__(self, lengths: np.ndarray):
-        used = np.flatnonzero(lengths)
-        if not len(used):
+    def __init__(self, symbols: list[int], lengths: list[int]):
+        if not symbols:
             raise ValueError("a prefix code without symbols")
-        sizes = lengths[used]
+        self.single = symbols[0] if len(symbols) == 1 else None
+        self.longest = max(lengths) if self.single is None else 0
+        sizes = np.array(lengths)
         order = np.argsort(sizes, kind="stable")
-        symbols, sizes = used[order], sizes[order]
-        self.longest = int(sizes[-1])
-        self.single = int(symbols[0]) if len(used) == 1 else None
+        symbols, sizes = np.array(symbols)[order], sizes[order]
         if self.single is not None:
-            self.longest, sizes = 0, sizes * 0
+            sizes = sizes * 0
         times = np.left_shift(1, self.longest - sizes)
         if int(times.sum()) != 1 << self.longest:
             raise ValueError("a prefix code that isn't complete")
@@ -127,55 +127,53 @@ def mirrored(n: int) -> np.ndarray:
 
 @lru_cache(maxsize=256)
 def _code_of_lengths(stored: int, n: int) -> Prefix:
-    lengths = np.zeros(19, np.int64)
-    lengths[LENGTH_ORDER[:n]] = [stored >> 3 * i & 7 for i in range(n)]
-    return Prefix(lengths)
+    lengths = dict(sorted((LENGTH_ORDER[i], stored >> 3 * i & 7) for i in range(n) if stored >> 3 * i & 7))
+    return Prefix(list(lengths), list(lengths.values()))
 
 
 def read_prefix(bits: Bits, alphabet: int) -> Prefix:
-    lengths = np.zeros(max(alphabet, 256), np.int64)
     if bits.read(1):
         two, wide = bits.read(1), bits.read(1)
-        lengths[bits.read(8 if wide else 1)] = 1
-        if two:
-            lengths[bits.read(8)] = 1
-        return Prefix(lengths)
+        symbols = {bits.read(8 if wide else 1)} | ({bits.read(8)} if two else set())
+        return Prefix(sorted(symbols), [1] * len(symbols))
     n = 4 + bits.read(4)
     code = _code_of_lengths(bits.read(3 * n), n)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
     listed, mask = code.lowest_first(), (1 << code.longest) - 1
-    out, before = [], 8
-    word, k, limit = 0, 0, -1  # bits from bits.at - k on
-    while len(out) < alphabet and left:
-        if k > limit:
-            bits.at += k
-            skip = bits.at & 7
-            word, k, limit = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 64], "little") >> skip, 0, 480 - skip
-            if bits.at > bits.end:
+    at, symbols, lengths = 0, [], []
+    while left and at < alphabet:
+        # 72 codes with what follows them, of 14 bits at most, lie in one number
+        word, k = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 128], "little") >> (bits.at & 7), 0
+        for i in range(min(left, 72)):
+            entry = listed[word >> k & mask]
+            k += entry & 15
+            n = entry >> 4
+            if n < 16:
+                if n:
+                    symbols.append(at)
+                    lengths.append(n)
+                at += 1
+            elif n == 16:
+                times = 3 + (word >> k & 3)
+                k += 2
+                symbols += range(at, at + times)
+                lengths += [lengths[-1] if lengths else 8] * times
+                at += times
+            elif n == 17:
+                at += 3 + (word >> k & 7)
+                k += 3
+            else:
+                at += 11 + (word >> k & 127)
+                k += 7
+            if at >= alphabet:
                 break
-        left -= 1
-        entry = listed[word >> k & mask]
-        k += entry & 15
-        n = entry >> 4
-        if n < 16:
-            if n:
-                before = n
-            out.append(n)
-        elif n == 16:
-            out += [before] * (3 + (word >> k & 3))
-            k += 2
-        elif n == 17:
-            out += [0] * (3 + (word >> k & 7))
-            k += 3
-        else:
-            out += [0] * (11 + (word >> k & 127))
-            k += 7
-    bits.at += k
-    if bits.at > bits.end:
-        raise ValueError("the stream ends too early")
-    if len(out) > alphabet:
+        left -= i + 1
+        bits.at += k
+        if bits.at > bits.end:
+            raise ValueError("the stream ends too early")
+    if at > alphabet:
         raise ValueError("more code lengths than symbols")
-    return Prefix(np.array(out, np.int64))
+    return Prefix(symbols, lengths)
 
 
 def _extra(symbol):
@@ -269,12 +267,12 @@ def read_tokens(bits: Bits, codes: list[Prefix], total: int):
                 after = stop[far] + _extra((g[far] >> 4) - 256)
                 d = look(4, after)
                 ends[far] = after + (d & 15) + _extra(d >> 4)
-        follow, p, chain = memoryview(ends), 0, []
+        follow, p, chain = memoryview(ends), 0, array("q")
         add = chain.append
         while p < n:
             add(p)
             p = follow[p]
-        chain = np.array(chain)
+        chain = np.frombuffer(chain, np.int64)
         s = g[chain] >> 4
         colour, length, code = np.zeros(len(s), np.int64), np.ones(len(s), np.int64), np.zeros(len(s), np.int64)
         literal = np.flatnonzero(s < 256)
@@ -309,10 +307,14 @@ def read_tokens(bits: Bits, codes: list[Prefix], total: int):
 
 def place(symbol, colour, length, code, width, total, cache_bits) -> np.ndarray:
     """The pixels of an image's tokens."""
-    first = np.cumsum(length) - length
-    out = np.zeros(total, np.int64)
-    out[first[symbol < 256]] = colour[symbol < 256]
     cached = symbol >= 256 + N_LENGTHS
+    copies = np.flatnonzero((symbol >= 256) & ~cached).tolist()
+    if copies:
+        first = np.cumsum(length) - length
+        out = np.zeros(total, np.int64)
+        out[first[symbol < 256]] = colour[symbol < 256]
+    else:
+        first, out = np.arange(total), colour
     cache = np.zeros(1 << cache_bits, np.int64) if cached.any() else None
     begin = 0  # the first pixel that the cache doesn't hold yet
 
@@ -325,11 +327,10 @@ def place(symbol, colour, length, code, width, total, cache_bits) -> np.ndarray:
         if at[0] > begin:
             cache[_slot(out[begin : at[0]], cache_bits)] = out[begin : at[0]]
         key = np.where(here, symbol[lo:hi] - 256 - N_LENGTHS, _slot(out[at], cache_bits))
-        order = np.argsort(key, kind="stable")
-        sorted_key, source = key[order], np.where(here[order], -1, np.arange(len(order)))
-        place_in = np.arange(len(order))
+        order = np.argsort(key.astype(np.uint16), kind="stable")
+        sorted_key, place_in = key[order], np.arange(len(order))
+        source = np.maximum.accumulate(np.where(here[order], -1, place_in))
         place_in[1:][sorted_key[1:] == sorted_key[:-1]] = 0
-        source = np.maximum.accumulate(source)
         inside = source >= np.maximum.accumulate(place_in)  # else the cache has it from before
         value = np.where(inside, out[at[order[source]]], cache[sorted_key])
         out[at[order]] = value
@@ -337,7 +338,7 @@ def place(symbol, colour, length, code, width, total, cache_bits) -> np.ndarray:
         begin = int(at[-1]) + 1
 
     last = 0
-    for i in np.flatnonzero((symbol >= 256) & ~cached).tolist():
+    for i in copies:
         settle(last, i)
         last = i + 1
         d, at, n = _distance(int(code[i]), width), int(first[i]), int(length[i])
@@ -472,6 +473,11 @@ def undo_palette(pixels: np.ndarray, packed_width: int, width: int, colours: np.
     return table[green].ravel()
 
 
+def turned(p: np.ndarray) -> np.ndarray:
+    """ARGB numbers to the numbers that R, G, B, A bytes are, or back."""
+    return (p & 0xFF00FF00) | (p & 255) << 16 | (p >> 16 & 255)
+
+
 def decode_stream(data: bytes) -> np.ndarray:
     """A VP8L stream to an array (height, width, 4) of R, G, B, A."""
     bits = Bits(data)
@@ -503,7 +509,7 @@ def decode_stream(data: bytes) -> np.ndarray:
     pixels = read_image(bits, now, height, True)
     for f in reversed(undo):
         pixels = f(pixels)
-    return _channels(pixels)[:, [1, 2, 3, 0]].astype(np.uint8).reshape(height, width, 4)
+    return turned(pixels).astype("<u4").view(np.uint8).reshape(height, width, 4)
 
 
 def chunks(data: bytes) -> dict[bytes, bytes]:
@@ -570,81 +576,77 @@ MORE_BITS = np.array([4] * 16 + [6, 7, 11])
 CODE_OF_LENGTHS = sum(4 << 3 * i for i, s in enumerate(LENGTH_ORDER) if s <= MOST_BITS or s >= 16)
 
 
-def code_lengths(counts: np.ndarray, most: int) -> np.ndarray:
-    """Lengths, ``most`` at most, of a complete prefix code: near the logarithm of each symbol's share, the rarest made less rare;
-    what is left over shortens the codes of the commonest that it is enough for."""
-    used = np.flatnonzero(counts)
-    out = np.zeros(len(counts), np.int64)
-    if len(used) < 2:
-        out[used] = 1
-        return out
-    count = counts[used]
-    total = int(count.sum())
-    least = total / ((1 << most) - len(used))
-    sizes = np.maximum(1, np.ceil(np.log2((total + least * len(used)) / (count + least)) - 1e-9)).astype(np.int64)
-    top = int(sizes.max())
-    spare = (1 << top) - int(np.left_shift(1, top - sizes).sum())
-    if spare:
-        order = np.argsort(-count, kind="stable").tolist()
-        listed = sizes.tolist()
+def code_lengths(counts: np.ndarray, group: np.ndarray, starts: np.ndarray, most: int) -> np.ndarray:
+    """Lengths, ``most`` at most, of complete prefix codes, one for each group of at least two symbols (counts above 0, by group):
+    near the logarithm of each symbol's share, the rarest made less rare; what is left over shortens the codes of the commonest
+    that it is enough for."""
+    total, n = np.add.reduceat(counts, starts), np.diff(np.append(starts, len(counts)))
+    least = total / ((1 << most) - n)
+    sizes = np.maximum(1, np.ceil(np.log2((total + least * n)[group] / (counts + least[group])) - 1e-9)).astype(np.int64)
+    top = np.maximum.reduceat(sizes, starts)
+    spares = (np.left_shift(1, top) - np.add.reduceat(np.left_shift(1, top[group] - sizes), starts)).tolist()
+    order = np.lexsort((-counts, group)).tolist()
+    listed = sizes.tolist()
+    for spare, first, k, t in zip(spares, starts.tolist(), n.tolist(), top.tolist(), strict=True):
         while spare:
-            for i in order:
-                cost = 1 << (top - listed[i])
+            for i in order[first : first + k]:
+                cost = 1 << (t - listed[i])
                 while cost <= spare and listed[i] > 1:
                     listed[i] -= 1
                     spare -= cost
                     cost <<= 1
                 if not spare:
                     break
-        sizes = np.array(listed)
-    out[used] = sizes
-    return out
-
-
-def codes_of(lengths: np.ndarray) -> np.ndarray:
-    """The code of each symbol, as it is stored."""
-    used = np.flatnonzero(lengths)
-    order = used[np.argsort(lengths[used], kind="stable")]
-    steps = np.left_shift(1, 15 - lengths[order])
-    out = np.zeros(len(lengths), np.int64)
-    out[order] = mirrored(15)[np.cumsum(steps) - steps]
-    return out
-
-
-def write_code(out: Writer, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Store a prefix code; its codes and their sizes as the pixels use them."""
-    used = np.flatnonzero(lengths).tolist()
-    if not used:
-        used = [0]
-    if len(used) <= 2 and used[-1] < 256:
-        out.put(1, 1)
-        out.put(len(used) - 1, 1)
-        out.put(1, 1)
-        for s in used:
-            out.put(s, 8)
-    else:
-        at = np.flatnonzero(lengths)
+    return np.array(listed)
+
+
+def write_codes(out: Writer, counts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Store a prefix code for each alphabet's counts; codes, lowest bit first, and their sizes by symbol."""
+    used = [np.flatnonzero(c) for c in counts]
+    result = [(np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)) for c in counts]
+    normal = [i for i, u in enumerate(used) if len(u) > 2 or (len(u) == 2 and u[1] > 255)]
+    stored = {}
+    if normal:
+        n = [len(used[i]) for i in normal]
+        at, group = np.concatenate([used[i] for i in normal]), np.repeat(np.arange(len(n)), n)
+        starts = np.cumsum(n) - n
+        sizes = code_lengths(np.concatenate([counts[i][used[i]] for i in normal]), group, starts, MOST_BITS)
+        order = np.argsort(group << 4 | sizes, kind="stable")
+        steps = np.left_shift(1, 15 - sizes[order])
+        codes = np.empty(len(at), np.int64)
+        codes[order] = mirrored(15)[np.cumsum(steps) - steps & 32767]  # a complete code's steps add up to 32768
         gap = at.copy()
         gap[1:] -= at[:-1] + 1
+        gap[starts] = at[starts]
         rest = gap % 138
         # before each length its zeros: runs of 138, then a run or single ones; none after the last
         many, run = rest > 10, rest > 2
         kinds, more, times = np.full((3, len(at), 3), 18)
-        kinds[:, 1], kinds[:, 2] = np.where(many, 18, np.where(run, 17, 0)), lengths[at]
+        kinds[:, 1], kinds[:, 2] = np.where(many, 18, np.where(run, 17, 0)), sizes
         more[:, 0], more[:, 1], more[:, 2] = 127, np.where(many, rest - 11, np.where(run, rest - 3, 0)), 0
         times[:, 0], times[:, 1], times[:, 2] = gap // 138, np.where(run, 1, rest), 1
+        ends = np.cumsum(np.add.reduceat(times.sum(1), starts)).tolist()
         times = times.ravel()
         kinds, more = np.repeat(kinds.ravel(), times), np.repeat(more.ravel(), times)
-        out.put(0, 1)
-        out.put(19 - 4, 4)
-        out.put(CODE_OF_LENGTHS, 3 * 19)
-        wide = max(0, ((len(kinds) - 2).bit_length() - 1) // 2)
-        for value, n in ((1, 1), (wide, 3), (len(kinds) - 2, 2 + 2 * wide)):
-            out.put(value, n)
-        out.put_all(FOUR_BITS[kinds] | more << 4, MORE_BITS[kinds])
-    if len(used) == 1:
-        return np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    return codes_of(lengths), lengths
+        values, bits = FOUR_BITS[kinds] | more << 4, MORE_BITS[kinds]
+        for i, lo, k, a, b in zip(normal, starts.tolist(), n, [0, *ends], ends, strict=False):
+            stored[i] = values[a:b], bits[a:b]
+            result[i][0][used[i]], result[i][1][used[i]] = codes[lo : lo + k], sizes[lo : lo + k]
+    for i, u in enumerate(used):
+        if i in stored:
+            n_tokens = len(stored[i][0])
+            wide = max(0, ((n_tokens - 2).bit_length() - 1) // 2)
+            for value, k in ((0, 1), (19 - 4, 4), (CODE_OF_LENGTHS, 3 * 19), (1, 1), (wide, 3), (n_tokens - 2, 2 + 2 * wide)):
+                out.put(value, k)
+            out.put_all(*stored[i])
+            continue
+        symbols = u.tolist() or [0]
+        out.put(1 | len(symbols) - 1 << 1 | 1 << 2, 3)
+        for symbol in symbols:
+            out.put(symbol, 8)
+        if len(symbols) == 2:
+            result[i][0][symbols[1]], result[i][1][u] = 1, 1
+    return result
 
 
 def _split_value(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -748,15 +750,17 @@ def write_image(out: Writer, pixels: np.ndarray, width: int, main: bool) -> None
         out.put(0, 1)
     if main:
         out.put(0, 1)
-    stored = [write_code(out, code_lengths(np.bincount(symbol[starts], minlength=alphabet), MOST_BITS))]
-    for channel in (r, b, a):
-        stored.append(write_code(out, code_lengths(np.bincount(channel[lit], minlength=256), MOST_BITS)))
-    distances = write_code(out, code_lengths(np.bincount(ds, minlength=N_DISTANCES) if copies else np.zeros(N_DISTANCES, np.int64), MOST_BITS))
+    plain = pixels[lit]
+    counts = [np.bincount(symbol[starts], minlength=alphabet), *(np.bincount(plain >> shift & 255, minlength=256) for shift in (16, 0, 24))]
+    *stored, distances = write_codes(out, [*counts, np.bincount(ds, minlength=N_DISTANCES) if copies else np.zeros(N_DISTANCES, np.int64)])
     value, bits = stored[0][0][symbol], stored[0][1][symbol]
-    for (code, size), channel in zip(stored[1:], (r, b, a), strict=True):
+    own, wide = value[lit], bits[lit]
+    for (code, size), shift in zip(stored[1:], (16, 0, 24), strict=True):
         if size.any():
-            value = value | np.where(lit, code[channel] << bits, 0)
-            bits = bits + np.where(lit, size[channel], 0)
+            channel = plain >> shift & 255
+            own |= code[channel] << wide
+            wide += size[channel]
+    value[lit], bits[lit] = own, wide
     if copies:
         more, k = value[at], bits[at]
         more = more | lx << k
@@ -841,8 +845,7 @@ def encode_payload(payload: bytes) -> bytes:
     if 4 * width * height != len(payload):
         more = b"SIZE" + struct.pack("<IQ", 8, len(payload))
         payload = payload.ljust(4 * width * height, b"\0")
-    p = np.frombuffer(payload, "<u4").astype(np.int64)  # A B G R, as R G B A bytes are
-    return wrap(encode_image((p & 0xFF00FF00) | (p & 255) << 16 | (p >> 16 & 255), width), more)
+    return wrap(encode_image(turned(np.frombuffer(payload, "<u4").astype(np.int64)), width), more)
 
 
 def decode_payload(data: bytes) -> bytes:

@@ -42,6 +42,42 @@ def test_suffixes_against_brute_force(spark, monkeypatch, hot):
     assert got == covered(texts)
 
 
+def in_passages(texts, length=50):
+    """Words of each text in passages of ``length`` words that another row has too."""
+    words = [(t or "").encode().split() for t in texts]
+    seen = defaultdict(set)
+    for d, w in enumerate(words):
+        for i in range(len(w) - length + 1):
+            seen[tuple(w[i : i + length])].add(d)
+    out = []
+    for w in words:
+        held = set()
+        for i in range(len(w) - length + 1):
+            if len(seen[tuple(w[i : i + length])]) > 1:
+                held |= set(range(i, i + length))
+        out.append(len(held))
+    return out
+
+
+@pytest.mark.parametrize("span", [1 << 20, 512])
+def test_passages_against_brute_force(spark, monkeypatch, span):
+    monkeypatch.setattr(suffixdedup, "SPAN", span)
+    monkeypatch.setattr(suffixdedup, "_UP", suffixdedup._powers(suffixdedup._POWER, span))
+    monkeypatch.setattr(suffixdedup, "_DOWN", suffixdedup._powers(suffixdedup._INVERSE, span))
+    rng = random.Random(8)
+    words = lambda n: [rng.choice("abcdefgh") * rng.randint(1, 3) + rng.choice(["", "é"]) for _ in range(n)]
+    passage = {n: words(n) for n in (49, 50, 51, 75, 200)}
+    texts = [None, "", " ".join(words(40)), "x" * 700, " ".join(["x" * 700] * 60)]
+    for p in passage.values():
+        texts += [" ".join(words(rng.randint(0, 90)) + p + words(rng.randint(0, 90))) for _ in range(2)]
+    texts += ["\n".join(words(5) + passage[200][20:90] + words(5)), " ".join(words(60) * 2), texts[5], " ".join(words(70))]
+    texts += [texts[-1]] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = suffixdedup.dedup(df).orderBy("doc_id").collect()
+    assert [r.passage_words for r in got] == in_passages(texts)
+    assert [tuple(r)[1:5] for r in got] == covered(texts)
+
+
 def test_suffixes_odd_rows(odd, none):
     rows = suffixdedup.dedup(odd).collect()
     assert len(rows) == odd.count() and suffixdedup.dedup(none).count() == 0
