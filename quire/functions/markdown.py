@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.functions.cells import plain
 from quire.schemas import SEGMENT
 
 HEADING = re.compile(r"^ {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$")
@@ -27,6 +27,10 @@ IMAGE = re.compile(r"!\[([^\]]*)\]\(([^)\s]+)[^)]*\)")
 HTML_IMAGE = re.compile(r"<img\s[^>]*src=[\"']([^\"']+)[\"']", re.IGNORECASE)
 
 
+def plain(text: str) -> str:
+    return " ".join(unicodedata.normalize("NFKC", text).split())
+
+
 def _fence_end(lines: list[str], at: int) -> int:
     """The line after a fenced block."""
     mark = FENCE.match(lines[at])[1]

@@ -31,10 +31,11 @@ NESTED_SIGNAL = r"(?i)Objects of|Supported Types:|Limits?:|description\s*\("
 PIPE_SEPARATOR = r"^\|\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|$"
 ENDS = ".!?;:。！？；：…）)」】》"
 STRUCTURE_ENDS = "。！？.!?;；:：”」』）)]"
-COMMON_WORDS = (
-    "a an the this that these those is are was were be been being have has had do does did will would shall should may might can could "
-    "not no or and but if of at by for in on to with from as all each every any some its per"
-).split()
+COMMON_WORDS = [
+    "a", "an", "the", "this", "that", "these", "those", "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "do", "does", "did",
+    "will", "would", "shall", "should", "may", "might", "can", "could", "not", "no", "or", "and", "but", "if", "of", "at", "by", "for", "in", "on", "to",
+    "with", "from", "as", "all", "each", "every", "any", "some", "its", "per",
+]
 ILLEGAL_IN_NAMES = '<>:"/\\|?*'
 
 

@@ -444,7 +444,7 @@ def prd_title_overlap(spark, sf):
 @query()
 def str_cell_text(spark, sf):
     rows = [("cryptoAd\ndressInfo",), ("complete\nTime",), ("the value\r\n\nof Time",), ("Format\n- one",), ("Limits:\nNext",), ("frequency 1-Less than\nday V1- Lower",), ("List<Str\ning>",)]
-    return literal(spark, "raw string", rows).select("raw", cells.clean_cell("raw").alias("clean"), cells.clean_description("raw").alias("described"))
+    return literal(spark, "raw string", rows).select("raw", cells.clean_cell(F.col("raw")).alias("clean"), cells.clean_description(cells.clean_cell(F.col("raw"))).alias("described"))
 
 
 @query(f"""WITH t AS {TABLE_VALUES} SELECT page, ordinal, array_to_string(list_concat(['| ' || array_to_string(headers, ' | ') || ' |', '| ' || array_to_string(list_transform(headers, lambda h: '---'), ' | ') || ' |'],

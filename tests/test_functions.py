@@ -60,19 +60,29 @@ def test_names(spark):
     assert column(spark, T.fitted_name(F.col("x"), 12), ["short.md", "a very long file name.md", "x" * 20]) == ["short.md", "a very__.md", "x" * 10 + "__"]
 
 
-def test_cells():
-    assert cells.cell_text("cryptoAd\ndressInfo") == "cryptoAddressInfo"
-    assert cells.cell_text("List<Str\r\ning>") == "List<String>"
-    assert cells.cell_text("ends here:\nNext line") == "ends here:\nNext line"
-    assert cells.cell_text("first item\n- second") == "first item\n- second"
-    assert cells.cell_text("some longer\nsentence continues") == "some longer sentence continues"
-    assert cells.description("Format\none") == "Format:\n• one"
-    assert cells.description("value Allowed: yes") == "value\nAllowed: yes"
-    assert cells.short_title("Objects of list Mandatory field") == "Objects of list"
-    assert cells.short_title("x (Objects of y) Mandatory") == "x (Objects of y) Mandatory"
-    assert cells.clean_headers(["Parameter", "Mandatory", "Type", "Remarks"], []) == cells.PARAMETERS
-    assert cells.clean_rows(["A", "B"], [["a", "b"], ["1", None]]) == [["1", ""]]
-    assert cells.section_title(["Fields of order", "", ""]) == "Fields of order" and cells.section_title(["a", "b", "c"]) is None
+def test_cells(spark):
+    cell = lambda x: column(spark, cells.clean_cell(F.col("x")), [x])[0]
+    assert cell("cryptoAd\ndressInfo") == "cryptoAddressInfo"
+    assert cell("List<Str\r\ning>") == "List<String>"
+    assert cell("ends here:\nNext line") == "ends here:\nNext line"
+    assert cell("first item\n- second") == "first item\n- second"
+    assert cell("some longer\nsentence continues") == "some longer sentence continues"
+    assert column(spark, cells.clean_description(F.col("x")), ["Format\none", "value Allowed: yes"]) == ["Format:\n• one", "value\nAllowed: yes"]
+    assert column(spark, cells.short_title(F.col("x")), ["Objects of list Mandatory field", "x (Objects of y) Mandatory"]) == ["Objects of list", "x (Objects of y) Mandatory"]
+    strings, table = lambda *x: F.array(*map(F.lit, x)), lambda *rows: F.array(*(F.array(*map(F.lit, r)) for r in rows))
+    assert column(spark, cells.clean_headers(strings("Parameter", "Mandatory", "Type", "Remarks"), F.lit(None).cast("array<string>")), ["x"]) == [cells.PARAMETERS]
+    assert column(spark, cells.clean_rows(strings("A", "B"), table(["a", "b"], ["1", ""])), ["x"]) == [[["1", ""]]]
+    assert column(spark, cells.section_title(strings("Fields of order", "", "")), ["x"]) == ["Fields of order"] and column(spark, cells.section_title(strings("a", "b", "c")), ["x"]) == [None]
+
+
+def test_seams(spark):
+    """An example for each rule, and one for none."""
+    rows = {
+        "end.\nStart": "end.\nStart", "List<A\nBc>": "List<ABc>", "cryptoAd\ndressInfo": "cryptoAddressInfo", "complete\nTime": "completeTime", "the value\nTime": "the value Time", "of\nTime": "of Time",
+        "amou\nnt": "amount", "a\nmount due": "a mount due", "V\nalue": "Value", "see Allowed\nvalues here": "see Allowed\nvalues here", "code 1\nNext": "code 1\nNext", "some words\nMandatory": "some words\nMandatory",
+        "any text\nA1 - lower": "any text\nA1 - lower", "longer words\ncontinue": "longer words continue", "full Ｆｏｒｍａｔ\nx": "full Ｆｏｒｍａｔ\nx", " \n\r\n": "",
+    }
+    assert column(spark, cells.clean_cell(F.col("x")), list(rows)) == list(rows.values())
 
 
 TEXT = "# T\n\npara\ngoes on\n\n* x\n* y\n\n1. one\n\n| a | b |\n|--|:-:|\n| 1 |2|\n\n```py\ncode\n\nmore\n```\n\n![alt](p.png) ![b](q.png)\n\n<div>\nz\n</div>\n\n    indented\n\nend"
