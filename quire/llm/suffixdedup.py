@@ -18,10 +18,9 @@ last string and shape, for single strings the eight bytes at the anchor and a 64
 documents; documents of one text are counted as such and worked on once. Long texts are hashed ``SPAN`` bytes at a time, so that
 memory doesn't grow with them beyond a few times their own size; a run that a span's end cuts is a run of its own.
 
-``passages`` looks for something else, which says more about short repeats: words (between ASCII white space) in passages of at
-least ``PASSAGE`` words that another document has too. Of each window of that many words the least ``SEED``-word gram is kept;
-a repeated passage has a gram that repeats, so only documents with such grams give all their windows around them, and a window
-counts if two texts have it.
+``passages`` looks for something else, which says more about short repeats: how many windows of ``PASSAGE`` words (between ASCII
+white space) of a document another one has too. Of each window the least ``SEED``-word gram is kept; a repeated window has a gram
+that repeats, so only documents with such grams give their windows around them, and a window counts if two texts have it.
 
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes stay whole; copies of a text lose all that is as long as ``LENGTH``;
 null ids, repeated rows and extra columns change nothing (rows are told apart by text alone); an empty table gives an
@@ -172,8 +171,8 @@ def word_hashes(content: bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
-def windows_of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Place, hash and hash of the least gram of each window of PASSAGE words, some at a time."""
+def windows_of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hash, and hash of the least gram, of each window of PASSAGE words, some at a time."""
     step = SPAN // 8
     for lo in range(0, len(words) - PASSAGE + 1, step):
         h = [words[lo : lo + step + PASSAGE - 1]]
@@ -187,14 +186,14 @@ def windows_of(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         for k in range(4):
             least = np.minimum(least[: -(1 << k)], least[1 << k :])
         least = np.minimum(least[:n], least[15 : 15 + n])  # the least of 31
-        yield lo + np.arange(n), whole, least
+        yield whole, least
 
 
 def _grams_of(batches):
     for batch in slices(batches, 2 << 20):
         keys, grams = [], []
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for _, _, least in windows_of(word_hashes(text.encode())):
+            for _, least in windows_of(word_hashes(text.encode())):
                 grams.append(np.unique(least))
                 keys.append(np.full(len(grams[-1]), key))
         if grams:
@@ -205,28 +204,25 @@ def _windows_around(batches):
     for batch in slices(batches, 1 << 20):
         for key, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             wanted = np.array(wanted, np.int64).view(np.uint64)
-            for place, whole, least in windows_of(word_hashes(text.encode())):
+            for whole, least in windows_of(word_hashes(text.encode())):
                 at = np.isin(least, wanted)
-                yield [np.full(int(at.sum()), key), whole[at].view(np.int64), place[at].astype(np.int32)]
+                yield [np.full(int(at.sum()), key), whole[at].view(np.int64)]
 
 
 def passages(keyed: DataFrame, owners: DataFrame) -> DataFrame:
-    """t0 and passage_words of texts that share a passage with another text. ``keyed``: t0, t1, text, doc; ``owners``: t0, t1, doc."""
+    """t0 and passage_windows of texts that share a window with another text. ``keyed``: t0, t1, text, doc; ``owners``: t0, t1, doc."""
     spark = keyed.sparkSession
     long = keyed.where(F.octet_length("text") >= 2 * PASSAGE - 1)
     grams = stored(arrow_map(long.select("t0", "text"), "t0 long, g long", _grams_of), "grams")
     twice = lambda rows, key: rows.groupBy(key).agg(F.min("t0").alias("lo"), F.max("t0").alias("hi")).where("lo <> hi").select(key)
     wanted = grams.join(light(cut(twice(grams, "g"))), "g").groupBy("t0").agg(F.collect_set("g").alias("wanted"))
     asked = long.join(owners.join(wanted, "t0"), ["t0", "t1", "doc"]).dropDuplicates(["t0", "t1"])
-    windows = stored(arrow_map(asked.select("t0", "text", "wanted"), "t0 long, w long, i int", _windows_around), "windows")
+    windows = stored(arrow_map(asked.select("t0", "text", "wanted"), "t0 long, w long", _windows_around), "windows")
     discard(grams)
-    found = windows.join(light(cut(twice(windows, "w"))), "w").groupBy("t0").agg(F.array_sort(F.collect_set("i")).alias("at"))
-    # each window adds the words behind the end of the one before
-    add = lambda s, i: F.struct(i.alias("last"), (s["n"] + F.least(F.lit(PASSAGE), i - s["last"])).alias("n"))
-    words = cut(found.select("t0", F.aggregate("at", F.struct(F.lit(-PASSAGE).alias("last"), F.lit(0).alias("n")), add)["n"].cast("long").alias("passage_words")))
+    found = cut(windows.join(light(cut(twice(windows, "w"))), "w").groupBy("t0").agg(F.count("*").alias("passage_windows")))
     discard(windows)
     settle(spark)
-    return words
+    return found
 
 
 def _cut_out(batches):
@@ -348,11 +344,11 @@ def settle(spark) -> None:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """t0, t1 (the text's hashes), copies, cover: first and last places of strings that occur elsewhere, flat, and passage_words."""
+    """t0, t1 (the text's hashes), copies, cover: first and last places of strings that occur elsewhere, flat, and passage_windows."""
     spark = docs.sparkSession
     keyed = docs.select(*text_hashes(), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"))
     owners = cut(keyed.groupBy("t0", "t1").agg(F.min("doc").alias("doc"), F.count("*").alias("copies")))
-    shared_words = passages(keyed, owners.select("t0", "t1", "doc"))
+    shared_windows = passages(keyed, owners.select("t0", "t1", "doc"))
     runs = stored(arrow_map(keyed.where(F.octet_length("text") >= LENGTH).select("t0", "t1", "text"), f"{WHERE}, m long, r0 long, r1 long", _spread), "runs")
     # place: a, b - a and o - a in one number, since every byte of these rows is shuffled twice
     place = F.shiftleft(F.col("a").cast("long"), 18) + (F.col("b") - F.col("a")) * 512 + (F.col("o") - F.col("a"))
@@ -377,7 +373,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     found = cut(again.union(part).union(hot).groupBy("m", "r0", "r1").agg(F.flatten(F.collect_list("found")).alias("found")))
     places = runs.select("t0", "t1", "a", "m", "r0", "r1").distinct().join(light(found, FOUND_ROWS), ["m", "r0", "r1"])
     cover = places.groupBy("t0", "t1").agg(F.flatten(F.collect_list(F.transform("found", lambda x: x + F.col("a")))).alias("cover"))
-    said = owners.join(shared_words, "t0", "left").where("copies > 1 OR passage_words IS NOT NULL").drop("doc")
+    said = owners.join(shared_windows, "t0", "left").where("copies > 1 OR passage_windows IS NOT NULL").drop("doc")
     cover = stored(cover.join(said, ["t0", "t1"], "full_outer"), "cover")
     discard(runs)
     discard(shared)
@@ -403,7 +399,7 @@ def keep(content: bytes, cover) -> tuple[bytes, int, int]:
 
 
 def dedup(docs: DataFrame, with_kept: bool = True) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, passage_words and, if wanted, kept, the bytes left."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, passage_windows and, if wanted, kept, the bytes left."""
 
     def rows(batches):
         for batch in slices(batches):
@@ -411,16 +407,15 @@ def dedup(docs: DataFrame, with_kept: bool = True) -> DataFrame:
             for text, cover, copies, passage in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
                 content = (text or "").encode()
                 left, removed, spans = keep(content, cover)
-                words = len(content.split()) if copies else 0
-                words = words if words >= PASSAGE and copies > 1 else passage or 0
-                out.append((len(content), removed, spans, hashlib.sha256(left).hexdigest(), words, *([left] if with_kept else [])))
+                windows = max(0, len(content.split()) - PASSAGE + 1) if copies and copies > 1 else passage or 0
+                out.append((len(content), removed, spans, hashlib.sha256(left).hexdigest(), windows, *([left] if with_kept else [])))
             yield [batch.column(0), *map(list, zip(*out, strict=True))]
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *text_hashes())
-    joined = keyed.join(repeated(docs), ["t0", "t1"], "left").select("doc_id", "text", "cover", "copies", "passage_words")
-    return arrow_map(joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_words long" + (", kept binary" if with_kept else ""), rows)
+    joined = keyed.join(repeated(docs), ["t0", "t1"], "left").select("doc_id", "text", "cover", "copies", "passage_windows")
+    return arrow_map(joined, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, passage_windows long" + (", kept binary" if with_kept else ""), rows)
 
 
 def op3_suffixdedup(spark, sf_dir: str) -> DataFrame:
-    """Every document without the bytes of repeated 400-byte strings, and its words in passages that repeat."""
+    """Every document without the bytes of repeated 400-byte strings, and how many windows of 50 words of it others have."""
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_kept=False)

@@ -43,20 +43,14 @@ def test_suffixes_against_brute_force(spark, monkeypatch, hot):
 
 
 def in_passages(texts, length=50):
-    """Words of each text in passages of ``length`` words that another row has too."""
+    """Windows of ``length`` words of each text that another row has too."""
     words = [(t or "").encode().split() for t in texts]
+    windows = [[tuple(w[i : i + length]) for i in range(len(w) - length + 1)] for w in words]
     seen = defaultdict(set)
-    for d, w in enumerate(words):
-        for i in range(len(w) - length + 1):
-            seen[tuple(w[i : i + length])].add(d)
-    out = []
-    for w in words:
-        held = set()
-        for i in range(len(w) - length + 1):
-            if len(seen[tuple(w[i : i + length])]) > 1:
-                held |= set(range(i, i + length))
-        out.append(len(held))
-    return out
+    for d, ws in enumerate(windows):
+        for w in ws:
+            seen[w].add(d)
+    return [sum(len(seen[w]) > 1 for w in ws) for ws in windows]
 
 
 @pytest.mark.parametrize("span", [1 << 20, 512])
@@ -74,7 +68,7 @@ def test_passages_against_brute_force(spark, monkeypatch, span):
     texts += [texts[-1]] * 2
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     got = suffixdedup.dedup(df).orderBy("doc_id").collect()
-    assert [r.passage_words for r in got] == in_passages(texts)
+    assert [r.passage_windows for r in got] == in_passages(texts)
     assert [tuple(r)[1:5] for r in got] == covered(texts)
 
 
