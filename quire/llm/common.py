@@ -7,19 +7,20 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session.
-
-    Only a session without that setting (a test on one machine) gets a folder of its own."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Only a session on one machine gets a folder of its own
+    without that setting; on a cluster a local folder would lose rows, so it is an error there."""
     context = spark.sparkContext
     known = context.getCheckpointDir()
     if known is None:
         configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quire-checkpoint-"))
         known = context.getCheckpointDir()
     return known.rstrip("/")
@@ -48,10 +49,12 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def light(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """A checkpointed table of a few short columns as a broadcast side if it has at most ``rows`` rows; else as it is, for a shuffle
-    join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def light(df: DataFrame, rows: int = 1_000_000, weight: Column | None = None) -> DataFrame:
+    """A checkpointed table of a few short columns as a broadcast side if it has at most ``rows`` rows, or at most so much
+    ``weight`` in all where rows hold arrays; else as it is, for a shuffle join that adaptive execution can split."""
+    if weight is None:
+        return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= rows else df
 
 
 def arrow_map(df: DataFrame, schema: str | T.StructType, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[list]]) -> DataFrame:

@@ -27,6 +27,8 @@ from quire.llm.common import cut, light, stored
 
 DEPTH, MIN_DOCS, SIMILAR = 3, 10, 0.7
 LONG, LONG_DOCS = 50, 2
+#: Most fixed tokens of patterns that are broadcast to the lines of their leaves.
+FIXED_TOKENS = 500_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -61,10 +63,11 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, sim
     places = variants.select("leaf", "n", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.sum("n").alias("n"))
     fixed = places.join(leaves, "leaf").where(F.col("n") * 2 > F.col("total")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("place", "token"))).alias("fixed"))
     same = F.size(F.filter(F.transform("tokens", lambda t, i: t == F.try_element_at("fixed", i)), lambda x: x))
+    fixed = light(cut(fixed), FIXED_TOKENS, F.size("fixed"))
     members = variants.join(fixed, "leaf").where(same >= similar * F.size("tokens")).select("leaf", "hash")
     members = cut(members)
     patterns = lines.join(members, ["leaf", "hash"]).groupBy("leaf").agg(F.count_distinct("doc").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= min_docs).select("leaf", F.col("first").alias("pattern_first"))
-    by_pattern = members.join(patterns, "leaf")
+    by_pattern = members.join(light(cut(patterns)), "leaf")
     by_line = each.where(F.col("n") >= min_docs).select("leaf", "hash", "first")
     both = by_line.join(by_pattern, ["leaf", "hash"], "full_outer")
     return lines, cut(both.select("leaf", "hash", F.coalesce("pattern_first", "first").alias("first")))

@@ -8,8 +8,9 @@
   shards by a multivariate hypergeometric draw, exactly half of the blocks to each side, and so on down to single shards. Shards
   then take disjoint runs of each source's permuted blocks, and a hash orders the documents within a shard.
 
-Only counts by source and block are aggregated, so a source that holds most rows is no hot key; the plan has one row a source with
-a map of at most ``2 * blocks`` entries, and Spark broadcasts it only below its own size threshold.
+Only counts by source and block are aggregated, so a source that holds most rows is no hot key. The plan has one row a source with
+a map of at most ``2 * blocks`` entries; it is broadcast if it holds at most ``PLAN_ENTRIES`` of them, so that rows stay where they
+were read, else joined by a shuffle. Targets and the splitting tree hold all sources in one row: fine for some hundred thousand sources.
 
 Defined cases: a null or empty text has size 0 and is never taken; a null source is a source of its own; repeated rows fall into the
 same block and are treated alike; a null id takes part by its text; extra columns, whatever their names, pass through ``mix``
@@ -23,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut
+from quire.llm.common import cut, light
 
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2.0
 BLOCKS, DEPTH, SEED = 128, 4, 20240117
+PLAN_ENTRIES = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -98,7 +100,7 @@ def plan(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CA
 
 def _drawn(size: Column, which: int, key: Column) -> Column:
     """Words and shard of one pass over a document."""
-    d = F.try_element_at("draws", F.col("block") * 2 + which)
+    d = F.try_element_at("__draws", F.col("__block") * 2 + which)
     part = F.coalesce(d["part"], F.lit(0.0))
     words = F.when(part >= 1, size).otherwise(F.least(size, F.floor(size * part + _uniform(F.lit(which + 7), key)))).cast("long")
     return F.struct(F.lit(which).alias("pass"), words.alias("words"), d["shard"].alias("shard"))
@@ -107,14 +109,16 @@ def _drawn(size: Column, which: int, key: Column) -> Column:
 def draw(docs: DataFrame, keep: list[Column], weights=WEIGHTS, share: float = SHARE, cap: float = CAP, blocks: int = BLOCKS, depth: int = DEPTH) -> DataFrame:
     """Columns ``keep`` with size, source_size, target, taken and drawn, an array of (pass, words, shard)."""
     key = F.xxhash64(F.lit(SEED), F.col("doc_id"), F.col("text"))
-    rows = docs.select(*keep, F.col("source").cast("string").alias("__source"), n_words(F.col("text")).alias("__size"), key.alias("__key"), F.pmod(key, F.lit(blocks)).cast("int").alias("block"))
-    goals = plan(rows.select(F.col("__source").alias("source"), "block", F.col("__size").alias("size")), weights, share, cap, depth)
-    joined = rows.join(goals.withColumnRenamed("source", "__known"), F.col("__source").eqNullSafe(F.col("__known")), "left")
+    rows = docs.select(*keep, F.col("source").cast("string").alias("__source"), n_words(F.col("text")).alias("__size"), key.alias("__key"), F.pmod(key, F.lit(blocks)).cast("int").alias("__block"))
+    goals = plan(rows.select(F.col("__source").alias("source"), F.col("__block").alias("block"), F.col("__size").alias("size")), weights, share, cap, depth)
+    entries = F.coalesce(F.size("__draws"), F.lit(0)) + 1
+    goals = goals.select(*(F.col(c).alias(f"__{c}") for c in ("source_size", "target", "draws")), F.col("source").alias("__known"))
+    joined = rows.join(light(goals, PLAN_ENTRIES, entries), F.col("__source").eqNullSafe(F.col("__known")), "left")
     drawn = F.filter(F.array(*(_drawn(F.col("__size"), i, F.col("__key")) for i in range(int(-(-cap // 1))))), lambda d: d["words"] > 0)
-    out = joined.withColumn("drawn", drawn)
-    taken = F.aggregate("drawn", F.lit(0).cast("long"), lambda a, d: a + d["words"])
-    names = [c for c in rows.columns if c not in ("__source", "__size", "__key", "block")]
-    return out.select(*names, F.col("__size").alias("size"), "source_size", "target", taken.alias("taken"), "drawn", "__key")
+    out = joined.withColumn("__drawn", drawn)
+    taken = F.aggregate("__drawn", F.lit(0).cast("long"), lambda a, d: a + d["words"])
+    names = [c for c in rows.columns if c not in ("__source", "__size", "__key", "__block")]
+    return out.select(*(F.col(f"`{c}`") for c in names), F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), taken.alias("taken"), F.col("__drawn").alias("drawn"), "__key")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:

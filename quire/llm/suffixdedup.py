@@ -45,6 +45,8 @@ SPAN = 1 << 20
 PASSAGE, SEED = 50, 20
 #: Most rows of what is found that are broadcast; each is a few dozen bytes.
 FOUND_ROWS = 200_000
+#: Most texts with copies whose hashes (24 bytes) are broadcast.
+COPIED_TEXTS = 1_000_000
 _seed = np.random.Generator(np.random.PCG64(3))
 _BYTE = _seed.integers(0, 2**64, 256, np.uint64)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -348,8 +350,14 @@ def repeated(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     keyed = docs.select(*text_hashes(), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc"))
     owners = cut(keyed.groupBy("t0", "t1").agg(F.min("doc").alias("doc"), F.count("*").alias("copies")))
-    shared_windows = passages(keyed, owners.select("t0", "t1", "doc"))
-    runs = stored(arrow_map(keyed.where(F.octet_length("text") >= LENGTH).select("t0", "t1", "text"), f"{WHERE}, m long, r0 long, r1 long", _spread), "runs")
+    # of texts with copies, all of which is repeated anyway, one row is worked on
+    several = cut(owners.where("copies > 1").select("t0", "t1", F.col("doc").alias("keeps")))
+    if several.limit(COPIED_TEXTS + 1).count() <= COPIED_TEXTS:
+        once = keyed.join(F.broadcast(several), ["t0", "t1"], "left").where("keeps IS NULL OR keeps = doc").drop("keeps")
+    else:
+        once = keyed  # copies are only more work; no text is shuffled to leave them out
+    shared_windows = passages(once, owners.select("t0", "t1", "doc"))
+    runs = stored(arrow_map(once.where(F.octet_length("text") >= LENGTH).select("t0", "t1", "text"), f"{WHERE}, m long, r0 long, r1 long", _spread), "runs")
     # place: a, b - a and o - a in one number, since every byte of these rows is shuffled twice
     place = F.shiftleft(F.col("a").cast("long"), 18) + (F.col("b") - F.col("a")) * 512 + (F.col("o") - F.col("a"))
     unique = runs.select("m", "r0", "r1", "t0", "t1", place.alias("place")).groupBy("m", "r0", "r1").agg(F.count("*").cast("int").alias("n"), *(F.first(c).alias(c) for c in ("t0", "t1", "place")))
@@ -405,9 +413,9 @@ def dedup(docs: DataFrame, with_kept: bool = True) -> DataFrame:
         for batch in slices(batches):
             out = []
             for text, cover, copies, passage in zip(*(c.to_pylist() for c in batch.columns[1:]), strict=True):
-                content = (text or "").encode()
-                left, removed, spans = keep(content, cover)
-                windows = max(0, len(content.split()) - PASSAGE + 1) if copies and copies > 1 else passage or 0
+                content, again = (text or "").encode(), copies is not None and copies > 1
+                left, removed, spans = keep(content, [0, len(content) - LENGTH] if again and len(content) >= LENGTH else cover)
+                windows = max(0, len(content.split()) - PASSAGE + 1) if again else passage or 0
                 out.append((len(content), removed, spans, hashlib.sha256(left).hexdigest(), windows, *([left] if with_kept else [])))
             yield [batch.column(0), *map(list, zip(*out, strict=True))]
 

@@ -8,14 +8,21 @@ every list. Each shard's answers are exact, so their merge is.
 Queries and candidates are both dealt to blocks, and a task holds one block of each, so that neither side is broadcast and a
 task's memory does not depend on the size of the tables.
 
-Defined cases: vectors that are null or hold a null or non-finite component, or one of which 64 times exceeds 2**26 in size, take
-no part; a missing component counts as 0 where lengths differ; an empty vector scores 0; equal scores go by the smaller id; rows
-with a query's own id are not its candidates; of rows that share a query's id, the smallest vector asks; repeated candidates
-stay; rows with a null id can't be named and take no part; an empty table gives an empty result; extra columns are ignored.
+Components are exact: scores of vectors whose components are small enough for 64-bit sums (``LIMIT``) are, others are scored with
+whole numbers of any size against all partners in the cell; only a score among the best that leaves the range of a long is an
+error. Where no bound can stop a query early, as with vectors of random directions, a query meets all vectors of a shard.
+
+Defined cases: vectors that are null or hold a null or non-finite component take no part; a missing component counts as 0 where
+lengths differ; an empty vector scores 0; equal scores go by the smaller id; rows with a query's own id are not its candidates; of
+rows that share a query's id, the smallest vector asks; repeated candidates stay; rows with a null id can't be named and take no
+part; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -28,34 +35,42 @@ QUERY_EVERY = 20
 SHARD_ROWS = 4096
 QUERY_ROWS = 1024
 LIMIT = 1 << 26
-#: Depths at which a query looks at its bound.
-DEPTHS = (16, 64, 256, 1024)
+#: Depths at which a query looks at its bound: the first, and each so many times the one before.
+FIRST_DEPTH, DEEPER = 16, 4
+#: Cells are dealt to at most so many partitions; a partition then works on several cells, one after another.
+PARTITIONS = 100_000
+
+
+def usable(vector: Column) -> Column:
+    """The components as doubles; null if the vector takes no part."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
+    return F.when(F.coalesce(finite, F.lit(False)), F.transform(vector, lambda x: x.cast("double")))
 
 
-def quantized(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component; null if the vector takes no part."""
-    values = F.transform(vector, lambda x: F.floor(scale * x.cast("double")))
-    fits = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale <= LIMIT))
-    return F.when(F.coalesce(fits, F.lit(False)), values)
+def depths(n: int) -> list[int]:
+    out = [FIRST_DEPTH]
+    while out[-1] < n:
+        out.append(out[-1] * DEEPER)
+    return [*(d for d in out if d < n), n]
 
 
-def search(cand: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query the ids and scores of its k best candidates, best first; all arrays hold integers."""
+def search(cand: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, stops: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each query the ids and scores of its k best candidates, best first; all arrays hold integers. ``stops`` gets the depths at
+    which queries stopped."""
     order_of_ids = np.argsort(ids, kind="stable")
     cand, ids = cand[order_of_ids], ids[order_of_ids]
     n, d = cand.shape
     down = np.argsort(-cand, axis=0, kind="stable")  # the sorted list of each dimension
-    exact = d * float(LIMIT) ** 2
     small = float(np.abs(cand).max(initial=0)) * float(np.abs(queries).max(initial=0)) * d
     dot = (lambda a, b: (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)) if small < 2**53 else (lambda a, b: a @ b.T)
-    assert exact < 2**63 or small < 2**63, "scores exceed 64 bits"
+    assert small < 2**63, "scores exceed 64 bits"
     out: list = []
     for lo in range(0, len(queries), 128):
         q, q_ids = queries[lo : lo + 128], query_ids[lo : lo + 128]
         rows = np.arange(len(q))
         best_s, best_i = [np.empty(0, np.int64)] * len(q), [np.empty(0, np.int64)] * len(q)
         seen, last = np.zeros(n, bool), 0
-        for depth in (*(x for x in DEPTHS if x < n), n):
+        for depth in depths(n):
             active = q[rows]
             up, dn = np.flatnonzero((active > 0).any(0)), np.flatnonzero((active < 0).any(0))
             met = np.zeros(n, bool)
@@ -80,6 +95,8 @@ def search(cand: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
                 best_s[r], best_i[r] = s_all[top], i_all[top]
                 if len(top) < k or best_s[r][-1] <= bound[at]:  # an unseen equal score may have a smaller id
                     going.append(r)
+            if stops is not None:
+                stops += [depth] * (len(rows) - len(going) if depth < n else len(rows))
             rows, last = np.array(going, int), depth
             if not len(rows) or depth == n:
                 break
@@ -88,42 +105,76 @@ def search(cand: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np
 
 
 def _matrix(lists: list, d: int) -> np.ndarray:
-    m = np.zeros((len(lists), d), np.int64)
+    m = np.zeros((len(lists), d))
     for i, x in enumerate(lists):
         m[i, : len(x)] = x
     return m
 
 
-def _cell(k):
+def whole(x: float, scale: int) -> int:
+    """floor(scale * x), also where the product is no double."""
+    return math.floor(scale * x) if abs(x) < 1 << 40 else int(x) * scale
+
+
+def _wide(vectors: np.ndarray, ids: np.ndarray, asker: np.ndarray, asker_id: int, k: int, scale: int) -> tuple[list[int], list[int]]:
+    """The k best of some candidates for one query, with whole numbers of any size."""
+    q = [whole(x, scale) for x in asker.tolist()]
+    scores = ((-sum(a * whole(x, scale) for a, x in zip(q, row, strict=True) if a), i) for row, i in zip(vectors.tolist(), ids.tolist(), strict=True) if i != asker_id)
+    best = heapq.nsmallest(k, scores)
+    return [i for _, i in best], [-s for s, _ in best]
+
+
+def best_in_cell(cand: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, scale: int) -> list[tuple[list[int], list[int]]]:
+    """For each query the ids and scores of its k best candidates; all arrays of vectors hold unscaled components."""
+    limit = min(LIMIT, math.isqrt((1 << 62) // max(1, cand.shape[1])))
+    small_c, small_q = ((np.abs(m) * scale <= limit - 1).all(1) for m in (cand, queries))
+    scaled = lambda m: np.floor(m * scale).astype(np.int64)
+    out: list = [([], [])] * len(queries)
+    if small_c.any() and small_q.any():
+        found = search(scaled(cand[small_c]), ids[small_c], scaled(queries[small_q]), query_ids[small_q], k)
+        for at, (i, s) in zip(np.flatnonzero(small_q).tolist(), found, strict=True):
+            out[at] = i.tolist(), s.tolist()
+    for at in range(len(queries)):
+        others = ~small_c if small_q[at] else np.ones(len(cand), bool)
+        if others.any():
+            i, s = _wide(cand[others], ids[others], queries[at], int(query_ids[at]), k, scale)
+            best = sorted((-b, a) for a, b in zip(out[at][0] + i, out[at][1] + s, strict=True))[:k]
+            out[at] = [a for _, a in best], [-b for b, _ in best]
+    return out
+
+
+def _cell(k, scale):
     def run(table: pa.Table) -> pa.Table:
         is_query = table.column("is_query").to_numpy(zero_copy_only=False)
         ids, lists = table.column("vec_id").to_numpy(), table.column("v").to_pylist()
-        d = max(1, max(map(len, lists)))
-        m = _matrix(lists, d)
-        found = search(m[~is_query], ids[~is_query], m[is_query], ids[is_query], k) if is_query.any() and not is_query.all() else []
-        sizes = [len(i) for i, _ in found]
-        empty = [np.empty(0, np.int64)]
-        return pa.table({"query_id": np.repeat(ids[is_query][: len(found)], sizes), "vec_id": np.concatenate([i for i, _ in found] or empty), "score": np.concatenate([s for _, s in found] or empty)})
+        m = _matrix(lists, max(1, max(map(len, lists))))
+        found = best_in_cell(m[~is_query], ids[~is_query], m[is_query], ids[is_query], k, scale) if is_query.any() and not is_query.all() else []
+        asked = [i for i, (best, _) in zip(ids[is_query].tolist(), found, strict=False) for _ in best]
+        scores = [s for _, best in found for s in best]
+        held = [min(max(s, -(1 << 63)), (1 << 63) - 1) for s in scores]
+        beyond = [a != b for a, b in zip(scores, held, strict=True)]
+        return pa.table({"query_id": pa.array(asked, pa.int64()), "vec_id": pa.array([i for best, _ in found for i in best], pa.int64()), "score": pa.array(held, pa.int64()), "beyond": pa.array(beyond, pa.bool_())})
 
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
-    """vectors and queries: vec_id long, v array<long> (null vectors already gone). query_id, rank, vec_id, score."""
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS, scale: int = SCALE) -> DataFrame:
+    """vectors and queries: vec_id long, v array<double> (null vectors already gone). query_id, rank, vec_id, score."""
     asks = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
     n_shards, n_blocks = max(1, -(-vectors.count() // shard_rows)), max(1, -(-asks.count() // query_rows))
     deal = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
     left = vectors.select("vec_id", "v", F.lit(False).alias("is_query"), F.pmod(F.xxhash64(F.lit(1), "vec_id", "v"), F.lit(n_shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
     right = asks.select("vec_id", "v", F.lit(True).alias("is_query"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"), deal(2, n_blocks).alias("block"))
-    cells = left.unionByName(right).repartition(n_shards * n_blocks, "shard", "block")
-    near = cells.groupBy("shard", "block").applyInArrow(_cell(k), "query_id long, vec_id long, score long")
+    cells = left.unionByName(right).repartition(min(n_shards * n_blocks, PARTITIONS), "shard", "block")
+    near = cells.groupBy("shard", "block").applyInArrow(_cell(k, scale), "query_id long, vec_id long, score long, beyond boolean")
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return near.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("beyond"), F.raise_error(F.lit("a score leaves the range of a long")).cast("long")).otherwise(F.col("score"))
+    return near.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def op8_topk(spark, sf_dir: str) -> DataFrame:
     """For every vector whose id is divisible by 20 its 20 best partners among all vectors."""
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long"), quantized(F.col("embedding")).alias("v")).where("v IS NOT NULL AND vec_id IS NOT NULL")
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long"), usable(F.col("embedding")).alias("v")).where("v IS NOT NULL AND vec_id IS NOT NULL")
     return top_k(rows, rows.where(F.col("vec_id") % QUERY_EVERY == 0))
 
 

@@ -1,8 +1,9 @@
 """WARC archives with revisit resolution.
 
 ``deduplicate`` finds payloads that repeat by shuffling headers (digest, id, length) only, then writes archives in which one
-record per repeated payload is a response and the others are revisit records that refer to it. ``read_archives`` reads the
-archives back and joins revisit records to their originals.
+record per repeated payload is a response and the others are revisit records that refer to it. The decisions, one row for each
+payload that repeats, are broadcast to where the payloads were read; only if there are more than ``FIRSTS`` of them are rows
+shuffled by digest. ``read_archives`` reads the archives back, and ``resolve`` joins revisit records to their originals.
 
 Defined cases: a null payload is empty; payloads under ``min_bytes`` are always responses; a null id loses to any other id and
 rows that share the smallest id of a payload are all responses; a null or odd URL is percent-encoded; an empty table gives
@@ -23,10 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, shared_dir, slices
+from quire.llm.common import arrow_map, cut, light, shared_dir, slices
 
 MIN_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
+#: Most payloads that repeat of which the decisions (40 bytes each) are broadcast.
+FIRSTS = 500_000
 DATE = "2024-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,8 +86,8 @@ def deduplicate(pages: DataFrame, min_bytes: int = MIN_BYTES, archive_bytes: int
     """From page_id, url and payload (binary) write archives; their manifest: path, n_records, n_bytes."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("payload", F.lit(b"")).alias("payload"))
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long")})
-    firsts = first_pages(rows.select("digest", "page_id", "n_bytes"), min_bytes)
-    decided = rows.join(firsts, "digest", "left").select("page_id", "url", "payload", "digest", "first_id", (F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))).alias("revisit"))
+    firsts = cut(first_pages(rows.select(F.unhex("digest").alias("digest"), "page_id", "n_bytes"), min_bytes)).withColumnRenamed("digest", "key")
+    decided = rows.join(light(firsts, FIRSTS), F.unhex("digest") == F.col("key"), "left").select("page_id", "url", "payload", "digest", "first_id", (F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))).alias("revisit"))
     folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     return cut(arrow_map(decided, "path string, n_records long, n_bytes long", lambda batches: _write(batches, folder, archive_bytes)))
 
@@ -172,8 +175,10 @@ def read_archives(manifest: DataFrame) -> DataFrame:
 def resolve(records: DataFrame) -> DataFrame:
     """Join revisit records to the responses they refer to; the length and the page come from there."""
     heads = records.drop("payload")
-    originals = heads.where("record_type = 'response'").groupBy("record_id").agg(F.max("n_bytes").alias("o_bytes"), F.max("page_id").alias("o_page"))
-    revisits = heads.where("record_type = 'revisit'").join(originals.withColumnRenamed("record_id", "refers_to_record"), "refers_to_record", "left")
+    again = heads.where("record_type = 'revisit'")
+    asked = again.select(F.col("refers_to_record").alias("record_id")).distinct()
+    originals = heads.where("record_type = 'response'").join(asked, "record_id", "left_semi").groupBy("record_id").agg(F.max("n_bytes").alias("o_bytes"), F.max("page_id").alias("o_page"))
+    revisits = again.join(light(cut(originals), FIRSTS).withColumnRenamed("record_id", "refers_to_record"), "refers_to_record", "left")
     own = heads.where("record_type = 'response'").select("page_id", F.col("n_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     return own.unionByName(revisits.select("page_id", F.col("o_bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", F.col("o_page").alias("refers_to")))
 

@@ -60,13 +60,46 @@ def test_top_k_against_brute_force(seed):
 def test_top_k_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0]), (3, None), (4, [1.0, None]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, []), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (None, [1.0, 1.0]), (40, [-1.0, 0.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("vec_id", topk.quantized(F.col("embedding")).alias("v")).where("v IS NOT NULL AND vec_id IS NOT NULL")
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").select("vec_id", topk.usable(F.col("embedding")).alias("v")).where("v IS NOT NULL AND vec_id IS NOT NULL")
     out = topk.top_k(df, df.where("vec_id % 20 = 0"), 3).orderBy("query_id", "rank").collect()
     assert [(r.rank, r.vec_id, r.score) for r in out if r.query_id == 0] == [(1, 1, 4096), (2, 2, 4096), (3, 20, 2048)]
     assert {r.vec_id for r in out} <= {0, 1, 2, 7, 20, 40}
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_any_size(spark, seed):
+    """All scores by whole numbers, with vectors that no 64-bit sum holds among small ones."""
+    rng = np.random.default_rng(seed)
+    rows = [(i, (rng.normal(0, 1, 3) * rng.choice([1, 1, 1, 2.0**21, 2.0**40, 1e19], p=[0.5, 0.2, 0.1, 0.1, 0.05, 0.05]) * (rng.random(3) < 0.8)).tolist()) for i in range(60)]
+    whole = {i: [int(np.floor(64 * x)) if abs(x) < 2**40 else int(x) * 64 for x in v] for i, v in rows}
+    want = []
+    for q in range(0, 60, 20):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in whole if i != q)[:20]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(best, start=1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", topk.usable(F.col("embedding")).alias("v"))
+    if all(-(2**63) <= w[3] < 2**63 for w in want):
+        assert sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 20 = 0"), shard_rows=25, query_rows=2).collect()) == want
+    else:
+        with pytest.raises(Exception, match="leaves the range"):
+            topk.top_k(df, df.where("vec_id % 20 = 0"), shard_rows=25, query_rows=2).collect()
+        found = topk.best_in_cell(np.array([v for _, v in rows]), np.arange(60), np.array([rows[q][1] for q in (0, 20, 40)]), np.array([0, 20, 40]), 20, 64)
+        assert [(q, n, i, s) for q, (ids, scores) in zip((0, 20, 40), found, strict=True) for n, (i, s) in enumerate(zip(ids, scores, strict=True), start=1)] == want
+
+
+def test_bound_stops_early():
+    """With components of very different size few vectors are met."""
+    rng = np.random.default_rng(1)
+    cand = np.floor(rng.pareto(0.7, (4000, 6)) * 3).clip(0, 1e5).astype(np.int64)
+    stops: list[int] = []
+    found = topk.search(cand, np.arange(4000), cand[:50], np.arange(50), 5, stops)
+    assert len(stops) == 50 and np.mean(np.array(stops) < 4000) > 0.9
+    for (i, s), q in zip(found, range(50), strict=True):
+        scores = cand @ cand[q]
+        order = [j for j in np.lexsort((np.arange(4000), -scores)) if j != q][:5]
+        assert i.tolist() == order and s.tolist() == scores[order].tolist()
+
+
 def test_warc_revisits(spark):
     same = b"p" * 150
     rows = [(5, "http://a/\r\nX: y", same), (3, "http://b/", same), (9, None, same), (None, "u", same), (1, "u", b"short"), (2, "u", b"short"), (4, "u", None), (3, "http://b/", same)]
