@@ -46,3 +46,40 @@ def chapters(rows: DataFrame, lines: int = 7) -> DataFrame:
     last = rows.groupBy("doc_id").agg(F.max("reading_order").alias("last_page"))
     first = rows.where((F.col("reading_order") - 1) % lines == 0)
     return first.join(last, "doc_id").select("doc_id", F.floor((F.col("reading_order") - 1) / lines).cast("long").alias("pos"), F.left("text", F.lit(12)).alias("title"), F.col("reading_order").alias("start_page"), "last_page", F.lit(1).alias("level"))
+
+
+PAGE_LINES = 4
+
+
+def layout(documents: DataFrame) -> DataFrame:
+    """Documents as laid-out pages of four lines (schemas.PAGE_LAYOUT): numbers, marks, fonts and sizes by the place of a line, tables
+    and images on some pages."""
+    page, i = (F.floor(F.col("at") / PAGE_LINES) + 1).cast("int"), F.col("at") % PAGE_LINES
+    lines = documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumns({"page": page, "i": i})
+    named = lambda word, n: F.concat(F.lit(word), F.col("page").cast("string"), F.lit(" "), F.left("line", F.lit(n)))
+    shown = (
+        F.when((F.col("i") == 0) & (F.col("page") % 3 == 1), named("Chapter ", 20)).when((F.col("i") == 0) & (F.col("page") % 3 == 2), named("Figure ", 20))
+        .when((F.col("i") == 1) & (F.col("page") % 2 == 0), F.concat(F.col("page").cast("string"), F.lit(".1 "), F.left("line", F.lit(60))))
+        .when((F.col("i") == 2) & (F.col("page") % 2 == 0), F.concat(F.lit("- "), F.left("line", F.lit(40)))).when((F.col("i") == 2) & (F.col("page") % 3 == 1), F.concat(F.lit("> "), "line"))
+        .otherwise(F.col("line"))
+    )
+    rows = lines.withColumn("shown", shown)
+    size = F.when(F.length("shown") <= 40, 20.0).when(F.length("shown") <= 80, 15.0).otherwise(11.0)
+    font = F.when(F.col("line").rlike("[0-9]") | (F.col("at") % 8).isin(3, 4), "Courier New").otherwise("Serif")
+    spans = F.transform(F.split("shown", " "), lambda w: F.struct(F.concat(w, F.lit(" ")).alias("text"), font.alias("font"), size.alias("size")))
+    top = (F.col("i") * 250 + 30).cast("double")
+    box = lambda *xs: F.array(*((x if not isinstance(x, (int, float)) else F.lit(x)).cast("double") for x in xs))
+    block = F.struct(F.lit(0).alias("type"), box(50 + F.col("i") * 10, top, 500, top + 200).alias("bbox"), F.array(F.struct(spans.alias("spans"))).alias("lines"))
+    pages = rows.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", block.alias("b")))), lambda x: x["b"]).alias("blocks"))
+    none = F.array().cast("array<struct<bbox:array<double>>>")
+    one = lambda *xs: F.array(F.struct(box(*xs).alias("bbox")))
+    tables = F.when(F.col("page") % 4 == 0, one(50, 700, 500, 980)).when((F.col("page") % 4 == 1) & (F.col("page") > 1), one(50, 20, 500, 200)).otherwise(none)
+    images = F.when(F.col("page") % 5 == 2, one(55, 600, 300, 770)).otherwise(none)
+    return pages.select("doc_id", "page", F.lit(600.0).alias("width"), F.lit(1000.0).alias("height"), "blocks", tables.alias("tables"), images.alias("images"))
+
+
+def contents(documents: DataFrame) -> DataFrame:
+    """Tables of contents of every other document: each sixth line, on levels 2 and 1 in turn: doc_id, pos, level, title, page."""
+    rows = documents.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("at", "line")).where("at % 6 = 0")
+    k = F.floor(F.col("at") / 6)
+    return rows.select("doc_id", F.col("at").alias("pos"), (F.lit(2) - k % 2).cast("int").alias("level"), F.concat(F.lit(" <"), F.col("at").cast("string"), F.lit("> "), F.left("line", F.lit(12))).alias("title"), (F.floor(F.col("at") / PAGE_LINES) + 1).cast("int").alias("page"))
