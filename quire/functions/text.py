@@ -139,12 +139,12 @@ def goes_on(text: Column) -> Column:
 def rejoin(text: Column) -> Column:
     """Two words that are one identifier, cut by a line end."""
     parts = words(text)
-    left, right = parts[0], parts[1]
+    left, right = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
     joined = F.concat(left, right)
     camel = joined.rlike("[a-z][A-Z]")
     small, large = right.rlike(r"^\p{Ll}"), right.rlike(r"^\p{Lu}")
     fits = (F.size(parts) == 2) & (F.length(joined) <= 35) & camel & (small | (large & (left == F.lower(left)) & ~left.isin(*COMMON_WORDS)))
-    return F.when(fits, joined).otherwise(text)
+    return F.when(F.coalesce(fits, F.lit(False)), joined).otherwise(text)
 
 
 def pipe_cell(value: Column) -> Column:

@@ -106,6 +106,30 @@ def relinked(slices: DataFrame) -> DataFrame:
     return rows.withColumns({"markdown": md, "relinks": links}).drop("folder")
 
 
+def relinked_to_source(slices: DataFrame) -> DataFrame:
+    """Asset paths of slices (order_index, display_title, markdown) that stay where the phase before wrote them: they lead out of the
+    slice's folder to that of the source."""
+    folder = F.concat(F.format_string("%03d-", "order_index"), T.safe_name(F.col("display_title")))
+    rows = slices.withColumn("folder", folder)
+    there = F.concat(F.lit("../"), F.regexp_replace("folder", r"([\\$])", r"\\$1"), F.lit("/assets/"))
+    md = F.regexp_replace(F.col("markdown"), F.lit(r"(!\[[^\]]*\]\()assets/([^)]+)"), F.concat(F.lit("$1"), there, F.lit("$2")))
+    return rows.withColumn("markdown", F.regexp_replace(md, F.lit(r"""(src=["'])assets/([^"']+)"""), F.concat(F.lit("$1"), there, F.lit("$2"))))
+
+
+def opens_chapter(block_type, source_page, start_page, markdown):
+    """Whether a block is a heading of the first or second level on its slice's first page."""
+    return F.coalesce((block_type == "heading") & (source_page == start_page) & T.strip(markdown).rlike("^#{1,2} "), F.lit(False))
+
+
+def summary(books: DataFrame, decisions: DataFrame, warnings: DataFrame) -> DataFrame:
+    """One row for a run: books, decisions, removed blocks, warnings, and failed if any slice is missing."""
+    gone = decisions.agg(F.count("*").alias("decisions"), F.coalesce(F.sum("removed_count"), F.lit(0)).alias("removed_blocks"))
+    told = warnings.agg(F.count("*").alias("warnings"), F.coalesce(F.max(F.col("warning_type") == "slice_missing"), F.lit(False)).alias("lost"))
+    one = books.agg(F.count("*").alias("books")).withColumn("k", F.lit(1))
+    rows = one.join(gone.withColumn("k", F.lit(1)), "k").join(told.withColumn("k", F.lit(1)), "k")
+    return rows.select("books", "decisions", "removed_blocks", "warnings", F.when(F.col("lost"), "failed").otherwise("success").alias("status"))
+
+
 def image_references(markdown):
     """Distinct sources of Markdown and HTML images."""
     return F.array_distinct(F.concat(F.regexp_extract_all(markdown, F.lit(r"!\[[^\]]*\]\(([^)]+)\)"), 1), F.regexp_extract_all(markdown, F.lit(r"""(?i)<img\s[^>]*src=["']([^"']+)["']"""), 1)))

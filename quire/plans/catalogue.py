@@ -1,17 +1,15 @@
-"""Registered queries of the document operators and the same in SQL.
+"""Registered queries of the document operators and the same in SQL, over all rows of the driver's tables.
 
-Queries on the driver's tables run over all rows. What those tables do not have (tables, images, headings, code) comes from small
-literals, given once here to both engines."""
+``catalogue_layout`` and ``catalogue_text`` add theirs: what the tables do not have (pages, tables, images, headings, code) is made
+there from the lines and words of documents, alike on both sides."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.functions import cells, markdown
 from quire.functions import text as T
-from quire.operators import align, blocks, chapters, merge, planner, repair, tables
-from quire.sources import adapters, layout, manifests
+from quire.operators import align, blocks, chapters, merge, planner, repair
+from quire.sources import adapters, layout
 
 QUERIES, SQL = {}, {}
 
@@ -26,28 +24,6 @@ def query(sql: str | None = None):
     return add
 
 
-def literal(spark: SparkSession, schema: str, rows: list) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
-
-
-def _sql(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, bool):
-        return str(v).upper()
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    if isinstance(v, list):
-        return "[" + ", ".join(map(_sql, v)) + "]"
-    return str(v)
-
-
-def values(schema: str, rows: list) -> str:
-    """A literal as a SQL relation."""
-    names = [x.split()[0] for x in schema.split(", ")]
-    return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(_sql, r)) + ')' for r in rows)}) AS t({', '.join(names)}))"
-
-
 def _docs(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
@@ -96,32 +72,24 @@ def src_text_density_gate(spark, sf):
     return layout.density(pages)
 
 
-MANIFEST = "slice_file string, start_page int, end_page int, overlap_pages array<int>"
-MANIFEST_ROWS = [("a.pdf", 1, 5, [5]), ("b.pdf", 0, 3, []), ("c.pdf", 4, 3, []), ("d.pdf", 4, 9, [3]), ("", 1, 1, []), ("e.pdf", 5, 9, [5, 9])]
-
-
-@query(f"""SELECT slice_file, error_code FROM (SELECT slice_file, CASE WHEN slice_file = '' THEN 'MISSING_SLICE' WHEN start_page <= 0 THEN 'BAD_START' WHEN end_page < start_page THEN 'BAD_RANGE'
-WHEN len(list_filter(CAST(overlap_pages AS INT[]), lambda p: p < start_page OR p > end_page)) > 0 THEN 'BAD_OVERLAP' END AS error_code FROM {values(MANIFEST, MANIFEST_ROWS)}) WHERE error_code IS NOT NULL""")
-def src_manifest_validate(spark, sf):
-    return manifests.slice_errors(literal(spark, MANIFEST, MANIFEST_ROWS))
-
-
 @query(f"WITH {BLOCKS} SELECT doc_id, CAST(sum(length(text)) AS BIGINT) AS char_count, count(*) AS block_count FROM blocks GROUP BY doc_id")
 def agg_content_stats(spark, sf):
     return adapters.blocks(_docs(spark, sf), normal_form=False).groupBy("doc_id").agg(F.sum(F.length("text")).cast("long").alias("char_count"), F.count("*").alias("block_count"))
 
 
-def _draft(rows):
-    """A draft that lacks every seventh line."""
-    return rows.where("reading_order % 7 <> 0").select("doc_id", "norm").where("norm <> ''").distinct().withColumn("hit", F.lit(True))
-
-
 def _audited(spark, sf):
-    rows = adapters.keyed(_blocks(spark, sf))
-    return rows.join(_draft(rows), ["doc_id", "norm"], "left").withColumns({"matched": F.coalesce("hit", F.lit(False)), "ordinal": F.col("reading_order")})
+    """Lines against a draft that lacks every seventh of them, has others with their last word cut off, and some with a word more."""
+    rows = adapters.keyed(_blocks(spark, sf)).withColumn("ordinal", F.col("reading_order"))
+    n = F.col("reading_order")
+    text = F.when(n % 7 == 3, F.regexp_replace("norm", " [^ ]*$", "")).when(n % 7 == 5, F.concat(F.lit("also "), "norm")).otherwise(F.col("norm"))
+    draft = rows.where("reading_order % 7 <> 0").select("doc_id", "ordinal", F.lit("paragraph").alias("segment_type"), text.alias("norm"))
+    return align.align(rows, draft)
 
 
-AUDITED = f"{KEYED}, draft AS (SELECT DISTINCT doc_id, norm, TRUE AS hit FROM blocks WHERE reading_order % 7 <> 0 AND norm <> ''), audited AS (SELECT k.*, coalesce(hit, FALSE) AS matched FROM keyed k LEFT JOIN draft USING (doc_id, norm))"
+WORDS = "list_distinct(string_split(lower({}), ' '))"
+AUDITED = f"""{KEYED}, draft AS (SELECT doc_id, CASE reading_order % 7 WHEN 3 THEN regexp_replace(norm, ' [^ ]*$', '') WHEN 5 THEN 'also ' || norm ELSE norm END AS s FROM blocks WHERE reading_order % 7 <> 0),
+audited AS (SELECT k.*, (norm <> '' AND EXISTS (SELECT 1 FROM draft d WHERE d.doc_id = k.doc_id AND d.s = k.norm)) OR (length(norm) >= 5 AND EXISTS (SELECT 1 FROM draft d WHERE d.doc_id = k.doc_id AND d.s <> ''
+ AND (contains(d.s, k.norm) OR contains(k.norm, d.s) OR len(list_intersect({WORDS.format('k.norm')}, {WORDS.format('d.s')})) >= 0.7 * len({WORDS.format('k.norm')})))) AS matched FROM keyed k)"""
 
 
 @query(f"WITH {AUDITED} SELECT doc_id, count(*) AS expected, count(DISTINCT CASE WHEN matched THEN dedupe_key END) AS matched FROM audited GROUP BY doc_id")
@@ -129,9 +97,9 @@ def agg_coverage(spark, sf):
     return align.coverage(_audited(spark, sf))
 
 
-@query(f"WITH {AUDITED} SELECT doc_id, dedupe_key, 'warning' AS severity FROM audited WHERE NOT matched")
+@query(f"WITH {AUDITED}, f AS (SELECT *, first_value(text) OVER (PARTITION BY doc_id, dedupe_key ORDER BY reading_order) AS shown FROM audited) SELECT doc_id, dedupe_key, 'warning' AS severity, 'Block not found in draft: ' || left(shown, 80) AS message FROM f WHERE NOT matched")
 def jn_missing_blocks(spark, sf):
-    return align.issues(_audited(spark, sf)).select("doc_id", F.col("node_ref").alias("dedupe_key"), "severity")
+    return align.issues(_audited(spark, sf)).select("doc_id", F.col("node_ref").alias("dedupe_key"), "severity", "message")
 
 
 @query("""WITH b AS (SELECT item_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS bn FROM benchmark), d AS (SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS dn FROM documents),
@@ -144,111 +112,11 @@ def jn_fuzzy_match(spark, sf):
     return align.word_matches(left, right, []).select(F.col("l").alias("item_id"), F.col("r").alias("doc_id"), "ratio")
 
 
-IMAGES = "page int, image_ref string, bbox array<double>, width double, height double"
-IMAGE_ROWS = [(1, "image:1:0", [100.0, 50.0, 300.0, 200.0], 600.0, 1000.0), (1, "image:1:1", [100.0, 400.0, 300.0, 500.0], 600.0, 1000.0), (2, "image:2:0", [50.0, 100.0, 90.0, 300.0], 600.0, 1000.0)]
-NEAR = "page int, ordinal int, block_type string, text string, bbox array<double>"
-NEAR_ROWS = [(1, 1, "paragraph", "Figure 1", [110.0, 210.0, 300.0, 220.0]), (1, 2, "paragraph", "Figure 1b", [110.0, 210.0, 300.0, 220.0]), (1, 3, "paragraph", "far", [110.0, 600.0, 300.0, 620.0]), (1, 4, "heading", "Title", [100.0, 501.0, 300.0, 520.0]), (2, 1, "quote", "shifted", [200.0, 305.0, 300.0, 320.0])]
-
-
-@query(f"""WITH i AS {values(IMAGES, IMAGE_ROWS)}, b AS {values(NEAR, NEAR_ROWS)},
-c AS (SELECT i.page, i.image_ref, b.text, b.bbox[2] - i.bbox[4] AS gap, b.ordinal FROM i JOIN b ON i.page = b.page AND b.block_type IN ('paragraph', 'quote', 'list_item') WHERE b.bbox[2] >= i.bbox[4] AND abs(b.bbox[1] - i.bbox[1]) <= 0.12 * width AND b.bbox[2] - i.bbox[4] <= 0.06 * height),
-r AS (SELECT *, row_number() OVER (PARTITION BY page, image_ref ORDER BY gap, ordinal) AS k FROM c)
-SELECT i.image_ref, r.text AS caption, CAST(r.gap AS DOUBLE) AS gap FROM i LEFT JOIN r ON r.page = i.page AND r.image_ref = i.image_ref AND k = 1""")
-def jn_caption_bind(spark, sf):
-    return blocks.captions(literal(spark, IMAGES, IMAGE_ROWS), literal(spark, NEAR, NEAR_ROWS), ["page"]).select("image_ref", "caption", "gap")
-
-
 @query(f"WITH {SLICED} SELECT doc_id, right_ - 1 AS left_slice, right_ AS right_slice, ordinal, CASE rank WHEN 0 THEN 'dedupe_key' ELSE 'source_page_text_hash' END AS strategy FROM best")
 def jn_overlap_match(spark, sf):
     return merge.overlap_matches(_slices(spark, sf)).select("doc_id", (F.col("right") - 1).alias("left_slice"), F.col("right").alias("right_slice"), "ordinal", "strategy")
 
 
-NAMES = "slice_file string"
-ALL_SLICES, DONE = [("a",), ("b",), ("c",)], [("b",)]
-
-
-@query(f"SELECT slice_file, 'skipped_upstream_failed' AS status FROM {values(NAMES, ALL_SLICES)} a WHERE NOT EXISTS (SELECT 1 FROM {values(NAMES, DONE)} d WHERE d.slice_file = a.slice_file)")
-def jn_skipped_anti(spark, sf):
-    return align.skipped(literal(spark, NAMES, ALL_SLICES), literal(spark, NAMES, DONE))
-
-
-ROWS = "doc_id string, page int, rn int, reading_order int, block_type string, markdown string, node_ref string, is_overlap boolean"
-CODE_ROWS = [
-    ("s", 1, 1, 1, "paragraph", "int total = 0;", "k1", False), ("s", 1, 2, 2, "paragraph", "for (item of list) {", "k2", False), ("s", 1, 3, 3, "paragraph", "total.add(item);", "k3", False),
-    ("s", 1, 4, 4, "paragraph", "}", "k4", False), ("s", 1, 5, 5, "paragraph", "return total;", "k5", False), ("s", 1, 6, 6, "paragraph", "Plain words here", "k6", False),
-    ("s", 2, 7, 1, "paragraph", "import os", "k7", False), ("s", 2, 8, 2, "paragraph", "print(os.name)", "k8", False), ("t", 1, 1, 1, "paragraph", "select name", "k9", False),
-]
-DRAFTS = "doc_id string, markdown string"
-DRAFT_ROWS = [("s", "# Title\n\n```\nimport os\nprint(os.name)\nreturn total;\n```\n"), ("t", "```\nselect name\nfrom open")]
-
-
-def _marked(spark, rows):
-    return literal(spark, ROWS, rows).withColumns({"repaired": F.lit(False), "repair_actions": F.array().cast("array<string>")})
-
-
-@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(markdown, chr(10))) AS line, generate_subscripts(string_split(markdown, chr(10)), 1) AS i FROM {values(DRAFTS, DRAFT_ROWS)}),
-n AS (SELECT *, sum(CASE WHEN starts_with(trim(line), '```') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS f FROM l),
-c AS (SELECT doc_id, trim(regexp_replace(string_agg(line, chr(10) ORDER BY i), '\\s+', ' ', 'g')) AS code FROM n WHERE f % 2 = 1 AND NOT starts_with(trim(line), '```') GROUP BY doc_id, f)
-SELECT DISTINCT b.doc_id, b.node_ref FROM {values(ROWS, CODE_ROWS)} b JOIN c ON c.doc_id = b.doc_id AND length(b.markdown) >= 8 AND contains(c.code, b.markdown)""")
-def jn_code_recover(spark, sf):
-    return repair.recover_code(_marked(spark, CODE_ROWS), literal(spark, DRAFTS, DRAFT_ROWS)).where("block_type = 'code'").select("doc_id", "node_ref")
-
-
-ISLANDS = r"(?:[;{}]\s*$|^\s*[{}]\s*$|\w+\.\w+\(|\w+\([^)]*[,)]|^\s*(?:public|private|protected|static|final|void|class|interface|def|function|const|let|var|import|from|return|try|catch|throw|new|if|else|for|while|switch|case)\b|^\s*(?:byte|int|long|String|boolean|char|double|float)\s*[\[\]]*\s+\w)"
-
-
-@query(f"""WITH b AS (SELECT *, block_type = 'paragraph' AND regexp_matches(markdown, '[a-zA-Z]') AND regexp_matches(markdown, '{ISLANDS}') AS code FROM {values(ROWS, CODE_ROWS)}),
-g AS (SELECT *, rn - row_number() OVER (PARTITION BY doc_id, page, code ORDER BY rn) AS run FROM b)
-SELECT doc_id, page, min(rn) AS first_rn, count(*) AS n FROM g WHERE code GROUP BY doc_id, page, run HAVING count(*) >= 3""")
-def fld_code_islands(spark, sf):
-    return repair.code_islands(literal(spark, ROWS, CODE_ROWS))
-
-
-TABLES = "page int, ordinal int, headers array<string>, rows array<array<string>>, markdown string"
-TABLE_ROWS = [
-    (1, 1, ["Field", "Type"], [["a", "int"], ["Objects of list", ""], ["b", "string"], ["Params of call", ""], ["c", "bool"]], "| Field | Type |\n| --- | --- |\n| Objects of list | |"),
-    (1, 2, ["A", "B"], [["1", "2"], ["3", "4"]], "| A | B |\n| --- | --- |\n| 1 | 2 |\n| 3 | 4 |"),
-    (2, 1, ["A", "B"], [["1", "2"], ["3"]], "| A | B |\n| --- | --- |"), (2, 2, ["Col1", "Col2"], [["1", "2"], ["3", "4"], ["5", "6"]], "| x |"),
-    (3, 1, ["A"], [["word"]], "| wor<br>d |"), (3, 2, ["A", "B"], [], ""), (4, 1, ["A", "B"], [["a spanning title", "a spanning title"], ["1", "2"]], "| q |"),
-]
-TABLE_VALUES = values(TABLES, [(a, b, c, d, e) for a, b, c, d, e in TABLE_ROWS]).replace("[]", "CAST([] AS VARCHAR[][])")
-TITLED = "regexp_matches(array_to_string(list_filter(r, lambda c: c <> ''), ' '), '(Objects of|Params of)')"
-
-
-@query(f"""WITH t AS {TABLE_VALUES}, r AS (SELECT page, ordinal, unnest(rows) AS r, generate_subscripts(rows, 1) AS i FROM t WHERE page = 1 AND ordinal = 1),
-s AS (SELECT *, {TITLED} AS title, sum(CASE WHEN {TITLED} THEN 1 ELSE 0 END) OVER (ORDER BY i) AS section FROM r),
-k AS (SELECT section, max(CASE WHEN title THEN r[1] END) AS section_title, count(*) FILTER (NOT title) AS n FROM s GROUP BY section)
-SELECT 'p0001-t01' AS parent, 'p0001-t01-c' || lpad(CAST(section AS VARCHAR), 2, '0') AS child, section_title FROM k WHERE section > 0 AND n > 0""")
-def jn_parent_child(spark, sf):
-    n = tables.nodes(literal(spark, TABLES, TABLE_ROWS[:2]))
-    child = n.where("table_role = 'child'").select("parent_table_id", F.col("table_id").alias("child"), "section_title")
-    return n.where("table_role = 'parent'").select(F.col("table_id").alias("parent_table_id")).join(child, "parent_table_id").select(F.col("parent_table_id").alias("parent"), "child", "section_title")
-
-
-@query(f"""WITH t AS {TABLE_VALUES}, r AS (SELECT page, ordinal, unnest(rows) AS r, generate_subscripts(rows, 1) AS i FROM t WHERE page = 1 AND ordinal = 1),
-s AS (SELECT *, {TITLED} AS title, sum(CASE WHEN {TITLED} THEN 1 ELSE 0 END) OVER (ORDER BY i) AS section FROM r)
-SELECT 'p0001-t01-c' || lpad(CAST(section AS VARCHAR), 2, '0') AS table_id, row_number() OVER (PARTITION BY section ORDER BY i) AS row_number, array_to_string(r, '|') AS row FROM s WHERE section > 0 AND NOT title""")
-def fld_nested_sections(spark, sf):
-    n = tables.nodes(literal(spark, TABLES, TABLE_ROWS)).where("page = 1 AND table_role = 'child'")
-    return n.select("table_id", F.posexplode("rows").alias("at", "r")).select("table_id", (F.col("at") + 1).cast("long").alias("row_number"), F.array_join("r", "|").alias("row"))
-
-
-SPURIOUS = "name string, bbox array<double>, headers array<string>, rows array<array<string>>"
-SPURIOUS_ROWS = [("tiny", [0.0, 0.0, 10.0, 10.0], ["."], [[","]]), ("wide", [0.0, 0.0, 500.0, 500.0], [str(i) * 3 for i in range(13)], [["x"]]), ("single", [0.0, 0.0, 500.0, 500.0], ["a", "b"], [["1", "22"]]), ("good", [0.0, 0.0, 500.0, 500.0], ["a", "b"], [["1", "long text"]]), ("words", [0.0, 0.0, 10.0, 10.0], ["Name of it"], [["value"]])]
-
-
-@query(f"""SELECT name, (((bbox[3] - bbox[1]) * (bbox[4] - bbox[2]) < 3000 AND length(regexp_replace(array_to_string(headers, ' ') || array_to_string(flatten(rows), ' '), '[^A-Za-z0-9]', '', 'g')) < 10) OR len(headers) > 12
- OR (len(list_filter(headers, lambda h: length(h) > 1)) = 0 AND len(list_filter(flatten(rows), lambda c: length(c) > 2)) = 0)) AS spurious FROM {values(SPURIOUS, SPURIOUS_ROWS)}""")
-def prd_spurious_table(spark, sf):
-    return literal(spark, SPURIOUS, SPURIOUS_ROWS).select("name", tables.is_spurious(F.col("bbox"), F.col("headers"), F.col("rows")).alias("spurious"))
-
-
-@query(f"""SELECT page, ordinal, (len(rows) = 0 OR markdown = '' OR len(list_distinct(list_transform(rows, lambda r: len(r)))) > 1 OR regexp_matches(markdown, '[A-Za-z]{{2,}}<br>[A-Za-z]') OR regexp_matches(markdown, '(?i)Objects of|Supported Types:|Limits?:|description\\s*\\(')
- OR (len(list_filter(headers, lambda h: regexp_full_match(h, 'Col[0-9]+'))) > 0 AND len(rows) > 2) OR len(list_filter(rows, lambda r: len(r) >= 2 AND len(list_distinct(r)) = 1 AND length(r[1]) >= 12)) > 0) AS complex FROM {TABLE_VALUES}""")
-def prd_complex_table(spark, sf):
-    return literal(spark, TABLES, TABLE_ROWS).select("page", "ordinal", tables.is_complex(F.col("headers"), F.col("rows"), F.col("markdown")).alias("complex"))
-
-
 CHAPTERS = f"{LINES}, c AS (SELECT doc_id, CAST((reading_order - 1) // 7 AS BIGINT) AS pos, substr(text, 1, 12) AS title, CAST(reading_order AS BIGINT) AS start_page, CAST(max(reading_order) OVER (PARTITION BY doc_id) AS BIGINT) AS last_page, reading_order FROM lines), ch AS (SELECT doc_id, pos, title, start_page, CASE WHEN lead(pos) OVER w IS NULL THEN last_page ELSE greatest(start_page, lead(start_page) OVER w - 1) END AS end_page FROM c WHERE (reading_order - 1) % 7 = 0 WINDOW w AS (PARTITION BY doc_id ORDER BY pos))"
 
 
@@ -257,48 +125,6 @@ def win_intervals(spark, sf):
     return chapters.intervals(adapters.chapters(adapters.blocks(_docs(spark, sf), False))).select("doc_id", "title", "start_page", "end_page")
 
 
-TOC = "doc_id string, pos int, level int, title string, page int"
-TOC_ROWS = [("b", 1, 1, "Book", 3), ("b", 2, 1, "Chapter 1", 3), ("b", 3, 2, "Part", 5), ("b", 4, 1, "Chapter 2", 9), ("b", 5, 1, " ", 11), ("c", 1, 1, "One", 1), ("c", 2, 1, "Two", 4), ("d", 1, 2, "Deep only", 2)]
-TOTALS = "doc_id string, total_pages int"
-TOTAL_ROWS = [("b", 20), ("c", 9), ("d", 3)]
-
-
-@query(f"""WITH t AS (SELECT t.doc_id, t.pos, trim(title) AS title, page, total_pages FROM {values(TOC, TOC_ROWS)} t JOIN {values(TOTALS, TOTAL_ROWS)} p ON p.doc_id = t.doc_id WHERE level = 1 AND trim(title) <> ''),
-g AS (SELECT doc_id, page, min(pos) AS pos, string_agg(title, ' + ' ORDER BY pos) AS title, any_value(total_pages) AS total FROM t GROUP BY doc_id, page),
-i AS (SELECT doc_id, title, page AS start_page, coalesce(lead(page) OVER (PARTITION BY doc_id ORDER BY pos) - 1, total) AS end_page FROM g)
-SELECT * FROM i UNION ALL SELECT doc_id, '前言', 1, min(start_page) - 1 FROM i GROUP BY doc_id HAVING min(start_page) > 1""")
-def win_collapse_front_matter(spark, sf):
-    return chapters.from_toc(literal(spark, TOC, TOC_ROWS), literal(spark, TOTALS, TOTAL_ROWS)).select("doc_id", "title", "start_page", "end_page")
-
-
-FLAT = "doc_id string, page int, ordinal int, x0 double, y0 double, y1 double, text string, font string"
-FLAT_ROWS = [
-    ("l", 1, 1, 50.0, 100.0, 400.0, "Opening words", "Serif"), ("l", 1, 2, 50.0, 500.0, 900.0, "a sentence that goes", "Serif"), ("l", 2, 1, 50.0, 60.0, 90.0, "on over here.", "Serif"), ("l", 2, 2, 50.0, 700.0, 950.0, "x = 1", "Courier"),
-    ("l", 3, 1, 40.0, 50.0, 80.0, "y = 2", "Courier"), ("l", 3, 2, 50.0, 50.0, 80.0, "side", "Serif"), ("l", 3, 3, 50.0, 800.0, 950.0, "It ends.", "Serif"), ("l", 4, 1, 50.0, 60.0, 80.0, "Chapter 2", "Serif"),
-]
-
-
-def _layout(spark):
-    one = F.struct(F.lit(0).alias("type"), F.array("x0", "y0", F.lit(500.0), "y1").alias("bbox"), F.array(F.struct(F.array(F.struct("text", "font", F.lit(11.0).alias("size"))).alias("spans"))).alias("lines"))
-    rows = literal(spark, FLAT, FLAT_ROWS).groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", one.alias("b")))), lambda x: x["b"]).alias("blocks"))
-    none = F.array().cast("array<struct<bbox:array<double>>>")
-    return rows.select("doc_id", "page", F.lit(600.0).alias("width"), F.lit(1000.0).alias("height"), "blocks", none.alias("tables"), none.alias("images"))
-
-
-EDGES = f"f AS {values(FLAT, FLAT_ROWS)}, e AS (SELECT doc_id, page, arg_min(f, (y0, x0)) AS a, arg_max(f, (y1, x0)) AS z FROM f GROUP BY doc_id, page)"
-
-
-@query(f"WITH {EDGES} SELECT page, a.text AS first_text, z.text AS last_text FROM e")
-def win_first_last_block(spark, sf):
-    return blocks.first_last(_layout(spark)).select("page", F.col("first.text").alias("first_text"), F.col("last.text").alias("last_text"))
-
-
-@query(f"""WITH {EDGES}, n AS (SELECT *, lead(a) OVER (PARTITION BY doc_id ORDER BY page) AS b FROM e)
-SELECT page, NOT (coalesce(z.y1 >= 750 AND b.y0 <= 250 AND ((z.font = 'Courier' AND b.font = 'Courier') OR (z.font <> 'Courier' AND b.font <> 'Courier' AND NOT regexp_matches(b.text, '(?i)^(chapter \\d|figure)') AND NOT regexp_matches(z.text, '[.!?;:]$'))), FALSE)) AS safe FROM n""")
-def prd_safe_boundary(spark, sf):
-    return blocks.boundaries(_layout(spark)).select("page", "safe")
-
-
 @query(f"WITH {SLICED} SELECT doc_id, slice, 'head' AS side, ordinal FROM ranked WHERE h <= 20 UNION ALL SELECT doc_id, slice, 'tail', ordinal FROM ranked WHERE t <= 20")
 def win_head_tail(spark, sf):
     return merge.boundary_blocks(_slices(spark, sf)).select("doc_id", "slice", "side", "ordinal")
@@ -309,33 +135,21 @@ def win_match_run(spark, sf):
     return merge.decisions(_slices(spark, sf)).select("doc_id", F.col("right").alias("right_slice"), "first_removed", "removed_count")
 
 
-@query(f"WITH {SLICED}, s AS (SELECT DISTINCT doc_id, slice FROM sliced WHERE slice % 3 <> 2), g AS (SELECT *, lag(slice) OVER (PARTITION BY doc_id ORDER BY slice) AS l FROM s) SELECT doc_id, CAST(l AS BIGINT) AS left_slice, CAST(slice AS BIGINT) AS right_slice, CAST(slice - (l + 1) - 1 AS BIGINT) AS gap FROM g WHERE l + 2 < slice UNION ALL SELECT doc_id, l, slice, slice - l - 2 FROM g WHERE FALSE")
+@query(f"""WITH {LINES}, s AS (SELECT doc_id, reading_order AS page FROM lines WHERE contains(text, 'tion')), g AS (SELECT *, lag(page) OVER (PARTITION BY doc_id ORDER BY page) AS l FROM s)
+SELECT doc_id, CAST(l AS BIGINT) AS left_slice, CAST(page AS BIGINT) AS right_slice, CAST(page - l - 1 AS BIGINT) AS gap FROM g WHERE l + 1 < page""")
 def win_page_gap(spark, sf):
-    s = adapters.slices(_blocks(spark, sf)).select("doc_id", "slice").distinct().where("slice % 3 <> 2")
-    s = s.withColumns({"start_page": F.col("slice"), "end_page": F.col("slice") + 1}).where("slice % 3 <> 0")
+    """Lines with a common syllable are slices of a page; the pages between two of them are missing."""
+    page = F.col("reading_order")
+    s = adapters.blocks(_docs(spark, sf), False).where(F.contains("text", F.lit("tion"))).select("doc_id", page.alias("slice"), page.alias("start_page"), page.alias("end_page"))
     return merge.page_gaps(s).select("doc_id", F.col("left").alias("left_slice"), F.col("right").alias("right_slice"), "gap")
 
 
-SQL["win_page_gap"] = f"WITH {SLICED}, s AS (SELECT DISTINCT doc_id, slice FROM sliced WHERE slice % 3 = 1), g AS (SELECT *, lag(slice) OVER (PARTITION BY doc_id ORDER BY slice) AS l FROM s) SELECT doc_id, CAST(l AS BIGINT) AS left_slice, CAST(slice AS BIGINT) AS right_slice, CAST(slice - l - 2 AS BIGINT) AS gap FROM g WHERE l + 2 < slice"
-
-
 @query(f"""WITH {BLOCKS}, c AS (SELECT doc_id, reading_order, sum(CASE WHEN norm = p THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY reading_order) AS run FROM (SELECT *, lag(norm) OVER (PARTITION BY doc_id ORDER BY reading_order) AS p FROM blocks))
 SELECT doc_id, min(reading_order) AS first_rn, count(*) AS n FROM c GROUP BY doc_id, run HAVING count(*) >= 3""")
 def win_consecutive_dups(spark, sf):
     return merge.repeats(_blocks(spark, sf).select("doc_id", F.col("reading_order").alias("rn"), T.text_hash(F.col("norm")).alias("hash")))
 
 
-LEVELS = "doc_id string, rn int, level int"
-LEVEL_ROWS = [("a", 1, 3), ("a", 2, 6), ("a", 4, 6), ("a", 5, 1), ("a", 9, 4), ("b", 1, 1), ("b", 2, 2), ("b", 3, 5)]
-
-
-@query(f"""WITH RECURSIVE l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rn) AS n FROM {values(LEVELS, LEVEL_ROWS)}),
-f AS (SELECT doc_id, rn, level, n, level AS clamped FROM l WHERE n = 1 UNION ALL SELECT l.doc_id, l.rn, l.level, l.n, least(l.level, f.clamped + 1) FROM f JOIN l ON l.doc_id = f.doc_id AND l.n = f.n + 1)
-SELECT doc_id, rn, level, CAST(clamped AS INTEGER) AS clamped FROM f""")
-def fld_heading_clamp(spark, sf):
-    return repair.clamped_levels(literal(spark, LEVELS, LEVEL_ROWS))
-
-
 def _fragments(spark, sf):
     parts = adapters.blocks(_docs(spark, sf), False).select("doc_id", F.col("reading_order").alias("page"), F.posexplode(F.split("text", ", ")).alias("at", "markdown"))
     return parts.select("doc_id", "page", (F.col("at") + 1).cast("long").alias("rn"), F.lit("paragraph").alias("block_type"), "markdown")
@@ -373,45 +187,6 @@ def fld_pack_sections(spark, sf):
     return _nested(spark, sf).select("doc_id", F.explode(planner.packed_sections(F.col("c"))).alias("s")).select("doc_id", "s.title", "s.start_page", "s.end_page")
 
 
-PLANNED = "doc_id string, last_page int, chapters array<struct<title:string,start_page:int,end_page:int,level:int,sections:array<struct<title:string,start_page:int,end_page:int,level:int>>>>, safe array<int>, texts map<int,string>"
-PLANNED_ROWS = [
-    ("exact", 45, [("C", 1, 45, 1, None)], [20, 40], {}), ("far", 40, [("C", 1, 40, 1, None)], [27], {}), ("moved", 30, [("A", 1, 20, 1, None), ("B", 21, 30, 1, None)], [22], {}),
-    ("none", 60, [("C", 1, 60, 1, None)], [], {}), ("sections", 26, [("C", 1, 26, 1, [("s1", 1, 10, 2), ("s2", 11, 20, 2), ("s3", 21, 23, 2), ("s4", 24, 26, 2)])], list(range(1, 27)), {}),
-]
-
-
-@query()
-def fld_full_plan(spark, sf):
-    return planner.slice_names(planner.plan(literal(spark, PLANNED, PLANNED_ROWS)))
-
-
-PAGES = "doc_id string, lo int, hi int, want int, safe array<int>"
-PAGE_ROWS = [("a", 1, 25, 20, [18, 22, 30]), ("b", 1, 25, 20, [30]), ("c", 5, 25, 20, [3, 25])]
-
-
-@query(f"SELECT doc_id, (SELECT arg_min(p, (abs(p - want), CASE WHEN p > want THEN 1 ELSE 0 END)) FROM (SELECT unnest(safe) AS p) WHERE p BETWEEN lo AND hi) AS cut FROM {values(PAGES, PAGE_ROWS)}")
-def fld_physical_split(spark, sf):
-    return literal(spark, PAGES, PAGE_ROWS).select("doc_id", planner.nearest(F.col("safe"), F.col("lo"), F.col("want"), F.col("hi")).alias("cut"))
-
-
-def _snapshot(box, rows):
-    return (box, ["Name", "Value"], rows, "| Name |", None, None)
-
-
-CROSSED = [
-    ("s", 1, 1000.0, [_snapshot([50.0, 500.0, 550.0, 950.0], [["1", "2"]])]), ("s", 2, 1000.0, [_snapshot([50.0, 50.0, 550.0, 950.0], [["", "more"], ["3", "4"]])]), ("s", 3, 1000.0, [_snapshot([50.0, 50.0, 540.0, 300.0], [["5", "6"]]), _snapshot([50.0, 400.0, 550.0, 500.0], [["7", "8"]])]),
-    ("t", 1, 1000.0, [_snapshot([50.0, 500.0, 550.0, 950.0], [["1", "2"]])]), ("t", 2, 1000.0, [_snapshot([50.0, 300.0, 550.0, 950.0], [["3", "4"]])]),
-]
-
-
-@query()
-def fld_cross_page_tables(spark, sf):
-    from quire.schemas import SNAPSHOT
-
-    out = tables.merged_across_pages(literal(spark, f"slice_file string, page int, height double, tables array<{SNAPSHOT}>", CROSSED))
-    return out.select("slice_file", "page", F.posexplode("tables").alias("at", "t")).select("slice_file", "page", "at", F.to_json("t.rows").alias("rows"), F.coalesce("t.cross_page_count", F.lit(1)).alias("chain"))
-
-
 @query(f"""WITH {BLOCKS} SELECT doc_id, reading_order, CASE WHEN regexp_matches(text, '^\\s*(?:[-*•] |\\d+[.)]\\s)') THEN 'list_item' WHEN starts_with(ltrim(text), '>') THEN 'quote'
  WHEN reading_order = 1 AND length(text) <= 80 THEN 'header' ELSE 'paragraph' END AS block_type FROM blocks""")
 def prd_classify_block(spark, sf):
@@ -422,61 +197,6 @@ def prd_classify_block(spark, sf):
     return b.select("doc_id", "reading_order", kind.alias("block_type"))
 
 
-HEADS = "text string, size double, largest double"
-HEAD_ROWS = [("1 Intro", 0.0, 0.0), ("1.2.3 Deep", 0.0, 0.0), ("A1.2 Annex", 0.0, 0.0), ("1.1.1.1.1.1.1 x", 0.0, 0.0), ("Plain", 20.0, 20.0), ("Plain", 16.5, 20.0), ("Plain", 13.5, 20.0), ("Plain", 5.0, 20.0)]
-
-
-@query(f"""SELECT text, CAST(size AS DOUBLE) AS size, CAST(coalesce(CASE WHEN regexp_matches(text, '^[A-Za-z]?[0-9]') THEN least(6, length(regexp_extract(text, '^[A-Za-z]?([0-9]+(\\.[0-9]+)*)', 1)) - length(replace(regexp_extract(text, '^[A-Za-z]?([0-9]+(\\.[0-9]+)*)', 1), '.', '')) + 1) END,
- CASE WHEN size > 0 THEN CASE WHEN size / largest >= 0.95 THEN 1 WHEN size / largest >= 0.8 THEN 2 WHEN size / largest >= 0.65 THEN 3 END END, 2) AS INTEGER) AS level FROM {values(HEADS, HEAD_ROWS)}""")
-def prd_heading_level(spark, sf):
-    return literal(spark, HEADS, HEAD_ROWS).select("text", "size", T.heading_level(F.col("text"), F.col("size"), F.col("largest")).cast("int").alias("level"))
-
-
-TITLES = "pair int, a string, b string, next_text string, this_text string"
-TITLE_ROWS = [(1, "Alpha + Beta", "Gamma", "about Beta here", ""), (2, "abc", "Gamma", "abc", "no"), (3, "Alpha", "Gamma", "", "see Gamma"), (4, "Alpha", "Gamma", "none", "none")]
-
-
-@query(f"SELECT pair, (len(list_filter(string_split(a, ' + '), lambda t: length(t) >= 4 AND contains(next_text, t))) > 0 OR len(list_filter(string_split(b, ' + '), lambda t: length(t) >= 4 AND contains(this_text, t))) > 0) AS overlap FROM {values(TITLES, TITLE_ROWS)}")
-def prd_title_overlap(spark, sf):
-    return literal(spark, TITLES, TITLE_ROWS).select("pair", planner.titles_meet(F.col("a"), F.col("b"), F.col("next_text"), F.col("this_text")).alias("overlap"))
-
-
-@query()
-def str_cell_text(spark, sf):
-    rows = [("cryptoAd\ndressInfo",), ("complete\nTime",), ("the value\r\n\nof Time",), ("Format\n- one",), ("Limits:\nNext",), ("frequency 1-Less than\nday V1- Lower",), ("List<Str\ning>",)]
-    return literal(spark, "raw string", rows).select("raw", cells.clean_cell(F.col("raw")).alias("clean"), cells.clean_description(cells.clean_cell(F.col("raw"))).alias("described"))
-
-
-@query(f"""WITH t AS {TABLE_VALUES} SELECT page, ordinal, array_to_string(list_concat(['| ' || array_to_string(headers, ' | ') || ' |', '| ' || array_to_string(list_transform(headers, lambda h: '---'), ' | ') || ' |'],
- list_transform(rows, lambda r: '| ' || array_to_string(list_transform(headers, lambda h, i: coalesce(r[i], '')), ' | ') || ' |')), chr(10)) AS markdown FROM t""")
-def str_pipe_table(spark, sf):
-    return literal(spark, TABLES, TABLE_ROWS).select("page", "ordinal", T.pipe_table(F.col("headers"), F.col("rows")).alias("markdown"))
-
-
-@query(f"""WITH t AS {TABLE_VALUES} SELECT page, ordinal, '<div class="complex-table-block" data-table-id="t" data-table-role="standalone">' || chr(10) || '  <table>' || chr(10) || '    <thead>' || chr(10) || '      <tr>' || array_to_string(list_transform(headers, lambda h: '<th>' || h || '</th>'), '') || '</tr>' || chr(10) || '    </thead>' || chr(10) || '    <tbody>' || chr(10)
- || array_to_string(list_transform(rows, lambda r: '      <tr>' || array_to_string(list_transform(r, lambda c: '<td>' || c || '</td>'), '') || '</tr>' || chr(10)), '') || '    </tbody>' || chr(10) || '  </table>' || chr(10) || '</div>' AS html FROM t""")
-def str_table_html(spark, sf):
-    return literal(spark, TABLES, TABLE_ROWS).select("page", "ordinal", tables.table_html(F.col("headers"), F.col("rows"), F.lit("t"), F.lit("standalone")).alias("html"))
-
-
-LINKED = "order_index int, display_title string, markdown string"
-LINKED_ROWS = [(1, "A: b", 'x ![p](assets/a.png) <img src="assets/b.png"> ![q](assets/c d.png)'), (12, "End.", "![z](other/a.png)")]
-
-
-@query(f"""WITH s AS (SELECT *, lpad(CAST(order_index AS VARCHAR), 3, '0') || '-' || trim(regexp_replace(display_title, '[<>:"/\\\\|?*]', '_', 'g'), '. ') AS folder FROM {values(LINKED, LINKED_ROWS)})
-SELECT order_index, regexp_replace(regexp_replace(markdown, '(!\\[[^\\]]*\\])\\(assets/([^)]+)\\)', '\\1(assets/' || folder || '/\\2)', 'g'), '(src=")assets/([^"]+)', '\\1assets/' || folder || '/\\2', 'g') AS markdown,
- len(regexp_extract_all(markdown, '\\(assets/')) + len(regexp_extract_all(markdown, 'src="assets/')) AS relinks FROM s""")
-def str_rewrite_paths(spark, sf):
-    return merge.relinked(literal(spark, LINKED, LINKED_ROWS)).select("order_index", "markdown", F.size("relinks").cast("long").alias("relinks"))
-
-
-@query()
-def str_placeholder_fill(spark, sf):
-    p = tables.PLACEHOLDER
-    rows = [(1, f"a\n\n{p}\n\nb\n\n{p}", ["<t1>"]), (2, f"{p} x", ["<t1>", "<t2>", "<t3>"]), (3, "plain", []), (4, "", ["<t1>", "<t2>"])]
-    return literal(spark, "page int, text string, fragments array<string>", rows).select("page", tables.filled_placeholders(F.col("text"), F.col("fragments")).alias("markdown"))
-
-
 @query(f"WITH {BLOCKS} SELECT doc_id, string_agg(text, chr(10) || chr(10) ORDER BY reading_order) AS markdown, CAST(length(string_agg(text, chr(10) || chr(10) ORDER BY reading_order)) AS INTEGER) AS char_count FROM blocks WHERE text <> '' GROUP BY doc_id")
 def str_render(spark, sf):
     b = adapters.blocks(_docs(spark, sf), False).select("doc_id", F.col("reading_order").alias("rn"), F.lit("paragraph").alias("block_type"), F.col("text").alias("markdown"))
@@ -495,34 +215,6 @@ def str_segments_html(spark, sf):
     return adapters.html_segments(spark.read.parquet(f"{sf}/pages.parquet"))
 
 
-MD_ROWS = [("a", "# One\n\ntext\nmore\n\n- x\n- y\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n```py\ncode\n```\n\n![alt](assets/p.png)\n\n<div>z</div>"), ("b", ""), ("c", "~~~~\nopen\n~~~\nstill")]
-
-
-@query()
-def str_blocks_markdown(spark, sf):
-    return markdown.references(literal(spark, DRAFTS, MD_ROWS), ["doc_id"]).select("doc_id", "ordinal", "block_type", "normalized_text_hash")
-
-
-@query()
-def str_segments_markdown(spark, sf):
-    return markdown.segments(literal(spark, DRAFTS, MD_ROWS), ["doc_id"])
-
-
-@query()
-def str_normalize_markdown(spark, sf):
-    return literal(spark, DRAFTS, MD_ROWS).select("doc_id", markdown.normalize_markdown("markdown").alias("markdown"))
-
-
-CHECKED = "doc_id string, before int, after int, markdown string, asset_paths array<string>"
-CHECKED_ROWS = [("a", 10, 7, "text", []), ("b", 10, 9, "text x.png", ["x.png", "y.png"]), ("c", 3, 0, " ", ["z.png"]), ("d", 0, 4, "t", [])]
-
-
-@query(f"""WITH c AS {values(CHECKED, CHECKED_ROWS)} SELECT doc_id, 'format_parse_unstable' AS issue_type, 'error' AS severity FROM c WHERE trim(markdown) = '' OR (before > 0 AND abs(after - before) > before * 0.2)
-UNION ALL SELECT doc_id, 'asset_not_found', 'warning' FROM (SELECT doc_id, markdown, unnest(CAST(asset_paths AS VARCHAR[])) AS p FROM c WHERE trim(markdown) <> '') WHERE NOT contains(markdown, p)""")
-def chk_format(spark, sf):
-    return merge.format_checks(literal(spark, CHECKED, CHECKED_ROWS))
-
-
 @query(f"""WITH {LINES}, parts AS (SELECT doc_id, reading_order, sha256({NORM}) AS h FROM lines WHERE trim(text) <> ''), n AS (SELECT doc_id, h, row_number() OVER (PARTITION BY doc_id ORDER BY reading_order) - row_number() OVER (PARTITION BY doc_id, h ORDER BY reading_order) AS run FROM parts)
 SELECT DISTINCT doc_id, 'consecutive_duplicate_detected' AS warning_type FROM n GROUP BY doc_id, h, run HAVING count(*) >= 3""")
 def chk_merge(spark, sf):
@@ -533,12 +225,3 @@ def chk_merge(spark, sf):
 @query(f"WITH {SLICED}, k AS (SELECT s.doc_id, s.slice, s.ordinal FROM sliced s LEFT JOIN runs r ON r.doc_id = s.doc_id AND r.right_ = s.slice AND r.ordinal = s.ordinal WHERE r.ordinal IS NULL) SELECT doc_id, slice, count(*) AS kept_blocks FROM k GROUP BY doc_id, slice")
 def set_overlap_dedup(spark, sf):
     return merge.deduplicated(_slices(spark, sf)).groupBy("doc_id", "slice").agg(F.count("*").alias("kept_blocks"))
-
-
-STATUSES = "slice_file string, status string, warning_count int, manual_review_required boolean"
-STATUS_ROWS = [("a", "success", 2, False), ("b", "failed", 0, True), ("c", "success", 1, False), ("d", "skipped_upstream_failed", 0, False)]
-
-
-@query(f"SELECT count(*) AS total_slices, count(*) FILTER (status = 'success') AS success_count, count(*) FILTER (status = 'failed') AS failed_count, count(*) FILTER (status = 'skipped_upstream_failed') AS skipped_count, CAST(sum(warning_count) AS BIGINT) AS total_warnings, bool_or(manual_review_required) AS manual_review_required FROM {values(STATUSES, STATUS_ROWS)}")
-def agg_manifest_rollup(spark, sf):
-    return manifests.rollup(literal(spark, STATUSES, STATUS_ROWS))

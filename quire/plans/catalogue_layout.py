@@ -221,3 +221,22 @@ SELECT doc_id, CAST(pos AS INTEGER) AS pos, base || CASE WHEN k > 1 THEN '_' ||
 def agg_slice_names(spark, sf):
     rows = adapters.blocks(_docs(spark, sf), False).select("doc_id", F.col("reading_order").cast("int").alias("pos"), F.left("text", F.lit(6)).alias("title"), (F.col("reading_order") % 3 + 1).cast("int").alias("start_page"), (F.col("reading_order") % 3 + 2).cast("int").alias("end_page"))
     return planner.slice_names(rows).select("doc_id", "pos", "slice_file")
+
+
+def _physical(target: int, most: int) -> str:
+    near = NEAREST.format(want=f"(x.p0 + {target - 1})", side=f"CASE WHEN p > x.p0 + {target - 1} THEN 1 ELSE 0 END", low="x.p0", high=f"least(x.p0 + {most - 1}, x.n - 1)")
+    far = FIRST.format(low=f"least(x.p0 + {most - 1}, x.n - 1) + 1", high="x.n - 1")
+    return f"""f AS (SELECT doc_id, n, safe, 1::BIGINT AS p0, 0 AS pos, 0::BIGINT AS start_page, 0::BIGINT AS stop, ''::VARCHAR AS reason, NULL::VARCHAR AS problem FROM ds WHERE n > {most}
+ UNION ALL SELECT x.doc_id, x.n, x.safe, y.stop + 1, x.pos + 1, x.p0, y.stop, y.reason, y.problem FROM f x, LATERAL (SELECT {near} AS near, {far} AS far) c,
+ LATERAL (SELECT CASE WHEN x.n - x.p0 + 1 <= {most} THEN x.n ELSE coalesce(near, far, x.n) END AS stop, CASE WHEN x.n - x.p0 + 1 <= {target} THEN 'fallback_physical' WHEN x.n - x.p0 + 1 <= {most} THEN 'semantic_integrity' WHEN near = x.p0 + {target - 1} THEN 'page_limit' ELSE 'semantic_integrity' END AS reason,
+  CASE WHEN x.n - x.p0 + 1 <= {most} OR near IS NOT NULL THEN NULL WHEN far IS NOT NULL THEN 'oversized_semantic_block' ELSE 'oversized_section' END AS problem) y WHERE x.p0 <= x.n)"""
+
+
+@query(f"""WITH RECURSIVE {LINES}, {SAFE}, {_physical(5, 7)} SELECT doc_id, pos, start_page, stop AS end_page, 'physical' AS split_mode, reason AS boundary_reason, CASE WHEN stop - start_page + 1 > 7 THEN problem END AS exception_type FROM f WHERE pos > 0
+UNION ALL SELECT doc_id, 1, 1, n, 'chapter', 'chapter_boundary', NULL FROM ds WHERE n <= 7""")
+def fld_full_plan(spark, sf):
+    """Documents of one chapter: whole if they fit, else cut at safe pages."""
+    rows = _paged(spark, sf)
+    one = F.struct(F.lit("C"), F.lit(1), F.col("n"), F.lit(1), F.lit(None).cast("array<struct<title:string,start_page:int,end_page:int,level:int>>")).cast("struct<title:string,start_page:int,end_page:int,level:int,sections:array<struct<title:string,start_page:int,end_page:int,level:int>>>")
+    out = planner.plan(rows.select("doc_id", F.col("n").alias("last_page"), F.array(one).alias("chapters"), "safe", "texts"), 5, 7, 2)
+    return out.select("doc_id", F.col("pos").cast("int").alias("pos"), F.col("start_page").cast("long").alias("start_page"), F.col("end_page").cast("long").alias("end_page"), "split_mode", "boundary_reason", "exception_type")

@@ -92,7 +92,7 @@ def merge_phase(slices: DataFrame, refs: DataFrame | None = None, separator: str
         scanned = M.references(slices, ["book", "slice", "start_page"])
         refs = scanned.select("book", "slice", F.col("ordinal").cast("long").alias("ordinal"), F.col("start_page").alias("source_page"), "block_type", F.lit(None).cast("string").alias("dedupe_key"), F.col("normalized_text_hash").alias("text_hash"), "asset_ref", F.lit(False).alias("is_overlap"), "markdown")
     starts = slices.select("book", "slice", F.col("start_page").alias("s"))
-    marked = refs.join(starts, ["book", "slice"], "left").withColumn("protected", (F.col("block_type") == "heading") & (F.col("source_page") == F.col("s")) & T.strip(F.col("markdown")).rlike("^#{1,2} ")).drop("s")
+    marked = refs.join(starts, ["book", "slice"], "left").withColumn("protected", merge.opens_chapter(F.col("block_type"), F.col("source_page"), F.col("s"), F.col("markdown"))).drop("s")
     kept = merge.deduplicated(marked, "book")
     bodies = merge.stitched(kept.withColumn("__k", F.struct("slice", "ordinal")), "book", "__k", separator="\n\n") if separator == "\n\n" else None
     if bodies is None:

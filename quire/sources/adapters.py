@@ -83,3 +83,11 @@ def contents(documents: DataFrame) -> DataFrame:
     rows = documents.where("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(F.split("text", "\n")).alias("at", "line")).where("at % 6 = 0")
     k = F.floor(F.col("at") / 6)
     return rows.select("doc_id", F.col("at").alias("pos"), (F.lit(2) - k % 2).cast("int").alias("level"), F.concat(F.lit(" <"), F.col("at").cast("string"), F.lit("> "), F.left("line", F.lit(12))).alias("title"), (F.floor(F.col("at") / PAGE_LINES) + 1).cast("int").alias("page"))
+
+
+def four_words(documents: DataFrame) -> DataFrame:
+    """The first four words of each line, letters only and small: doc_id, n0 (from 0), line, a, b, c, d."""
+    rows = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n0", "line"))
+    words = F.filter(F.split("line", " "), lambda x: x != "")
+    letters = lambda i: F.lower(F.regexp_replace(F.coalesce(F.get(words, F.lit(i)), F.lit("")), "[^A-Za-z]", "")).alias("abcd"[i])
+    return rows.select("doc_id", F.col("n0").cast("long").alias("n0"), "line", *map(letters, range(4)))

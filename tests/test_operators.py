@@ -6,9 +6,27 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import align, blocks, chapters, merge, planner, repair, tables
-from quire.plans import catalogue
 from quire.schemas import PAGE_LAYOUT, SNAPSHOT
 
+TABLES = "page int, ordinal int, headers array<string>, rows array<array<string>>, markdown string"
+TABLE_ROWS = [
+    (1, 1, ["Field", "Type"], [["a", "int"], ["Objects of list", ""], ["b", "string"], ["Params of call", ""], ["c", "bool"]], "| Field | Type |\n| --- | --- |\n| Objects of list | |"),
+    (1, 2, ["A", "B"], [["1", "2"], ["3", "4"]], "| A | B |\n| --- | --- |\n| 1 | 2 |\n| 3 | 4 |"),
+    (2, 1, ["A", "B"], [["1", "2"], ["3"]], "| A | B |\n| --- | --- |"), (2, 2, ["Col1", "Col2"], [["1", "2"], ["3", "4"], ["5", "6"]], "| x |"),
+    (3, 1, ["A"], [["word"]], "| wor<br>d |"), (3, 2, ["A", "B"], [], ""), (4, 1, ["A", "B"], [["a spanning title", "a spanning title"], ["1", "2"]], "| q |"),
+]
+
+
+def _snapshot(box, rows):
+    return (box, ["Name", "Value"], rows, "| Name |", None, None)
+
+
+CROSSED = [
+    ("s", 1, 1000.0, [_snapshot([50.0, 500.0, 550.0, 950.0], [["1", "2"]])]), ("s", 2, 1000.0, [_snapshot([50.0, 50.0, 550.0, 950.0], [["", "more"], ["3", "4"]])]), ("s", 3, 1000.0, [_snapshot([50.0, 50.0, 540.0, 300.0], [["5", "6"]]), _snapshot([50.0, 400.0, 550.0, 500.0], [["7", "8"]])]),
+    ("t", 1, 1000.0, [_snapshot([50.0, 500.0, 550.0, 950.0], [["1", "2"]])]), ("t", 2, 1000.0, [_snapshot([50.0, 300.0, 550.0, 950.0], [["3", "4"]])]),
+]
+
+
 CHAPTER = "struct<title:string,start_page:int,end_page:int,level:int,sections:array<struct<title:string,start_page:int,end_page:int,level:int>>>"
 PLAN = f"doc_id string, last_page int, chapters array<{CHAPTER}>, safe array<int>, texts map<int,string>"
 
@@ -124,14 +142,15 @@ def test_chapters_from_layout_and_contents(spark):
 
 
 def test_tables_across_pages(spark):
-    rows = catalogue.QUERIES["fld_cross_page_tables"](spark, "").collect()
+    out = tables.merged_across_pages(spark.createDataFrame(CROSSED, f"slice_file string, page int, height double, tables array<{SNAPSHOT}>"))
+    rows = out.select("slice_file", "page", F.posexplode("tables").alias("at", "t")).select("slice_file", "page", "at", F.to_json("t.rows").alias("rows"), F.coalesce("t.cross_page_count", F.lit(1)).alias("chain")).collect()
     got = {(r.slice_file, r.page, r["at"]): (r.rows, r.chain) for r in rows}
     assert got[("s", 1, 0)] == ('[["1","2\\nmore"],["3","4"],["5","6"]]', 3) and ("s", 2, 0) not in got
     assert got[("s", 3, 0)] == ('[["7","8"]]', 1) and got[("t", 2, 0)][1] == 1
 
 
 def test_nested_tables(spark):
-    df = spark.createDataFrame(catalogue.TABLE_ROWS, catalogue.TABLES)
+    df = spark.createDataFrame(TABLE_ROWS, TABLES)
     rows = {r.table_id: r for r in tables.nodes(df).collect()}
     assert rows["p0001-t01"].table_role == "parent" and rows["p0001-t01"].child_table_ids == ["p0001-t01-c01", "p0001-t01-c02"]
     assert rows["p0001-t01-c02"].section_title == "Params of call" and rows["p0001-t01-c02"].rows == [["c", "bool"]]
