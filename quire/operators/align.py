@@ -1,8 +1,8 @@
 """Coverage: which blocks, tables and images of a slice its draft Markdown has.
 
 Exact matches are hash joins on the normal text. Only what is left is compared by containment and shared words, within a slice and
-only with segments that share one of the block's rarer words, which every match by words must, or, where a text has one or two
-words, that have a word which contains one of them."""
+only with segments that share enough of the block's rarer words, which every match by words must, or a word that a contained text
+can't lack; no text is fetched before."""
 
 from __future__ import annotations
 
@@ -11,8 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.session import cut
 
 RATIO, SHORTEST = 0.7, 5
+#: Rare words that a pair has to share before its texts are compared.
+SHARED = 4
 
 
 def overlap_ratio(block_words, segment_words):
@@ -20,50 +23,66 @@ def overlap_ratio(block_words, segment_words):
     return F.size(F.array_intersect(block_words, segment_words)) / F.size(block_words)
 
 
-def cut_words(short: DataFrame, other: DataFrame, keys: list[str], s: str, o: str, gram: int = 3) -> DataFrame:
+def cut_words(short: DataFrame, other: DataFrame, keys: list[str], s: str, o: str, gram: int = 3) -> DataFrame | None:
     """Candidates (keys, s, o) for texts (norm) of ``short`` with one or two words within texts of ``other``: the longer word, which no
-    space divides, lies within one word of the other text. Distinct words are compared, by the longer word's rarest n-gram."""
+    space divides, lies within one word of the other text. Distinct words are compared, by the longer word's rarest n-gram, and
+    only those that hold an n-gram which is asked for. None if there are no such texts."""
     words = F.split("norm", " ")
-    cut = short.where(F.size(words) <= 2).select(*keys, s, F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("part")).where("part <> ''")
+    few = cut(short.where(F.size(words) <= 2).select(*keys, s, F.array_max(F.transform(words, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"].alias("part")).where("part <> ''"))
+    sizes = sorted(r["n"] for r in few.select(F.least(F.length("part"), F.lit(gram)).alias("n")).distinct().collect())
+    if not sizes:
+        return None
     each = other.select(*keys, o, F.explode(F.array_distinct(words)).alias("word"))
 
     def grams(word, n):
         return F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substr(word, i, n))).otherwise(F.array().cast("array<string>"))
 
-    held = each.select("word").distinct().select("word", F.explode(F.array_distinct(F.concat(*(grams(F.col("word"), F.lit(n)) for n in range(1, gram + 1))))).alias("gram"))
+    asked = few.select("part").distinct().select("part", F.explode(grams(F.col("part"), F.least(F.length("part"), F.lit(gram)))).alias("gram"))
+    every = each.select("word").distinct().select("word", F.explode(F.array_distinct(F.concat(*(grams(F.col("word"), F.lit(n)) for n in sizes)))).alias("gram"))
+    held = cut(every.join(asked.select("gram").distinct(), "gram", "left_semi"))
     count = held.groupBy("gram").agg(F.count("*").alias("n"))
-    asked = cut.select("part").distinct().select("part", F.explode(grams(F.col("part"), F.least(F.length("part"), F.lit(gram)))).alias("gram")).join(count, "gram", "left")
-    rarest = asked.groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram"))["gram"].alias("gram"))
+    rarest = asked.join(count, "gram", "left").groupBy("part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "gram"))["gram"].alias("gram"))
     within = rarest.join(held, "gram").where(F.contains("word", F.col("part"))).select("part", "word")
-    return cut.join(within, "part").join(each, [*keys, "word"]).select(*keys, s, o)
+    return few.join(within, "part").join(each, [*keys, "word"]).select(*keys, s, o)
 
 
 def word_matches(left: DataFrame, right: DataFrame, keys: list[str], ratio: float = RATIO) -> DataFrame:
     """Pairs with containment, or at least ``ratio`` of the left text's words in the right text: left (keys, l, l_norm), right (keys, r,
     r_norm), normal texts, to keys, l, r, ratio. With ``keys`` the two sides are compared within those only.
 
-    A pair at the ratio shares at least one of the n - ceil(ratio n) + 1 rarest of the left's n words (two more are looked up,
-    since a contained text may be cut within its first and last words), so the join runs over those words alone. Right texts
-    contained in a left text are found by their own rarest words in the same way. A contained text of one or two words may share no
-    whole word; the other text then has a word that contains the longer of them (``cut_words``)."""
-    lw = left.select(*keys, "l", "l_norm", F.array_distinct(F.split(F.lower("l_norm"), " ")).alias("lw")).where(F.length("l_norm") >= SHORTEST)
-    rw = right.select(*keys, "r", "r_norm", F.array_distinct(F.split(F.lower("r_norm"), " ")).alias("rw")).where("r_norm <> ''")
-    seen = rw.select(F.explode("rw").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-
-    def rare(rows, id_, column, count):
-        each = rows.select(*keys, id_, column, F.explode(column).alias("word")).join(seen, "word", "left")
-        ranked = each.groupBy(*keys, id_).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("ws"), F.first(F.size(column)).alias("size"))
-        return ranked.select(*keys, id_, F.explode(F.transform(F.slice("ws", 1, count), lambda x: x["word"])).alias("word"))
-
-    few = F.least(F.col("size"), F.col("size") - F.ceil(F.col("size") * ratio).cast("int") + 3)
-    by_left = rare(lw, "l", "lw", few).join(rw.select(*keys, "r", F.explode("rw").alias("word")), [*keys, "word"]).select(*keys, "l", "r")
-    by_right = rare(rw, "r", "rw", F.least(F.col("size"), F.lit(3))).join(lw.select(*keys, "l", F.explode("lw").alias("word")), [*keys, "word"]).select(*keys, "l", "r")
-    short_left = cut_words(lw.select(*keys, "l", F.col("l_norm").alias("norm")), rw.select(*keys, "r", F.col("r_norm").alias("norm")), keys, "l", "r").select(*keys, "l", "r")
-    short_right = cut_words(rw.select(*keys, "r", F.col("r_norm").alias("norm")), lw.select(*keys, "l", F.col("l_norm").alias("norm")), keys, "r", "l").select(*keys, "l", "r")
-    pairs = by_left.union(by_right).union(short_left).union(short_right).distinct().join(lw, [*keys, "l"]).join(rw, [*keys, "r"])
+    Of the n words of a left text a pair at the ratio lacks at most n - t, t = ceil(ratio n). So of the left's rarest n - t + k
+    words it shares at least k (``SHARED``, or t if that is less), and these are joined and counted. Where one text contains the
+    other, all words but the first and last of the contained one, which may be cut, stand whole in the other; so the rarest of
+    those (of a right text, the longest) is joined. A contained text of one or two words may share no whole word; the other text then
+    has a word that contains the longer of them (``cut_words``)."""
+    def spelled(rows, id_, norm):
+        w = F.split(F.lower(norm), " ")
+        return rows.select(*keys, id_, norm, w.alias("ws"), F.array_distinct(w).alias("words"))
+
+    inner = F.slice("ws", 2, F.greatest(F.size("ws") - 2, F.lit(0)))
+    lw, rw = cut(spelled(left, "l", "l_norm").where(F.length("l_norm") >= SHORTEST)), spelled(right, "r", "r_norm").where("r_norm <> ''")
+    each = rw.select(*keys, "r", F.explode("words").alias("word"))
+    own = lw.select(*keys, "l", F.explode("words").alias("word"))
+    seen = each.join(own.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    order = own.join(seen, "word", "left").groupBy(*keys, "l").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))), lambda x: x["word"]).alias("rare"))
+    size = F.size("rare")
+    least = F.greatest(F.lit(1), F.ceil(size * ratio - 1e-9).cast("int"))
+    ranked = cut(order.withColumns({"k": F.least(F.lit(SHARED), least), "ask": F.slice("rare", 1, F.least(size, size - least + F.least(F.lit(SHARED), least)))}).join(lw.select(*keys, "l", inner.alias("inner")), [*keys, "l"]))
+    met = ranked.select(*keys, "l", "k", F.explode("ask").alias("word")).join(each, [*keys, "word"])
+    by_words = met.groupBy(*keys, "l", "r", "k").agg(F.count("*").alias("n")).where("n >= k").select(*keys, "l", "r")
+    rarest = ranked.select(*keys, "l", F.get(F.filter("rare", lambda w: F.array_contains("inner", w)), F.lit(0)).alias("word")).where("word IS NOT NULL")
+    in_right = rarest.join(each, [*keys, "word"]).select(*keys, "l", "r")
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    in_left = rw.select(*keys, "r", longest.alias("word"), F.length("r_norm").alias("r_size")).where("word IS NOT NULL").join(own, [*keys, "word"]).join(lw.select(*keys, "l", F.length("l_norm").alias("l_size")), [*keys, "l"]).where("r_size <= l_size").select(*keys, "l", "r")
+    lefts, rights = lw.select(*keys, "l", F.col("l_norm").alias("norm")), rw.select(*keys, "r", F.col("r_norm").alias("norm"))
+    pairs = by_words.union(in_right).union(in_left)
+    for found in (cut_words(lefts, rights, keys, "l", "r"), cut_words(rights, lefts, keys, "r", "l")):
+        if found is not None:
+            pairs = pairs.union(found.select(*keys, "l", "r"))
+    whole = pairs.distinct().join(lw.select(*keys, "l", "l_norm", F.col("words").alias("lw")), [*keys, "l"]).join(rw.select(*keys, "r", "r_norm", F.col("words").alias("rw")), [*keys, "r"])
     share = overlap_ratio(F.col("lw"), F.col("rw"))
     inside = F.contains("r_norm", F.col("l_norm")) | F.contains("l_norm", F.col("r_norm"))
-    return pairs.where(inside | (share >= ratio)).select(*keys, "l", "r", F.when(inside, 1.0).otherwise(share).alias("ratio"))
+    return whole.where(inside | (share >= ratio)).select(*keys, "l", "r", F.when(inside, 1.0).otherwise(share).alias("ratio"))
 
 
 def align(blocks: DataFrame, segments: DataFrame, key: str = "doc_id", pages: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.operators import align, blocks, chapters, merge, planner, repair
+from quire.session import cut
 from quire.sources import adapters, layout
 
 QUERIES, SQL = {}, {}
@@ -79,7 +80,7 @@ def agg_content_stats(spark, sf):
 
 def _audited(spark, sf):
     """Lines against a draft that lacks every seventh of them, has others with their last word cut off, and some with a word more."""
-    rows = adapters.keyed(_blocks(spark, sf)).withColumn("ordinal", F.col("reading_order"))
+    rows = cut(adapters.keyed(_blocks(spark, sf)).withColumn("ordinal", F.col("reading_order")))
     n = F.col("reading_order")
     text = F.when(n % 7 == 3, F.regexp_replace("norm", " [^ ]*$", "")).when(n % 7 == 5, F.concat(F.lit("also "), "norm")).otherwise(F.col("norm"))
     draft = rows.where("reading_order % 7 <> 0").select("doc_id", "ordinal", F.lit("paragraph").alias("segment_type"), text.alias("norm"))
@@ -109,7 +110,7 @@ SELECT item_id, doc_id, CAST(CASE WHEN inside THEN 1 ELSE share END AS DOUBLE) A
 def jn_fuzzy_match(spark, sf):
     left = spark.read.parquet(f"{sf}/benchmark.parquet").select(F.col("item_id").alias("l"), T.squeeze(F.col("text")).alias("l_norm"))
     right = _docs(spark, sf).select(F.col("doc_id").alias("r"), T.squeeze(F.col("text")).alias("r_norm"))
-    return align.word_matches(left, right, []).select(F.col("l").alias("item_id"), F.col("r").alias("doc_id"), "ratio")
+    return align.word_matches(left, cut(right), []).select(F.col("l").alias("item_id"), F.col("r").alias("doc_id"), "ratio")
 
 
 @query(f"WITH {SLICED} SELECT doc_id, right_ - 1 AS left_slice, right_ AS right_slice, ordinal, CASE rank WHEN 0 THEN 'dedupe_key' ELSE 'source_page_text_hash' END AS strategy FROM best")
