@@ -2,7 +2,7 @@
 
     python -m quire.cli slice  --layouts DIR --toc FILE --texts FILE --output-dir DIR [--max-pages 20]
     python -m quire.cli extract --input-manifest FILE --pages FILE --output-dir DIR [--no-emit-md]
-    python -m quire.cli format --input-dir DIR --output-dir DIR [--overwrite] [--fail-on-manual-review]
+    python -m quire.cli format --input-dir DIR --output-dir DIR [--overwrite] [--fail-on-manual-review] [--no-copy-assets]
     python -m quire.cli merge  --input-dir DIR --output-dir DIR [--overwrite] [--allow-upstream-manual-review]
 
 Exit status 1: a failed slice, review where that is a failure, or an output that exists."""
@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from quire import schemas as S
+from quire.operators import merge
 from quire.plans import extract, phases
-from quire.session import session
-from quire.sources import layout, manifests
+from quire.session import cut, session
+from quire.sources import layout, manifests, sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -41,6 +42,8 @@ def parser() -> argparse.ArgumentParser:
         else:
             p.add_argument("--input-dir", required=True)
             p.add_argument("--fail-on-manual-review", action="store_true")
+        if name == "format":
+            p.add_argument("--copy-assets", action=argparse.BooleanOptionalAction, default=True)
         if name == "merge":
             p.add_argument("--allow-upstream-manual-review", action="store_true")
     return top
@@ -56,6 +59,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.phase == "slice":
             slices = phases.slice_phase(spark.read.schema(S.TOC).json(args.toc), layout.read_layouts(spark, args.layouts), spark.read.schema("doc_id string, page int, text string").json(args.texts), args.max_pages)
             slices.write.mode(mode).json(f"{out}/slices")
+            stored = spark.read.schema(slices.schema).json(f"{out}/slices")
+            sinks.slice_manifests(stored, stored.groupBy("doc_id").agg(F.max("end_page").alias("total_pages"), F.lit(1).alias("fallback_level"))).write.mode(mode).json(f"{out}/manifest")
             return 0
         if args.phase == "extract":
             rows = manifests.slices(manifests.read(spark, args.input_manifest, "slice"))
@@ -65,6 +70,7 @@ def main(argv: list[str] | None = None) -> int:
             done = extract.extract_phase(spark.read.schema(extract.PAGES).json(args.pages), rows.select("slice_file", "display_title", "start_page", "end_page", "overlap_pages", "manual_review_required"))
             for name in ("content", "records", "stats"):
                 done[name].write.mode(mode).json(f"{out}/{name}")
+            sinks.extract_manifests(done["records"], rows).write.mode(mode).json(f"{out}/manifest")
             if args.emit_md:
                 extract.drafts(done["content"]).write.mode(mode).json(f"{out}/drafts")
             return int(done["records"].where("status = 'failed'").limit(1).count() > 0)
@@ -72,6 +78,15 @@ def main(argv: list[str] | None = None) -> int:
             done = phases.format_phase(spark.read.schema(S.CONTENT).json(f"{args.input_dir}/content"), spark.read.schema("doc_id string, markdown string").json(f"{args.input_dir}/drafts"))
             for name in ("coverage", "issues", "fixes", "documents"):
                 done[name].write.mode(mode).json(f"{out}/{name}")
+            finished = cut(sinks.numbered(done["documents"]))
+            sinks.format_manifests(finished).write.mode(mode).json(f"{out}/manifest")
+            reports = sinks.review_reports(done).select("doc_id", F.to_json(F.struct("*")).alias("content")).join(finished.select("doc_id", "folder"), "doc_id").select(F.concat("folder", F.lit("/review_report.json")).alias("name"), "content")
+            shown = finished if args.copy_assets else merge.relinked_to_source(finished)
+            written = sinks.files(reports.unionByName(shown.select(F.concat("folder", F.lit("/final.md")).alias("name"), F.col("markdown").alias("content"))), f"{out}/files")
+            if args.copy_assets:
+                paths = finished.select("folder", F.explode(merge.image_references(F.col("markdown"))).alias("name")).where(F.col("name").startswith("assets/"))
+                written = written.unionByName(sinks.copied(paths.select("name", F.concat("folder", F.lit("/"), "name").alias("to")), args.input_dir, f"{out}/files"))
+            written.write.mode(mode).json(f"{out}/written")
             schema = done["documents"].schema
             review = spark.read.schema(schema).json(f"{out}/documents").where("manual_review_required").limit(1).count()
             return int(bool(review) and args.fail_on_manual_review)
@@ -82,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         for name in ("books", "decisions", "warnings"):
             merged[name].write.mode(mode).json(f"{out}/{name}")
         status.write.mode(mode).json(f"{out}/status")
+        sinks.merge_reports(merged).write.mode(mode).json(f"{out}/reports")
+        sinks.run_summary(merged).write.mode(mode).json(f"{out}/summary")
         return int(status.where(F.col("status") != "success").limit(1).count() > 0)
     except AnalysisException as error:
         print(error, file=sys.stderr)

@@ -23,8 +23,12 @@ def session(name: str = "quire", master: str | None = None, **conf) -> SparkSess
 
 def cut(df: DataFrame) -> DataFrame:
     """The rows of ``df`` on a plan of their own: a checkpoint in the folder that the cluster names, so that what several results
-    share is computed once and survives lost executors. Only a session without that setting gets a folder of its own."""
+    share is computed once and survives lost executors. Only a session on one
+    machine gets a folder of its own without that setting."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quire-checkpoint-"))
+        configured = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not configured and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="quire-checkpoint-"))
     return df.checkpoint(eager=True)

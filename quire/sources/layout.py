@@ -21,7 +21,8 @@ STATUS = ("missing", "damaged", "encrypted", "empty", "no_text")
 
 
 class LayoutSource(DataSource):
-    """spark.read.format("quire_layout").load(folder): one partition a .json file of {doc_id, pages: [...]}."""
+    """spark.read.format("quire_layout").load(folder): one partition a .json file of {doc_id, pages: [...]}. The driver lists the folder;
+    for millions of layouts ``layouts_of`` reads the files that Spark lists."""
 
     @classmethod
     def name(cls):
@@ -50,11 +51,26 @@ class LayoutReader(DataSourceReader):
 
         store, inner = fs.FileSystem.from_uri(partition.value)
         with store.open_input_stream(inner) as stream:
-            doc = json.loads(stream.read())
-        box = lambda b: [float(x) for x in b]
-        for n, p in enumerate(doc["pages"], start=1):
-            blocks = [(b["type"], box(b["bbox"]), [([(s.get("text"), s.get("font"), float(s.get("size", 0))) for s in x.get("spans", [])],) for x in b.get("lines", [])]) for b in p.get("blocks", [])]
-            yield (str(doc["doc_id"]), int(p.get("page", n)), float(p["width"]), float(p["height"]), blocks, [(box(t["bbox"]),) for t in p.get("tables", [])], [(box(t["bbox"]),) for t in p.get("images", [])])
+            yield from pages_of(json.loads(stream.read()))
+
+
+def pages_of(doc: dict):
+    """Rows of a page layout from one document."""
+    box = lambda b: [float(x) for x in b]
+    for n, p in enumerate(doc["pages"], start=1):
+        blocks = [(b["type"], box(b["bbox"]), [([(s.get("text"), s.get("font"), float(s.get("size", 0))) for s in x.get("spans", [])],) for x in b.get("lines", [])]) for b in p.get("blocks", [])]
+        yield (str(doc["doc_id"]), int(p.get("page", n)), float(p["width"]), float(p["height"]), blocks, [(box(t["bbox"]),) for t in p.get("tables", [])], [(box(t["bbox"]),) for t in p.get("images", [])])
+
+
+def layouts_of(contents: DataFrame) -> DataFrame:
+    """Page layouts of JSON files (path, content) that Spark has listed, as ``files`` gives them."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = [row for content in pdf["content"] for row in pages_of(json.loads(content))]
+            yield pd.DataFrame(rows, columns=["doc_id", "page", "width", "height", "blocks", "tables", "images"])
+
+    return contents.select("content").mapInPandas(run, PAGE_LAYOUT)
 
 
 def read_layouts(spark: SparkSession, path: str) -> DataFrame:
@@ -115,6 +131,7 @@ def export(parts: DataFrame, folder: str, writer: Callable[[dict], tuple[str, by
             for row in pdf.to_dict("records"):
                 try:
                     name, content = writer(row)
+                    store.create_dir(f"{root}/{name}".rpartition("/")[0], recursive=True)
                     with store.open_output_stream(f"{root}/{name}") as sink:
                         sink.write(content)
                     out.append((f"{folder}/{name}", None))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quire import cli
 from quire import schemas as S
 from quire.plans import phases
-from quire.sources import layout, manifests
+from quire.sources import layout, manifests, sinks
 from quire.streaming.manifests import watch
 
 BLOCK = ["type", "text", "source_page", "bbox", "reading_order", "is_overlap", "dedupe_key", "heading_level"]
@@ -99,6 +99,53 @@ def test_merge_and_format_commands(spark, tmp_path):
     assert cli.main(args) == 0 and cli.main([*args, "--overwrite", "--fail-on-manual-review"]) == 1
 
 
+def test_files_of_commands(spark, tmp_path):
+    """Reports, texts and assets in a folder for each slice; paths to the source's folder where assets stay."""
+    spark.createDataFrame(CONTENT, S.CONTENT).write.json(str(tmp_path / "f" / "content"))
+    spark.createDataFrame(DRAFT, "doc_id string, markdown string").write.json(str(tmp_path / "f" / "drafts"))
+    args = ["format", "--input-dir", str(tmp_path / "f"), "--output-dir"]
+    assert cli.main([*args, str(tmp_path / "a"), "--no-copy-assets"]) == 0
+    manifest = spark.read.schema(S.FORMAT_MANIFEST).json(str(tmp_path / "a" / "manifest")).first()
+    assert manifest.total_slices == len(manifest.slices) and [x.order_index for x in manifest.slices] == list(range(1, manifest.total_slices + 1))
+    for x in manifest.slices:
+        report = json.loads((tmp_path / "a" / "files" / x.review_report_file).read_text())
+        assert report["doc_id"] == x.slice_file and report["coverage"]["matched"] <= report["coverage"]["expected"]
+        assert (tmp_path / "a" / "files" / x.final_md_file).read_text().strip()
+    assert {r.warning for r in spark.read.schema("path string, warning string").json(str(tmp_path / "a" / "written")).collect()} == {None}
+
+
+def test_sinks(spark, tmp_path):
+    slices = spark.createDataFrame([("d", 2, "B", 3, 4, "b.pdf"), ("d", 1, "A", 1, 2, "a b.pdf")], "doc_id string, pos int, title string, start_page int, end_page int, slice_file string")
+    more = {"toc_level": F.lit(1), "split_mode": F.lit("chapter"), "overlap_pages": F.array().cast("array<int>"), "boundary_reason": F.lit("chapter_boundary"), "exception_type": F.lit(None).cast("string"), "manual_review_required": F.lit(False)}
+    documents = spark.createDataFrame([("d", 4, 2)], "doc_id string, total_pages int, fallback_level int")
+    made = sinks.slice_manifests(slices.withColumns(more), documents, "now")
+    row = made.first()
+    assert (row.source_file, row.total_pages, row.fallback_level, row.created_at) == ("d", 4, 2, "now") and [(s.slice_file, s.actual_pages) for s in row.slices] == [("a b.pdf", 2), ("b.pdf", 2)]
+    made.write.json(str(tmp_path / "m"))
+    rows = manifests.slices(manifests.read(spark, str(tmp_path / "m"), "slice"))
+    assert manifests.slice_errors(rows).count() == 0
+    (tmp_path / "there").mkdir()
+    (tmp_path / "there" / "a b.pdf").write_bytes(b"x")
+    assert [tuple(r) for r in sinks.missing_files(rows, str(tmp_path / "there")).collect()] == [("b.pdf", "MISSING_FILE")]
+    records = spark.createDataFrame([("a b.pdf", "success", None, 1, True), ("b.pdf", "failed", "E", 0, True)], "slice_file string, status string, error_code string, warning_count int, manual_review_required boolean")
+    done = sinks.extract_manifests(records, rows, "now").first()
+    assert (done.total_slices, done.success_count, done.failed_count, done.total_warnings) == (2, 1, 1, 1) and [s.content_file for s in done.slices] == ["001-a b/content.json", None]
+    source = spark.createDataFrame([("a b.pdf", "x/y.pdf"), ("none.pdf", "z.pdf")], "name string, to string")
+    out = sinks.copied(source, str(tmp_path / "there"), str(tmp_path / "copy")).collect()
+    assert (tmp_path / "copy" / "x" / "y.pdf").read_bytes() == b"x" and sum(r.warning is not None for r in out) == 1
+    merged = phases.merge_phase(spark.createDataFrame(BOOK, SLICES))
+    reports = {r.book: r for r in sinks.merge_reports(merged).collect()}
+    assert len(reports) == merged["books"].count() and all(r.status == "success" for r in reports.values())
+    assert sinks.run_summary(merged).first().books == len(reports)
+
+
+def test_layout_files(spark, tmp_path):
+    doc = {"doc_id": "d", "pages": [{"width": 6, "height": 10, "blocks": [{"type": 0, "bbox": [0, 0, 1, 1], "lines": [{"spans": [{"text": "t", "font": "f", "size": 9}]}]}]}]}
+    (tmp_path / "d.json").write_text(json.dumps(doc))
+    by_source = layout.read_layouts(spark, str(tmp_path)).collect()
+    assert layout.layouts_of(layout.files(spark, str(tmp_path))).collect() == by_source and by_source[0].blocks[0].lines[0].spans[0].text == "t"
+
+
 def test_manifests(spark, tmp_path):
     one = {"source_manifest": "m", "source_file": "a.pdf", "slices": [{"slice_file": "x", "status": "success", "warning_count": 1}, {"slice_file": "y", "status": "failed"}]}
     (tmp_path / "m.json").write_text(json.dumps(one, indent=1))
