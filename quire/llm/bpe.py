@@ -30,7 +30,7 @@ from quire.llm.common import arrow_map, remembers, slices
 
 #: Chunks that a worker remembers before it forgets those not used since; bounds its memory.
 CACHE_ENTRIES = 500_000
-COUNT, NAMES, BYTES = itemgetter(0), itemgetter(1), itemgetter(2)
+NAMES, BYTES = itemgetter(0), itemgetter(1)
 #: A space that has white space, or an end of the text, on both sides.
 SPACE_BETWEEN = re.compile(r"\s \s|\s $|^ \s| $")
 
@@ -97,8 +97,8 @@ class Generations:
         self.now, self.old = {}, {}
 
 
-def ids_of(chunks: list[tuple[int, str, bytes]]) -> list[int]:
-    return [int(x) for _, names, _ in chunks for x in names.split(" ")]
+def ids_of(chunks: list[tuple[bytes, bytes]]) -> list[int]:
+    return [int(x) for names, _ in chunks for x in names.split()]
 
 
 class ByteBpe:
@@ -110,7 +110,7 @@ class ByteBpe:
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         size = max(ranks.values(), default=0) + 1
-        self.table, self.names = [b""] * size, list(map(str, range(size)))
+        self.table, self.names = [b""] * size, [b"%d" % i for i in range(size)]
         for b, i in ranks.items():
             self.table[i] = b
         self.queue = RankQueue(size)
@@ -123,8 +123,8 @@ class ByteBpe:
         for b, i in ranks.items():
             if len(b) == 2:
                 self.start[b[0], b[1]] = i
-        #: What was encoded: the number of ids, the ids as text, the bytes they stand for. By what follows a space in a text, and
-        #: by pre-tokens that don't begin with one.
+        #: What was encoded: the ids as text and the bytes they stand for. By what follows a space in a text, and by pre-tokens
+        #: that don't begin with one.
         self.chunks, self.others = Generations(CACHE_ENTRIES), Generations(CACHE_ENTRIES)
 
     def merge(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
@@ -198,7 +198,7 @@ class ByteBpe:
                 put(p, ids)
 
         def put(piece, ids):
-            found = len(ids), " ".join(map(self.names.__getitem__, ids)), self.decode(ids)
+            found = b" ".join(map(self.names.__getitem__, ids)), self.decode(ids)
             if piece[0] == " ":
                 chunks[piece[1:]] = found
             else:
@@ -216,14 +216,14 @@ class ByteBpe:
                 part, size = [], 0
         done()
 
-    def joined(self, pieces: list[str]) -> tuple[int, str, bytes]:
+    def joined(self, pieces: list[str]) -> tuple[bytes, bytes]:
         """What is remembered of pre-tokens, put together."""
         chunks, others = self.chunks.now, self.others.now
-        counts, names, content = zip(*[chunks[p[1:]] if p[0] == " " else others[p] for p in pieces], strict=True)
-        return sum(counts), " ".join(names), b"".join(content)
+        names, content = zip(*[chunks[p[1:]] if p[0] == " " else others[p] for p in pieces], strict=True)
+        return b" ".join(names), b"".join(content)
 
-    def encode_chunks(self, texts: list[str]) -> Iterator[list[tuple[int, str, bytes]]]:
-        """Each text as its chunks: number of ids, ids as text and decoded bytes.
+    def encode_chunks(self, texts: list[str]) -> Iterator[list[tuple[bytes, bytes]]]:
+        """Each text as its chunks: ids as text and decoded bytes.
 
         A text is cut before each space unless white space stands on both sides of one: no match of the pattern crosses such
         a cut, so what lies between two cuts always has the same matches and is remembered as one chunk."""
@@ -288,24 +288,27 @@ def rank_file(name: str = "byte_bpe_50k.tiktoken") -> tuple[str, str]:
     return public_tokenizers.path(name), public_tokenizers.PATTERN
 
 
-def _encode_rows(batches, name, ids_too):
+def _encode_rows(batches, name, ids_too, entries=CACHE_ENTRIES):
     coder = load(*rank_file(name))
+    coder.chunks.entries = coder.others.entries = entries
     remembers("bpe", coder.forget)
     for batch in slices(batches, 4 << 20):
         ids_out, counts, id_hashes, decoded_hashes = [], [], [], []
         for chunks in coder.encode_chunks([text or "" for text in batch.column(1).to_pylist()]):
-            counts.append(sum(map(COUNT, chunks)))
+            names = b" ".join(map(NAMES, chunks))
+            counts.append(names.count(b" ") + 1 if names else 0)
             if ids_too:
                 ids_out.append(ids_of(chunks))
-            id_hashes.append(hashlib.sha256(" ".join(map(NAMES, chunks)).encode()).hexdigest())
+            id_hashes.append(hashlib.sha256(names).hexdigest())
             decoded_hashes.append(hashlib.sha256(b"".join(map(BYTES, chunks))).hexdigest())
         yield [batch.column(0), *([ids_out] if ids_too else []), counts, id_hashes, decoded_hashes]
 
 
-def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", keep_ids: bool = True) -> DataFrame:
-    """One row per document: doc_id, [ids array<int>,] n_tokens, ids_sha256, decoded_sha256; a map without a shuffle."""
+def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", keep_ids: bool = True, entries: int = CACHE_ENTRIES) -> DataFrame:
+    """One row per document: doc_id, [ids array<int>,] n_tokens, ids_sha256, decoded_sha256; a map without a shuffle. ``entries`` bounds
+    what a worker remembers, not what it encodes."""
     schema = "doc_id long, " + ("ids array<int>, " if keep_ids else "") + "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), schema, lambda batches: _encode_rows(batches, vocabulary, keep_ids))
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), schema, lambda batches: _encode_rows(batches, vocabulary, keep_ids, entries))
 
 
 def decode(encoded: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -42,11 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that ``stored`` wrote, once all that reads it has been checkpointed."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(df.sparkSession, df.stored_at)
 
 
 def light(df: DataFrame, rows: int = 1_000_000, weight: Column | None = None) -> DataFrame:
@@ -82,11 +87,20 @@ _caches: dict[str, Callable[[], None]] = {}
 
 def remembers(owner: str, forget: Callable[[], None]) -> None:
     """Spark uses Python workers again, so what operators remember in a worker would add up: when one begins to fill its cache, the
-    others' are emptied."""
-    for other, clear in _caches.items():
-        if other != owner:
-            clear()
+    others' are emptied and their memory is given back."""
+    others = [clear for other, clear in _caches.items() if other != owner]
+    for clear in others:
+        clear()
     _caches[owner] = forget
+    if others:
+        _give_back()
+
+
+def _give_back() -> None:
+    """Freed memory to the operating system, where the C library knows how."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, light, remembers, slices, stored
+from quire.llm.common import arrow_map, cut, discard, light, remembers, slices, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, LABEL, RECALL = 24, 8, 0.9995
@@ -249,6 +249,7 @@ def components(links: DataFrame) -> DataFrame:
         changed = after.where("root <> before").limit(1).count()
         now = after.select("node", "root")
         if not changed:
+            discard(both)
             return now
 
 
@@ -261,8 +262,10 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     """Documents (doc_id, name, node), links (a, b) that connect all nodes with a path of verified pairs, and each linked node's
     number of verified pairs (node, n_links)."""
     text = F.col("text").cast("string")
-    found = stored(arrow_map(docs.select(F.col("doc_id").cast("long"), _named(docs).alias("name"), text), "doc_id long, name long, node binary, labels binary", _signatures), "signatures")
-    nodes = cut(found.where("node IS NOT NULL").groupBy("node").agg(F.min("name").alias("name"), F.first("labels").alias("labels")))
+    signed = stored(arrow_map(docs.select(F.col("doc_id").cast("long"), _named(docs).alias("name"), text), "doc_id long, name long, node binary, labels binary", _signatures), "signatures")
+    found = stored(signed.drop("labels"), "documents")
+    nodes = cut(signed.where("node IS NOT NULL").groupBy("node").agg(F.min("name").alias("name"), F.first("labels").alias("labels")))
+    discard(signed)
     depth = prefix_length(threshold, recall)
     tries = arrow_map(nodes.select("node", "labels"), "label binary, node binary", lambda batches: _tries(batches, depth))
     ordered = tries.repartition("label").sortWithinPartitions("label", "node")
@@ -273,7 +276,8 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     pairs = cut(single.where("ga IS NULL OR gb IS NULL OR ga <> gb").select("a", "b"))
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct().join(nodes.select("node", "name"), "node")
     wanted = docs.select(_named(docs).alias("name"), text.alias("text"))
-    texts = stored(wanted.join(asked, "name").select("node", "name", "text"), "candidate-texts").dropDuplicates(["node"])
+    held = stored(wanted.join(asked, "name").select("node", "name", "text"), "candidate-texts")
+    texts = held.dropDuplicates(["node"])
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     whole = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     verified = cut(arrow_map(whole, "a binary, b binary", lambda batches: _verified(batches, threshold)))
@@ -282,9 +286,10 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     sides = texts.select("node", "text").join(dealt, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = sides.select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "text")
     inside = cut(cells.groupBy("grp", "lo", "hi").applyInArrow(_block_pair(threshold), "node binary, root binary, n long"))
+    discard(held)
     each = verified.select(F.col("a").alias("node"), F.lit(1).alias("n")).union(verified.select("b", F.lit(1))).union(inside.select("node", "n"))
     joined = verified.union(inside.where("node <> root").select("node", "root").distinct())
-    return found.drop("labels"), joined, each.groupBy("node").agg(F.sum("n").alias("n_links"))
+    return found, joined, each.groupBy("node").agg(F.sum("n").alias("n_links"))
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, **options) -> DataFrame:

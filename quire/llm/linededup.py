@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import cut, light, stored
+from quire.llm.common import cut, discard, light, stored
 
 DEPTH, MIN_DOCS, SIMILAR = 3, 10, 0.7
 LONG, LONG_DOCS = 50, 2
@@ -70,7 +70,9 @@ def recurring(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, sim
     by_pattern = members.join(light(cut(patterns)), "leaf")
     by_line = each.where(F.col("n") >= min_docs).select("leaf", "hash", "first")
     both = by_line.join(by_pattern, ["leaf", "hash"], "full_outer")
-    return lines, cut(both.select("leaf", "hash", F.coalesce("pattern_first", "first").alias("first")))
+    again = cut(both.select("leaf", "hash", F.coalesce("pattern_first", "first").alias("first")))
+    discard(each)
+    return lines, again
 
 
 def dropped_lines(docs: DataFrame, long_docs: int | None = LONG_DOCS, **options) -> DataFrame:
@@ -82,7 +84,9 @@ def dropped_lines(docs: DataFrame, long_docs: int | None = LONG_DOCS, **options)
         whole = lines.where("exact IS NOT NULL").select("doc", "key", "line_no", "exact")
         often = whole.groupBy("exact").agg(F.count_distinct("doc").alias("n"), F.min("doc").alias("first")).where(F.col("n") >= long_docs)
         gone = gone.union(whole.join(often, "exact").where(F.col("doc") != F.col("first")).select("doc", "key", "line_no"))
-    return gone.groupBy("doc", "key").agg(F.collect_set("line_no").alias("drop"))
+    gone = cut(gone.groupBy("doc", "key").agg(F.collect_set("line_no").alias("drop")))
+    discard(lines)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, **options) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, light, shared_dir, slices
+from quire.llm.common import arrow_map, cut, light, remove, shared_dir, slices
 
 MIN_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
@@ -82,13 +82,18 @@ def first_pages(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     return pages.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1 AND first_id IS NOT NULL").drop("n")
 
 
-def deduplicate(pages: DataFrame, min_bytes: int = MIN_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """From page_id, url and payload (binary) write archives; their manifest: path, n_records, n_bytes."""
+def new_folder(spark) -> str:
+    return f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+
+
+def deduplicate(pages: DataFrame, min_bytes: int = MIN_BYTES, archive_bytes: int = ARCHIVE_BYTES, folder: str | None = None) -> DataFrame:
+    """From page_id, url and payload (binary) write archives, to a new folder of the shared storage if none is given; their manifest:
+    path, n_records, n_bytes."""
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.coalesce("payload", F.lit(b"")).alias("payload"))
     rows = rows.withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.octet_length("payload").cast("long")})
     firsts = cut(first_pages(rows.select(F.unhex("digest").alias("digest"), "page_id", "n_bytes"), min_bytes)).withColumnRenamed("digest", "key")
     decided = rows.join(light(firsts, FIRSTS), F.unhex("digest") == F.col("key"), "left").select("page_id", "url", "payload", "digest", "first_id", (F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))).alias("revisit"))
-    folder = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = folder or new_folder(pages.sparkSession)
     return cut(arrow_map(decided, "path string, n_records long, n_bytes long", lambda batches: _write(batches, folder, archive_bytes)))
 
 
@@ -184,9 +189,11 @@ def resolve(records: DataFrame) -> DataFrame:
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:
-    """pages written to deduplicated archives, read back and resolved."""
+    """pages written to deduplicated archives, read back and resolved; the archives are deleted then."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
-    heads = cut(read_archives(deduplicate(pages)).drop("payload"))
+    folder = new_folder(spark)
+    heads = cut(read_archives(deduplicate(pages, folder=folder)).drop("payload"))
+    remove(spark, folder)
     return resolve(heads.withColumn("payload", F.lit(None).cast("binary")))
 
 
