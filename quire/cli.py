@@ -1,7 +1,7 @@
 """Command line: one subcommand a phase, over tables in folders.
 
-    python -m quire.cli slice  --layouts DIR --toc FILE --texts FILE --output-dir DIR [--max-pages 20]
-    python -m quire.cli extract --input-manifest FILE --pages FILE --output-dir DIR [--no-emit-md]
+    python -m quire.cli slice  (--pdfs DIR | --layouts DIR --toc FILE --texts FILE) --output-dir DIR [--max-pages 20]
+    python -m quire.cli extract --input-manifest FILE (--pdfs DIR | --pages FILE) --output-dir DIR [--no-emit-md]
     python -m quire.cli format --input-dir DIR --output-dir DIR [--overwrite] [--fail-on-manual-review] [--no-copy-assets]
     python -m quire.cli merge  --input-dir DIR --output-dir DIR [--overwrite] [--allow-upstream-manual-review]
 
@@ -19,7 +19,7 @@ from quire import schemas as S
 from quire.operators import merge
 from quire.plans import extract, phases
 from quire.session import cut, session
-from quire.sources import layout, manifests, sinks
+from quire.sources import layout, manifests, pdf, sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,13 +31,15 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--overwrite", action=argparse.BooleanOptionalAction, default=False)
         p.add_argument("--log-level", default="WARN")
         if name == "slice":
-            p.add_argument("--layouts", required=True)
-            p.add_argument("--toc", required=True)
-            p.add_argument("--texts", required=True)
+            p.add_argument("--pdfs")
+            p.add_argument("--layouts")
+            p.add_argument("--toc")
+            p.add_argument("--texts")
             p.add_argument("--max-pages", type=int, default=20)
         elif name == "extract":
             p.add_argument("--input-manifest", required=True)
-            p.add_argument("--pages", required=True)
+            p.add_argument("--pdfs")
+            p.add_argument("--pages")
             p.add_argument("--emit-md", action=argparse.BooleanOptionalAction, default=True)
         else:
             p.add_argument("--input-dir", required=True)
@@ -57,17 +59,33 @@ def main(argv: list[str] | None = None) -> int:
     out = args.output_dir
     try:
         if args.phase == "slice":
-            slices = phases.slice_phase(spark.read.schema(S.TOC).json(args.toc), layout.read_layouts(spark, args.layouts), spark.read.schema("doc_id string, page int, text string").json(args.texts), args.max_pages)
+            if args.pdfs:
+                files = layout.files(spark, args.pdfs)
+                states = cut(layout.open_documents(files, pdf.pages).select("doc_id", "status"))
+                states.write.mode(mode).json(f"{out}/states")
+                laid, toc = cut(layout.pdf_layouts(files)), cut(layout.pdf_contents(files))
+                texts = layout.page_texts(laid)
+            else:
+                laid, toc, texts = layout.read_layouts(spark, args.layouts), spark.read.schema(S.TOC).json(args.toc), spark.read.schema("doc_id string, page int, text string").json(args.texts)
+            slices = phases.slice_phase(toc, laid, texts, args.max_pages)
             slices.write.mode(mode).json(f"{out}/slices")
             stored = spark.read.schema(slices.schema).json(f"{out}/slices")
             sinks.slice_manifests(stored, stored.groupBy("doc_id").agg(F.max("end_page").alias("total_pages"), F.lit(1).alias("fallback_level"))).write.mode(mode).json(f"{out}/manifest")
+            if args.pdfs:
+                layout.pdf_slices(files, stored, f"{out}/files").write.mode(mode).json(f"{out}/written")
+                return int(states.where("status <> 'ok'").limit(1).count() > 0)
             return 0
         if args.phase == "extract":
             rows = manifests.slices(manifests.read(spark, args.input_manifest, "slice"))
             manifests.slice_errors(rows).write.mode(mode).json(f"{out}/errors")
             if spark.read.schema("slice_file string, error_code string").json(f"{out}/errors").limit(1).count():
                 return 1
-            done = extract.extract_phase(spark.read.schema(extract.PAGES).json(args.pages), rows.select("slice_file", "display_title", "start_page", "end_page", "overlap_pages", "manual_review_required"))
+            if args.pdfs:
+                slice_files = layout.files(spark, args.pdfs)
+                sinks.missing_files(rows, args.pdfs).write.mode(mode).json(f"{out}/missing")
+                layout.pdf_images(slice_files, f"{out}/assets").write.mode(mode).json(f"{out}/images")
+            found = layout.pdf_pages(slice_files) if args.pdfs else spark.read.schema(extract.PAGES).json(args.pages)
+            done = extract.extract_phase(found, rows.select("slice_file", "display_title", "start_page", "end_page", "overlap_pages", "manual_review_required"))
             for name in ("content", "records", "stats"):
                 done[name].write.mode(mode).json(f"{out}/{name}")
             sinks.extract_manifests(done["records"], rows).write.mode(mode).json(f"{out}/manifest")

@@ -41,10 +41,16 @@ FIRST_DEPTH, DEEPER = 16, 4
 PARTITIONS = 100_000
 
 
-def usable(vector: Column) -> Column:
-    """The components as doubles; null if the vector takes no part."""
+def usable(vector: Column, scale: int = SCALE) -> Column:
+    """The components as doubles; null if the vector takes no part. Where the scale is a power of two they are cut to what the scale
+    keeps, which changes no score and leaves less to shuffle."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) != float("inf")))
-    return F.when(F.coalesce(finite, F.lit(False)), F.transform(vector, lambda x: x.cast("double")))
+
+    def short(x):
+        y = x.cast("double")
+        return y if scale & (scale - 1) else F.when(F.abs(y) < float(1 << 40), F.floor(y * scale).cast("double") / scale).otherwise(y)
+
+    return F.when(F.coalesce(finite, F.lit(False)), F.transform(vector, short))
 
 
 def depths(n: int) -> list[int]:

@@ -64,13 +64,15 @@ def _code_runs(blocks: DataFrame, key: str) -> DataFrame:
 
 
 def merge_code(blocks: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Such runs become one fence in their first block."""
-    run = W.partitionBy(key, "page", "run").orderBy("rn").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    rows = _code_runs(blocks, key).withColumns({"n": F.count("*").over(run), "k": F.row_number().over(W.partitionBy(key, "page", "run").orderBy("rn")), "all": F.collect_list("markdown").over(run)})
-    island = F.col("code") & (F.col("n") >= 3)
-    rows = rows.withColumn("island", island)
-    rows = _fixed(rows, F.col("island") & (F.col("k") == 1), "code_block_rebuilt", block_type=F.lit("code"), markdown=F.concat(F.lit("```\n"), F.array_join("all", "\n"), F.lit("\n```")))
-    return rows.withColumn("markdown", F.when(F.col("island") & (F.col("k") > 1), "").otherwise(F.col("markdown"))).drop("code", "run", "n", "k", "all", "island")
+    """Such runs become one fence in their first block. The texts of a run are gathered once and joined to that block."""
+    rows = _code_runs(blocks, key).withColumn("k", F.row_number().over(W.partitionBy(key, "page", "run").orderBy("rn")))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rn", "markdown"))), lambda x: x["markdown"]), "\n")
+    bodies = rows.where("code").groupBy(key, "page", "run").agg(F.count("*").alias("n"), body.alias("body")).where("n >= 3").drop("n").withColumn("island", F.lit(True))
+    heads = bodies.withColumn("k", F.lit(1)).drop("island")
+    rows = rows.join(bodies.select(key, "page", "run", "island"), [key, "page", "run"], "left").join(heads, [key, "page", "run", "k"], "left")
+    rows = rows.withColumn("island", F.coalesce("island", F.lit(False)))
+    rows = _fixed(rows, F.col("body").isNotNull(), "code_block_rebuilt", block_type=F.lit("code"), markdown=F.concat(F.lit("```\n"), F.col("body"), F.lit("\n```")))
+    return rows.withColumn("markdown", F.when(F.col("island") & (F.col("k") > 1), "").otherwise(F.col("markdown"))).select(*blocks.columns)
 
 
 def top_heading(blocks: DataFrame, titles: DataFrame, key: str = "doc_id") -> DataFrame:

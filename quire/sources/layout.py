@@ -1,7 +1,7 @@
-"""Page layouts from files: a Python data source over JSON pages, and PDFs by way of a parser that is plugged in.
+"""Page layouts from files: a Python data source over JSON pages, and PDFs by way of a parser.
 
-No PDF library is needed to import this. A parser is a function from the bytes of a file to an iterator of pages (dicts as in
-``schemas.PAGE_LAYOUT`` without doc_id); ``extractor`` gives another one, from bytes to page texts and table snapshots."""
+A parser is a function from the bytes of a file to an iterator of pages (dicts as in ``schemas.PAGE_LAYOUT`` without doc_id);
+``quire.sources.pdf.pages`` is one, and any other can be plugged in."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from quire.schemas import PAGE_LAYOUT
+from quire.schemas import PAGE_LAYOUT, TOC
 
 #: Least text of a file that can be worked on: words and characters in all, and a page on average.
 WORDS, CHARS, WORDS_A_PAGE, CHARS_A_PAGE = 5, 20, 1.0, 8.0
@@ -117,9 +117,9 @@ def density(pages: DataFrame, key: str = "doc_id", words: int = WORDS, chars: in
     return rows.withColumn("supported", ~(few | thin))
 
 
-def export(parts: DataFrame, folder: str, writer: Callable[[dict], tuple[str, bytes]]) -> DataFrame:
+def export(parts: DataFrame, folder: str, writer: Callable[[dict], tuple[str, bytes]], keep: str | None = None) -> DataFrame:
     """Write what ``writer`` makes of each row (a slice, an image, a table's clip) below a shared folder: path and a warning, if it
-    failed. A repeated task writes the same names again."""
+    failed, and a column that is kept. A repeated task writes the same names again."""
 
     def run(batches):
         from pyarrow import fs
@@ -129,19 +129,106 @@ def export(parts: DataFrame, folder: str, writer: Callable[[dict], tuple[str, by
         for pdf in batches:
             out = []
             for row in pdf.to_dict("records"):
+                own = (row[keep],) if keep else ()
                 try:
                     name, content = writer(row)
                     store.create_dir(f"{root}/{name}".rpartition("/")[0], recursive=True)
                     with store.open_output_stream(f"{root}/{name}") as sink:
                         sink.write(content)
-                    out.append((f"{folder}/{name}", None))
+                    out.append((*own, f"{folder}/{name}", None))
                 except Exception as error:
-                    out.append((None, f"export_failed:{row.get('page')}:{row.get('ordinal')}:{type(error).__name__}"))
-            yield pd.DataFrame(out, columns=["path", "warning"])
+                    out.append((*own, None, f"export_failed:{row.get('page')}:{row.get('ordinal')}:{type(error).__name__}"))
+            yield pd.DataFrame(out, columns=[*([keep] if keep else []), "path", "warning"])
 
-    return parts.mapInPandas(run, "path string, warning string")
+    return parts.mapInPandas(run, (f"{keep} string, " if keep else "") + "path string, warning string")
 
 
 def asset_name(kind: str, suffix: str = "png"):
     """p%04d_img%02d.ext or p%04d_table%02d.png of page and ordinal."""
     return F.format_string(f"p%04d_{kind}%02d.{suffix}", "page", "ordinal")
+
+
+def _each_pdf(files: DataFrame, schema: str, rows) -> DataFrame:
+    """What ``rows`` yields for the bytes of each file, after its name; files that can't be read give nothing here
+    (``open_documents`` says why)."""
+    names = [x.strip().split()[0] for x in schema.split(", ")]
+
+    def run(batches):
+        for pdf_files in batches:
+            out = []
+            for path, content in pdf_files[["path", "content"]].itertuples(index=False, name=None):
+                try:
+                    out += [(path.rpartition("/")[2], *row) for row in rows(content)]
+                except (ValueError, PermissionError, KeyError, TypeError, IndexError):
+                    continue
+            yield pd.DataFrame(out, columns=names)
+
+    return files.mapInPandas(run, schema)
+
+
+def pdf_layouts(files: DataFrame) -> DataFrame:
+    """Page layouts (schemas.PAGE_LAYOUT) of PDF files (path, content), named by the file."""
+
+    def rows(content):
+        from quire.sources import pdf
+
+        for n, page in enumerate(pdf.pages(content), start=1):
+            yield from (tuple(row[1:]) for row in pages_of({"doc_id": "", "pages": [{**page, "page": n}]}))
+
+    return _each_pdf(files, PAGE_LAYOUT, rows)
+
+
+def pdf_contents(files: DataFrame) -> DataFrame:
+    """Tables of contents (schemas.TOC) of PDF files."""
+
+    def rows(content):
+        from quire.sources import pdf
+
+        for pos, (level, title, page) in enumerate(pdf.Pdf(content).contents(), start=1):
+            yield pos, level, title, page
+
+    return _each_pdf(files, TOC, rows)
+
+
+def page_texts(layouts: DataFrame) -> DataFrame:
+    """Plain text of laid-out pages, blocks apart: doc_id, page, text."""
+    line = lambda x: F.array_join(F.transform(x["spans"], lambda s: F.coalesce(s["text"], F.lit(""))), "")
+    block = lambda b: F.array_join(F.transform(b["lines"], line), "\n")
+    return layouts.select("doc_id", "page", F.array_join(F.transform(F.filter("blocks", lambda b: b["type"] == 0), block), "\n\n").alias("text"))
+
+
+def pdf_pages(files: DataFrame) -> DataFrame:
+    """PDF files of slices as the extract phase takes them: slice_file, page, width, height, blocks, text, tables (none: lines that are
+    drawn aren't looked at) and images under the names that ``pdf_images`` gives them."""
+    from quire.schemas import SNAPSHOT
+
+    pages = pdf_layouts(files)
+    named = F.transform("images", lambda x, i: F.struct(F.format_string("assets/p%04d_img%02d.png", "page", i + 1).alias("asset_path"), x["bbox"].alias("bbox")))
+    rows = pages.join(page_texts(pages), ["doc_id", "page"])
+    return rows.select(F.col("doc_id").alias("slice_file"), "page", "width", "height", "blocks", "text", F.array().cast(f"array<{SNAPSHOT}>").alias("tables"), named.alias("images"))
+
+
+def pdf_slices(files: DataFrame, slices: DataFrame, folder: str) -> DataFrame:
+    """Write slices (doc_id, start_page, end_page, slice_file) of PDF files as files of their own: slice_file, path, warning."""
+
+    def writer(row):
+        from quire.sources import pdf
+
+        return row["slice_file"], pdf.page_range(bytes(row["content"]), int(row["start_page"]), int(row["end_page"]))
+
+    named = files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("doc_id"), "content")
+    rows = slices.join(named, "doc_id")
+    return export(rows.select("slice_file", "start_page", "end_page", "content", F.col("start_page").alias("page"), F.lit(0).alias("ordinal")), folder, writer, keep="slice_file")
+
+
+def pdf_images(files: DataFrame, folder: str) -> DataFrame:
+    """Write the images of PDF files below a folder for each file: path, warning."""
+
+    def rows(content):
+        from quire.sources import pdf
+
+        yield from pdf.images(content)
+
+    found = _each_pdf(files, "doc_id string, page int, ordinal int, suffix string, content binary", rows)
+    named = found.withColumn("name", F.concat("doc_id", F.lit("/"), F.format_string("p%04d_img%02d.%s", "page", "ordinal", "suffix")))
+    return export(named, folder, lambda row: (row["name"], bytes(row["content"])))
