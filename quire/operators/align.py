@@ -16,6 +16,8 @@ from quire.session import cut
 RATIO, SHORTEST = 0.7, 5
 #: Rare words that a pair has to share before its texts are compared.
 SHARED = 4
+#: Pairs of texts of one key up to which all are compared at once.
+DENSE = 4096
 
 
 def overlap_ratio(block_words, segment_words):
@@ -54,22 +56,30 @@ def word_matches(left: DataFrame, right: DataFrame, keys: list[str], ratio: floa
     words it shares at least k (``SHARED``, or t if that is less), and these are joined and counted. Where one text contains the
     other, all words but the first and last of the contained one, which may be cut, stand whole in the other; so the rarest of
     those (of a right text, the longest) is joined. A contained text of one or two words may share no whole word; the other text then
-    has a word that contains the longer of them (``cut_words``)."""
+    has a word that contains the longer of them (``cut_words``). Keys with up to ``DENSE`` pairs need none of this."""
     def spelled(rows, id_, norm):
         w = F.split(F.lower(norm), " ")
         return rows.select(*keys, id_, norm, w.alias("ws"), F.array_distinct(w).alias("words"))
 
     inner = F.slice("ws", 2, F.greatest(F.size("ws") - 2, F.lit(0)))
     lw, rw = cut(spelled(left, "l", "l_norm").where(F.length("l_norm") >= SHORTEST)), spelled(right, "r", "r_norm").where("r_norm <> ''")
+    few = None
+    if keys:
+        sizes = lw.groupBy(*keys).agg(F.count("*").alias("__n")).join(rw.groupBy(*keys).agg(F.count("*").alias("__m")), keys)
+        many = cut(sizes.where(F.col("__n") * F.col("__m") > DENSE).select(*keys))
+        few = _compared(lw.join(many, keys, "left_anti").drop("ws").withColumnRenamed("words", "lw").join(rw.join(many, keys, "left_anti").drop("ws").withColumnRenamed("words", "rw"), keys), keys, ratio)
+        if not many.limit(1).count():
+            return few
+        lw, rw = lw.join(many, keys, "left_semi"), rw.join(many, keys, "left_semi")
     each = rw.select(*keys, "r", F.explode("words").alias("word"))
     own = lw.select(*keys, "l", F.explode("words").alias("word"))
     seen = each.join(own.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"))
     order = own.join(seen, "word", "left").groupBy(*keys, "l").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))), lambda x: x["word"]).alias("rare"))
     size = F.size("rare")
     least = F.greatest(F.lit(1), F.ceil(size * ratio - 1e-9).cast("int"))
-    ranked = cut(order.withColumns({"k": F.least(F.lit(SHARED), least), "ask": F.slice("rare", 1, F.least(size, size - least + F.least(F.lit(SHARED), least)))}).join(lw.select(*keys, "l", inner.alias("inner")), [*keys, "l"]))
-    met = ranked.select(*keys, "l", "k", F.explode("ask").alias("word")).join(each, [*keys, "word"])
-    by_words = met.groupBy(*keys, "l", "r", "k").agg(F.count("*").alias("n")).where("n >= k").select(*keys, "l", "r")
+    ranked = cut(order.withColumns({"__need": F.least(F.lit(SHARED), least), "ask": F.slice("rare", 1, F.least(size, size - least + F.least(F.lit(SHARED), least)))}).join(lw.select(*keys, "l", inner.alias("inner")), [*keys, "l"]))
+    met = ranked.select(*keys, "l", "__need", F.explode("ask").alias("word")).join(each, [*keys, "word"])
+    by_words = met.groupBy(*keys, "l", "r", "__need").agg(F.count("*").alias("__n")).where("__n >= __need").select(*keys, "l", "r")
     rarest = ranked.select(*keys, "l", F.get(F.filter("rare", lambda w: F.array_contains("inner", w)), F.lit(0)).alias("word")).where("word IS NOT NULL")
     in_right = rarest.join(each, [*keys, "word"]).select(*keys, "l", "r")
     longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
@@ -80,9 +90,15 @@ def word_matches(left: DataFrame, right: DataFrame, keys: list[str], ratio: floa
         if found is not None:
             pairs = pairs.union(found.select(*keys, "l", "r"))
     whole = pairs.distinct().join(lw.select(*keys, "l", "l_norm", F.col("words").alias("lw")), [*keys, "l"]).join(rw.select(*keys, "r", "r_norm", F.col("words").alias("rw")), [*keys, "r"])
+    found = _compared(whole, keys, ratio)
+    return found if few is None else few.unionByName(found)
+
+
+def _compared(pairs: DataFrame, keys: list[str], ratio: float) -> DataFrame:
+    """Pairs (keys, l, l_norm, lw, r, r_norm, rw) that match."""
     share = overlap_ratio(F.col("lw"), F.col("rw"))
     inside = F.contains("r_norm", F.col("l_norm")) | F.contains("l_norm", F.col("r_norm"))
-    return whole.where(inside | (share >= ratio)).select(*keys, "l", "r", F.when(inside, 1.0).otherwise(share).alias("ratio"))
+    return pairs.where(inside | (share >= ratio)).select(*keys, "l", "r", F.when(inside, 1.0).otherwise(share).alias("ratio"))
 
 
 def align(blocks: DataFrame, segments: DataFrame, key: str = "doc_id", pages: bool = False) -> DataFrame:

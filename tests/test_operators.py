@@ -273,6 +273,19 @@ def test_contained_texts_of_few_words(spark):
     assert align.align(blocks, segments).first().matched
 
 
+def test_small_and_large_keys_match_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(25)] + ["a", "漢字"]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    left = spark.createDataFrame([(k, i, text(rng.randint(1, 7))) for k in range(4) for i in range(20)], "k int, l int, l_norm string")
+    right = spark.createDataFrame([(k, i, text(rng.randint(1, 12))) for k in range(1, 5) for i in range(20 * k)], "k int, r int, r_norm string")
+    found = []
+    for dense in (0, 500, 10**6):
+        monkeypatch.setattr(align, "DENSE", dense)
+        found.append(sorted(tuple(r) for r in align.word_matches(left, right, ["k"]).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 50
+
+
 def test_checks(spark):
     books = spark.createDataFrame([("a", " ", 1), ("b", "# x\n\n# y\n\n# z", 1), ("c", "p\n\np\n\np\n\n![i](assets/q.png)", 2)], "doc_id string, markdown string, n_slices int")
     assets = spark.createDataFrame([("c", "assets/r.png")], "doc_id string, path string")
