@@ -38,7 +38,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every row. Workers that ran the stages before hold memory already, so they remember less here."""
-    return bpe.encode(docs, keep_ids=False, entries=200_000)
+    return bpe.encode(docs, keep_ids=False, entries=150_000)
 
 
 STAGES = [

@@ -5,8 +5,8 @@
   are candidates of each other; prefixes are shortened from the whole label until the chance that two texts at the threshold share
   one in some tree reaches ``RECALL`` (``prefix_length``). A prefix's nodes are dealt to one partition, so no border cuts them.
 * A prefix of up to ``CROWD`` nodes gives all its pairs as rows. The nodes of a larger one are joined to a group (with all that
-  they share another crowded prefix with), a hash deals a group to blocks of about ``BLOCK`` nodes, and a task compares all pairs
-  of two blocks at once. So no pair is left out, and rows are nodes times blocks, not pairs.
+  they share another crowded prefix with), a hash deals a group to blocks of about ``BLOCK`` nodes or ``BLOCK_BYTES``, and a task
+  compares all pairs of two blocks at once. So no pair is left out, and rows are nodes times blocks, not pairs.
 * Every candidate pair is verified on the whole texts' shingle sets. Links join nodes to classes (connected components, by
   minimum labels with pointer jumping, a checkpoint each round).
 
@@ -31,8 +31,9 @@ from quire.llm.common import arrow_map, cut, discard, light, remembers, slices,
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, LABEL, RECALL = 24, 8, 0.9995
-CROWD, BLOCK = 16, 256
-COLUMNS = 4096
+CROWD, BLOCK = 16, 2048
+#: Bytes of text of a block, and shingles that are compared at a time.
+BLOCK_BYTES, COLUMNS = 8 << 20, 2048
 CACHE_ENTRIES = 400_000
 WORDS = re.compile(r"\w+")
 _seed = np.random.Generator(np.random.PCG64(5))
@@ -170,24 +171,29 @@ def _candidates(batches, depth, crowd):
         yield from rows(held_n, np.array([0]), np.array([len(held_n)]), crowded)
 
 
-def shared(sets: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each two of the sets share, by products of 0/1 matrices over some shingles at a time."""
-    n = len(sets)
-    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(n), [len(s) for s in sets])
-    again = seen > 1
-    place = np.cumsum(again) - 1
-    kept = again[column]
-    row, column = row[kept], place[column[kept]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    both = np.zeros((n, n), np.float32)
-    for lo in range(0, int(again.sum()), COLUMNS):
-        i, j = np.searchsorted(column, (lo, lo + COLUMNS))
-        m = np.zeros((n, COLUMNS), np.float32)
-        m[row[i:j], column[i:j] - lo] = 1
-        both += m @ m.T
-    return both.astype(np.int64)
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each of some sets shares with each of others, by products of 0/1 matrices over some shingles at a time."""
+    both = np.zeros((len(left), len(right)), np.float32)
+    names = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def places(sets):
+        """Row and column of the shingles that both sides have, by column."""
+        every, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        column = np.minimum(np.searchsorted(names, every), max(0, len(names) - 1))
+        kept = names[column] == every if len(names) else np.zeros(len(every), bool)
+        order = np.argsort(column[kept], kind="stable")
+        return row[kept][order], column[kept][order]
+
+    (row_l, column_l), (row_r, column_r) = places(left), places(right)
+    for lo in range(0, len(names), COLUMNS):
+        sides = []
+        for row, column, n in ((row_l, column_l, len(left)), (row_r, column_r, len(right))):
+            i, j = np.searchsorted(column, (lo, lo + COLUMNS))
+            m = np.zeros((n, COLUMNS), np.float32)
+            m[row[i:j], column[i:j] - lo] = 1
+            sides.append(m)
+        both += sides[0] @ sides[1].T
+    return both
 
 
 def _block_pair(threshold):
@@ -197,27 +203,47 @@ def _block_pair(threshold):
         remembers("jaccard", _hashes.clear)
         table = table.sort_by("node")  # the smallest node is the root, the same in many block pairs
         nodes, block = table.column("node").to_pylist(), table.column("block").to_numpy()
+        one = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
         sets = [shingle_set(t) for t in table.column("text").to_pylist()]
-        sizes = np.array([len(s) for s in sets])
-        both = shared(sets)
-        near = both / (sizes[:, None] + sizes[None, :] - both) >= threshold
-        np.fill_diagonal(near, False)
-        if table.column("lo")[0].as_py() != table.column("hi")[0].as_py():
-            near &= block[:, None] != block[None, :]
-        root = np.arange(len(nodes))
-        while True:
-            least = np.minimum(root, np.where(near, root[None, :], len(nodes)).min(1))
+        left = np.flatnonzero(block == block.min())
+        right = left if one else np.flatnonzero(block != block.min())
+        if not len(right):
+            left = left[:0]
+        near = np.zeros((len(left), len(right)), bool)
+        if len(left):
+            sizes = np.array([len(s) for s in sets], np.float64)
+            both = shared([sets[i] for i in left], [sets[i] for i in right])
+            near = alike(both, sizes[left], sizes[right], threshold)
+        if one:
+            np.fill_diagonal(near, False)
+        n = np.zeros(len(nodes), np.int64)
+        n[left] += near.sum(1)
+        if not one:
+            n[right] += near.sum(0)
+        root = np.arange(len(nodes), dtype=np.int32)
+        while len(left):
+            least = root.copy()
+            least[left] = np.minimum(least[left], np.where(near, root[right][None, :], len(nodes)).min(1))
+            least[right] = np.minimum(least[right], np.where(near, root[left][:, None], len(nodes)).min(0))
             least = least[least]
             if (least == root).all():
                 break
             root = least
-        n = near.sum(1)
         at = np.flatnonzero(n)
         return pa.table({"node": pa.array([nodes[i] for i in at], pa.binary()), "root": pa.array([nodes[root[i]] for i in at], pa.binary()), "n": pa.array(n[at], pa.int64())})
 
     return run
 
 
+def alike(both: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
+    """The test of ``jaccard`` for all pairs, a row at a time."""
+    out = np.empty(both.shape, bool)
+    for i, row in enumerate(both):
+        row = row.astype(np.float64)
+        out[i] = row / (left[i] + right - row) >= threshold
+    return out
+
+
 def _verified(batches, threshold):
     known: dict[bytes, np.ndarray] = {}
     remembers("jaccard", _hashes.clear)
@@ -281,7 +307,8 @@ def links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     whole = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     verified = cut(arrow_map(whole, "a binary, b binary", lambda batches: _verified(batches, threshold)))
-    sizes = cut(groups.groupBy("grp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")))
+    heavy = groups.join(texts.select("node", F.octet_length("text").alias("size")), "node")
+    sizes = cut(heavy.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("size") / BLOCK_BYTES), F.lit(1)).cast("int").alias("blocks")))
     dealt = groups.join(light(sizes), "grp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     sides = texts.select("node", "text").join(dealt, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = sides.select("grp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "text")
