@@ -66,7 +66,7 @@ def layout(documents: DataFrame) -> DataFrame:
     rows = lines.withColumn("shown", shown)
     size = F.when(F.length("shown") <= 40, 20.0).when(F.length("shown") <= 80, 15.0).otherwise(11.0)
     font = F.when(F.col("line").rlike("[0-9]") | (F.col("at") % 8).isin(3, 4), "Courier New").otherwise("Serif")
-    spans = F.transform(F.split("shown", " "), lambda w: F.struct(F.concat(w, F.lit(" ")).alias("text"), font.alias("font"), size.alias("size")))
+    spans = F.array(*(F.struct(part.alias("text"), font.alias("font"), size.alias("size")) for part in (F.left("shown", F.lit(10)), F.substring("shown", 11, 1 << 30))))
     top = (F.col("i") * 250 + 30).cast("double")
     box = lambda *xs: F.array(*((x if not isinstance(x, (int, float)) else F.lit(x)).cast("double") for x in xs))
     block = F.struct(F.lit(0).alias("type"), box(50 + F.col("i") * 10, top, 500, top + 200).alias("bbox"), F.array(F.struct(spans.alias("spans"))).alias("lines"))
