@@ -93,17 +93,18 @@ def remembers(owner: str, forget: Callable[[], None]) -> None:
         clear()
     _caches[owner] = forget
     if others:
-        _give_back()
+        give_back()
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Freed memory to the operating system, where the C library knows how."""
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches into pieces of about ``max_bytes``, one row at least, to bound Python memory."""
     for batch in batches:
         if not batch.num_rows:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, cut, discard, light, remembers, slices, stored
+from quire.llm.common import arrow_map, cut, discard, give_back, light, remembers, slices, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, LABEL, RECALL = 24, 8, 0.9995
@@ -98,13 +98,15 @@ def signature(shingles: np.ndarray) -> bytes:
 
 def _signatures(batches):
     remembers("jaccard", _hashes.clear)
-    for batch in slices(batches, 4 << 20):
+    for batch in slices(batches):
         nodes, labels = [], []
         for text in batch.column(2).to_pylist():
             s = shingle_set(text)
             nodes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             labels.append(signature(s) if len(s) else None)
         yield [batch.column(0), batch.column(1), nodes, labels]
+    _hashes.clear()
+    give_back()
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
@@ -256,7 +258,7 @@ def _verified(batches, threshold):
             found = known[node] = shingle_set(text)
         return found
 
-    for batch in slices(batches, 4 << 20):
+    for batch in slices(batches):
         a, b, ta, tb = (c.to_pylist() for c in batch.columns)
         good = [jaccard(sets(x, s), sets(y, t)) >= threshold for x, y, s, t in zip(a, b, ta, tb, strict=True)]
         kept = batch.filter(pa.array(good, pa.bool_()))

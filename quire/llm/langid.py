@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, remembers, slices
+from quire.llm.common import arrow_map, give_back, remembers, slices
 
 DOCS_PER_LANGUAGE = 1500
 SWITCH = 14.0
@@ -221,6 +221,8 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = True) -> DataFram
             found = [label(model, t) for t in texts] if with_spans else [_label(model, WORDS.findall(t or "")) for t in texts]
             named = [[{"lang": a, "start": b, "stop": c} for a, b, c in x[2]] for x in found] if with_spans else None
             yield [batch.column(0), [x[0] for x in found], [x[1] for x in found], *([named] if with_spans else [])]
+        model.forget()  # each task has a model of its own
+        give_back()
 
     schema = "doc_id long, lang_pred string, score double" + (", spans array<struct<lang string, start int, stop int>>" if with_spans else "")
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), schema, rows)
@@ -251,5 +253,7 @@ def stage(spark, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
             found = [_label(model, WORDS.findall(t or "")) for t in batch.column(columns.index("text")).to_pylist()]
             keep = batch.filter(pa.array([x[0] != "und" and x[1] >= least for x in found]))
             yield list(keep.columns)
+        model.forget()
+        give_back()
 
     return arrow_map(docs, kind, rows)

@@ -361,6 +361,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     # place: a, b - a and o - a in one number, since every byte of these rows is shuffled twice
     place = F.shiftleft(F.col("a").cast("long"), 18) + (F.col("b") - F.col("a")) * 512 + (F.col("o") - F.col("a"))
     unique = runs.select("m", "r0", "r1", "t0", "t1", place.alias("place")).groupBy("m", "r0", "r1").agg(F.count("*").cast("int").alias("n"), *(F.first(c).alias(c) for c in ("t0", "t1", "place")))
+    unique = unique.repartition("m")  # each run once, dealt by anchor once for the count and for the join
     per_anchor = unique.groupBy("m").agg(F.count("*").cast("int").alias("variants"), F.sum("n").alias("total")).where("total > 1").drop("total")
     first = F.shiftright("place", 18).cast("int")
     ends = {"a": first, "b": first + F.shiftright("place", 9).bitwiseAND(511).cast("int"), "o": first + F.col("place").bitwiseAND(511).cast("int")}
