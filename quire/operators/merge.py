@@ -135,6 +135,12 @@ def image_references(markdown):
     return F.array_distinct(F.concat(F.regexp_extract_all(markdown, F.lit(r"!\[[^\]]*\]\(([^)]+)\)"), 1), F.regexp_extract_all(markdown, F.lit(r"""(?i)<img\s[^>]*src=["']([^"']+)["']"""), 1)))
 
 
+def equal_neighbours(books: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Warnings about merged Markdown (doc, markdown) in which a paragraph follows itself too often."""
+    parts = books.select(doc, F.posexplode(F.filter(F.transform(F.split("markdown", "\n\n+"), T.strip), lambda p: p != "")).alias("rn", "part"))
+    return repeats(parts.select(doc, "rn", T.text_hash(T.squeeze(F.col("part"))).alias("hash")), doc).select(doc, F.lit("consecutive_duplicate_detected").alias("warning_type")).distinct()
+
+
 def merged_checks(books: DataFrame, assets: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
     """Warnings about merged Markdown (doc, markdown, n_slices): empty, first-level headings far from the number of slices, assets
     (doc, path) that aren't there, equal neighbours."""
@@ -143,9 +149,7 @@ def merged_checks(books: DataFrame, assets: DataFrame | None = None, doc: str =
     full = books.where(T.strip(text) != "")
     h1 = F.regexp_count(F.col("markdown"), F.lit(r"(?m)^#[ \t]+.+$"))
     heads = full.where((h1 > 0) & (F.abs(h1 - F.col("n_slices")) > F.col("n_slices") * 0.5)).select(doc, F.lit("heading_count_mismatch").alias("warning_type"))
-    parts = full.select(doc, F.posexplode(F.filter(F.transform(F.split("markdown", "\n\n+"), T.strip), lambda p: p != "")).alias("rn", "part"))
-    again = repeats(parts.select(doc, "rn", T.text_hash(T.squeeze(F.col("part"))).alias("hash")), doc).select(doc, F.lit("consecutive_duplicate_detected").alias("warning_type")).distinct()
-    out = empty.union(heads).union(again)
+    out = empty.union(heads).union(equal_neighbours(full, doc))
     if assets is not None:
         refs = full.select(doc, F.explode(image_references(F.col("markdown"))).alias("path")).where(F.col("path").startswith("assets/"))
         out = out.union(refs.join(assets, [doc, "path"], "left_anti").select(doc, F.lit("asset_path_missing").alias("warning_type")))

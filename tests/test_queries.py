@@ -41,6 +41,15 @@ def test_query(name, spark, data, sql):
         assert got == want
 
 
+def test_chk_merge_on_headings_and_empty_texts(spark, tmp_path):
+    texts = ["a\na\na", "# x\n# y\n# z", "", "  ", None, "# x\n# x\n\n# x", "a\na\nb\na"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in catalogue.QUERIES["chk_merge"](spark, str(tmp_path)).collect())
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(connection.execute(catalogue.SQL["chk_merge"]).fetchall()) == [(i, "consecutive_duplicate_detected") for i in (0, 5)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
