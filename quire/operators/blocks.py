@@ -97,11 +97,18 @@ def boundaries(layout: DataFrame) -> DataFrame:
     return pages.select("doc_id", "page", F.when(F.col("n_page").isNotNull(), kind).alias("break_type")).withColumn("safe", F.col("break_type").isNull())
 
 
-def heading_candidates(layout: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
-    """The first block of each page that looks like a title: by its numbering, or a short large text near the top."""
+def page_titles(layout: DataFrame, **kinds: tuple[str, ...]) -> DataFrame:
+    """doc_id, page and, for each kind of patterns, the first block that looks like a title, or null: by its numbering, or a short
+    large text near the top. Pages are read once for all kinds."""
     blocks = F.transform(F.filter("blocks", lambda b: b["type"] == 0), lambda b: F.struct(F.array_join(line_texts(b["lines"]), " ").alias("text"), b["bbox"][1].alias("top"), largest(b["lines"]).alias("size"), F.coalesce(F.exists(fonts(b["lines"]), lambda f: F.lower(f).contains("bold")), F.lit(False)).alias("bold")))
-    fits = lambda b: (b["text"] != "") & (b["text"].rlike("|".join(patterns)) | ((b["top"] < F.col("height") * 0.3) & (F.length(b["text"]) <= 80) & ((b["size"] >= 16) | ((b["size"] >= 14) & b["bold"]))))
-    return layout.select("doc_id", "page", F.get(F.filter(blocks, fits), F.lit(0))["text"].alias("title")).where("title IS NOT NULL")
+    fits = lambda patterns: lambda b: (b["text"] != "") & (b["text"].rlike("|".join(patterns)) | ((b["top"] < F.col("height") * 0.3) & (F.length(b["text"]) <= 80) & ((b["size"] >= 16) | ((b["size"] >= 14) & b["bold"]))))
+    pages = layout.select("doc_id", "page", "height", blocks.alias("b"))
+    return pages.select("doc_id", "page", *(F.get(F.filter("b", fits(patterns)), F.lit(0))["text"].alias(kind) for kind, patterns in kinds.items()))
+
+
+def heading_candidates(layout: DataFrame, patterns: tuple[str, ...]) -> DataFrame:
+    """The pages that have a title, with it."""
+    return page_titles(layout, title=patterns).where("title IS NOT NULL")
 
 
 def captions(images: DataFrame, blocks: DataFrame, keys: list[str], gap: float = CAPTION_GAP, shift: float = CAPTION_SHIFT) -> DataFrame:

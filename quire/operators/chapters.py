@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
-from quire.operators.blocks import heading_candidates
+from quire.operators.blocks import heading_candidates, page_titles
 
 # How titles of chapters and sections begin, and the name of pages before the first chapter.
 TOP = (r"^\s*第[一二三四五六七八九十百零\d]+章(?:\b|$)", r"(?i)^\s*chapter\s+\d+\b", r"^\s*\d+\.\s+\S+")
@@ -46,9 +46,20 @@ def from_toc(toc: DataFrame, pages: DataFrame) -> DataFrame:
     return with_front_matter(intervals(collapsed(top).join(pages.withColumnRenamed("total_pages", "last_page"), "doc_id")))
 
 
+def titled(layout: DataFrame) -> DataFrame:
+    """Pages with the titles that chapters (top) and sections (sub) are found by; stands for the layout in all that follows."""
+    return page_titles(layout, top=TOP, sub=SUB)
+
+
+def _titles(layout: DataFrame, kind: str) -> DataFrame:
+    if kind in layout.columns:
+        return layout.select("doc_id", "page", F.col(kind).alias("title")).where("title IS NOT NULL")
+    return heading_candidates(layout, {"top": TOP, "sub": SUB}[kind])
+
+
 def from_layout(layout: DataFrame, pages: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Chapters by titles on the pages; a document without any is one chapter with its name (doc_id, name), else its id."""
-    found = heading_candidates(layout, TOP).select("doc_id", F.col("page").alias("pos"), "title", F.col("page").alias("start_page"), F.lit(1).alias("level"))
+    found = _titles(layout, "top").select("doc_id", F.col("page").alias("pos"), "title", F.col("page").alias("start_page"), F.lit(1).alias("level"))
     chapters = with_front_matter(intervals(found.join(pages.withColumnRenamed("total_pages", "last_page"), "doc_id")))
     rest = pages.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
     rest = rest.join(names, "doc_id", "left") if names is not None else rest.withColumn("name", F.lit(None).cast("string"))
@@ -72,7 +83,7 @@ def sections(chapters: DataFrame, toc: DataFrame, layout: DataFrame) -> DataFram
     entries = c.join(toc.select("doc_id", "pos", "level", T.strip(F.col("title")).alias("title"), "page"), "doc_id").where(inside & (F.col("level") > F.col("c_level")) & (F.col("title") != ""))
     entries = entries.select("doc_id", "chapter", "c_title", "c_start", "c_end", "c_level", "pos", "title", F.col("page").alias("start_page"), "level")
     known = entries.select("doc_id", "chapter").distinct()
-    seen = c.join(known, ["doc_id", "chapter"], "left_anti").join(heading_candidates(layout, SUB), "doc_id").where(inside)
+    seen = c.join(known, ["doc_id", "chapter"], "left_anti").join(_titles(layout, "sub"), "doc_id").where(inside)
     both = entries.unionByName(seen.select("doc_id", "chapter", "c_title", "c_start", "c_end", "c_level", F.col("page").alias("pos"), "title", F.col("page").alias("start_page"), (F.col("c_level") + 1).alias("level")))
     w = W.partitionBy("doc_id", "chapter").orderBy("pos")
     last = both.withColumn("n", F.lead("start_page").over(w)).where(~F.col("start_page").eqNullSafe(F.col("n")))

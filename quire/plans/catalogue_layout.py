@@ -118,7 +118,7 @@ def win_page_titles(spark, sf):
 
 
 def _chapters(spark, sf, pages=None):
-    pages = cut(_layout(spark, sf)) if pages is None else pages
+    pages = cut(chapters.titled(_layout(spark, sf))) if pages is None else pages
     return chapters.recognize(adapters.contents(_docs(spark, sf)), pages, pages.groupBy("doc_id").agg(F.max("page").alias("total_pages")))
 
 
@@ -135,7 +135,7 @@ ends AS (SELECT *, CASE WHEN lead(page) OVER w IS NULL THEN c_end ELSE greatest(
 SELECT doc_id, title, CAST(page AS INTEGER) AS start_page, CAST(end_page AS INTEGER) AS end_page, CAST(level AS INTEGER) AS level FROM ends
 UNION ALL SELECT doc_id, c_title, CAST(c_start AS INTEGER), CAST(page - 1 AS INTEGER), 2 FROM ends WHERE k = 1 AND page > c_start""")
 def str_sections(spark, sf):
-    pages = cut(_layout(spark, sf))
+    pages = cut(chapters.titled(_layout(spark, sf)))
     found = cut(_chapters(spark, sf, pages).drop("fallback_level"))
     return chapters.sections(found, adapters.contents(_docs(spark, sf)), pages).select("doc_id", "title", F.col("start_page").cast("int").alias("start_page"), F.col("end_page").cast("int").alias("end_page"), F.col("level").cast("int").alias("level"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import align, blocks, chapters, merge, planner, repair, tables
 from quire.schemas import PAGE_LAYOUT, SNAPSHOT
+from quire.sources import adapters
 
 TABLES = "page int, ordinal int, headers array<string>, rows array<array<string>>, markdown string"
 TABLE_ROWS = [
@@ -351,3 +352,15 @@ def test_stitch(spark):
 
 def test_snapshot_schema_holds_chains():
     assert "cross_page_count" in SNAPSHOT
+
+
+def test_pages_are_laid_out_and_read_once(spark):
+    docs = spark.createDataFrame([(2, "1. One\nb\n2.1 Two\nd\nChapter 9\nf", "s"), (3, "", "s"), (4, None, "s")], "doc_id long, text string, source string")
+    layout = adapters.layout(docs)
+    assert "Exchange" not in layout._jdf.queryExecution().executedPlan().toString()
+    assert {(r.doc_id, r.page, len(r.blocks)) for r in layout.collect()} == {("2", 1, 4), ("2", 2, 2), ("3", 1, 1)}
+    titles = chapters.titled(layout)
+    assert titles.columns == ["doc_id", "page", "top", "sub"]
+    toc, pages = adapters.contents(docs), layout.groupBy("doc_id").agg(F.max("page").alias("total_pages"))
+    found = [sorted(map(str, chapters.sections(chapters.recognize(toc, x, pages), toc, x).collect())) for x in (layout, titles)]
+    assert found[0] == found[1] and found[0]
