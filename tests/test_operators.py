@@ -1,6 +1,7 @@
 """Operators on small literals: plans, boundaries, tables, repairs and merging."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,6 +151,23 @@ def test_tables_across_pages(spark):
     assert got[("s", 3, 0)] == ('[["7","8"]]', 1) and got[("t", 2, 0)][1] == 1
 
 
+def test_chains_of_many_tasks(spark, monkeypatch):
+    rng, pages = random.Random(3), []
+    for k in range(30):
+        for page in range(1, rng.randint(2, 12)):
+            made = [([50.0, rng.choice((20.0, 20.0, 300.0)), 550.0, rng.choice((950.0, 950.0, 600.0))], ["A", "B"], [[rng.choice(("", "x")), f"{k}.{page}.{n}"]], "| A |", None, None) for n in range(rng.choice((0, 1, 1, 1, 2)))]
+            pages.append((f"s{k}", page, 1000.0, made))
+    rows = spark.createDataFrame(pages, f"slice_file string, page int, height double, tables array<{SNAPSHOT}>")
+    whole = sorted(map(str, tables.merged_across_pages(rows).collect()))
+    cells = [c for text in whole for c in re.findall(r"\d+\.\d+\.\d+", text)]
+    assert sorted(cells) == sorted(r[1] for p in pages for t in p[3] for r in t[2])
+    assert len(whole) == len(pages) and any("cross_page_count=3" in x for x in whole)
+    monkeypatch.setattr(tables, "TASK", 500)
+    out = tables.merged_across_pages(rows)
+    assert out.rdd.getNumPartitions() > 30  # more tasks for more pages, however many partitions a shuffle has
+    assert sorted(map(str, out.collect())) == whole
+
+
 def test_nested_tables(spark):
     df = spark.createDataFrame(TABLE_ROWS, TABLES)
     rows = {r.table_id: r for r in tables.nodes(df).collect()}
