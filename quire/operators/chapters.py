@@ -13,6 +13,8 @@ from quire.operators.blocks import heading_candidates, page_titles
 TOP = (r"^\s*第[一二三四五六七八九十百零\d]+章(?:\b|$)", r"(?i)^\s*chapter\s+\d+\b", r"^\s*\d+\.\s+\S+")
 SUB = (r"^\s*\d+\.\d+(?:\.\d+)*\s+\S+", r"(?i)^\s*section\s+\d+(?:\.\d+)*\b")
 FRONT = "前言"
+#: Pages that a task takes.
+TASK = 1 << 14
 
 
 def intervals(starts: DataFrame, last_page: str = "last_page") -> DataFrame:
@@ -51,6 +53,12 @@ def titled(layout: DataFrame) -> DataFrame:
     return page_titles(layout, top=TOP, sub=SUB)
 
 
+def dealt(rows: DataFrame, pages: int) -> DataFrame:
+    """Rows dealt by document, to a task for each ``TASK`` of all pages at least: what joins them then is dealt alike, so that a task's
+    memory does not grow with the input."""
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-pages // TASK)), "doc_id")
+
+
 def _titles(layout: DataFrame, kind: str) -> DataFrame:
     if kind in layout.columns:
         return layout.select("doc_id", "page", F.col(kind).alias("title")).where("title IS NOT NULL")

@@ -117,14 +117,20 @@ def win_page_titles(spark, sf):
     return blocks.heading_candidates(_layout(spark, sf), chapters.TOP)
 
 
-def _chapters(spark, sf, pages=None):
-    pages = cut(chapters.titled(_layout(spark, sf))) if pages is None else pages
-    return chapters.recognize(adapters.contents(_docs(spark, sf)), pages, pages.groupBy("doc_id").agg(F.max("page").alias("total_pages")))
+def _titled(spark, sf):
+    """Pages with their titles, and contents, dealt alike."""
+    pages = cut(chapters.titled(_layout(spark, sf)))
+    n = pages.count()
+    return chapters.dealt(pages, n), chapters.dealt(adapters.contents(_docs(spark, sf)), n)
+
+
+def _chapters(pages, contents):
+    return chapters.recognize(contents, pages, pages.groupBy("doc_id").agg(F.max("page").alias("total_pages")))
 
 
 @query(f"WITH {FOUND} SELECT doc_id, title, CAST(start_page AS INTEGER) AS start_page, CAST(end_page AS INTEGER) AS end_page, kind AS fallback_level FROM chapters")
 def str_chapters(spark, sf):
-    return _chapters(spark, sf).select("doc_id", "title", F.col("start_page").cast("int").alias("start_page"), F.col("end_page").cast("int").alias("end_page"), "fallback_level")
+    return _chapters(*_titled(spark, sf)).select("doc_id", "title", F.col("start_page").cast("int").alias("start_page"), F.col("end_page").cast("int").alias("end_page"), "fallback_level")
 
 
 @query(f"""WITH {FOUND}, sub AS ({_titles(SUB)}), c AS (SELECT doc_id, pos AS chapter, title AS c_title, start_page AS c_start, end_page AS c_end FROM chapters),
@@ -135,9 +141,9 @@ ends AS (SELECT *, CASE WHEN lead(page) OVER w IS NULL THEN c_end ELSE greatest(
 SELECT doc_id, title, CAST(page AS INTEGER) AS start_page, CAST(end_page AS INTEGER) AS end_page, CAST(level AS INTEGER) AS level FROM ends
 UNION ALL SELECT doc_id, c_title, CAST(c_start AS INTEGER), CAST(page - 1 AS INTEGER), 2 FROM ends WHERE k = 1 AND page > c_start""")
 def str_sections(spark, sf):
-    pages = cut(chapters.titled(_layout(spark, sf)))
-    found = cut(_chapters(spark, sf, pages).drop("fallback_level"))
-    return chapters.sections(found, adapters.contents(_docs(spark, sf)), pages).select("doc_id", "title", F.col("start_page").cast("int").alias("start_page"), F.col("end_page").cast("int").alias("end_page"), F.col("level").cast("int").alias("level"))
+    pages, contents = _titled(spark, sf)
+    found = chapters.dealt(cut(_chapters(pages, contents).drop("fallback_level")), pages.count())
+    return chapters.sections(found, contents, pages).select("doc_id", "title", F.col("start_page").cast("int").alias("start_page"), F.col("end_page").cast("int").alias("end_page"), F.col("level").cast("int").alias("level"))
 
 
 # Plans: a line is a page, and a cut is safe after a line that ends with a full stop.

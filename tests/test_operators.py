@@ -382,3 +382,4 @@ def test_pages_are_laid_out_and_read_once(spark):
     toc, pages = adapters.contents(docs), layout.groupBy("doc_id").agg(F.max("page").alias("total_pages"))
     found = [sorted(map(str, chapters.sections(chapters.recognize(toc, x, pages), toc, x).collect())) for x in (layout, titles)]
     assert found[0] == found[1] and found[0]
+    assert chapters.dealt(titles, 100 * chapters.TASK).rdd.getNumPartitions() == 100
