@@ -50,6 +50,8 @@ N_LENGTHS, HASH = 24, 0x1E35A7BD
 N_DISTANCES = 40
 #: Bits that are scanned at once, and the most that one pixel or back-reference takes.
 SCAN, TOKEN_BITS = 1 << 16, 64
+#: Bytes of payloads that are written at once.
+BATCH = 1 << 18
 
 
 class Bits:
@@ -78,22 +80,19 @@ class Bits:
 class Prefix:
     """A prefix code: canonical codes by length, as a table over all values of the longest code's bits, first bit highest."""
 
-    def __init__(self, symbols: list[int], lengths: list[int]):
-        if not symbols:
+    def __init__(self, symbols: np.ndarray | list[int], lengths: np.ndarray | list[int]):
+        if not len(symbols):
             raise ValueError("a prefix code without symbols")
-        self.single = symbols[0] if len(symbols) == 1 else None
-        self.longest = max(lengths) if self.single is None else 0
-        sizes = np.array(lengths)
-        order = np.argsort(sizes, kind="stable")
-        symbols, sizes = np.array(symbols)[order], sizes[order]
-        if self.single is not None:
-            sizes = sizes * 0
+        key = np.asarray(lengths, np.int64) << 12 | symbols
+        key.sort()
+        self.single = int(key[0]) & 4095 if len(key) == 1 else None
+        self.longest = int(key[-1]) >> 12 if self.single is None else 0
+        sizes = key >> 12 if self.single is None else np.zeros(1, np.int64)
         times = np.left_shift(1, self.longest - sizes)
         if int(times.sum()) != 1 << self.longest:
             raise ValueError("a prefix code that isn't complete")
         #: symbol << 4 | bits of its code, by the next bits, the first highest
-        self.table = np.repeat(symbols << 4 | sizes, times)
-        self.sizes = self.table & 15
+        self.table = np.repeat((key & 4095) << 4 | sizes, times)
         self.listed: list[int] | None = None
 
     def read(self, bits: Bits) -> int:
@@ -107,7 +106,6 @@ class Prefix:
             raise ValueError("the stream ends too early")
         return entry >> 4
 
-
     def lowest_first(self) -> list[int]:
         """The table by the next bits as they are stored, lowest first."""
         if self.listed is None:
@@ -140,8 +138,9 @@ def read_prefix(bits: Bits, alphabet: int) -> Prefix:
     code = _code_of_lengths(bits.read(3 * n), n)
     left = 2 + bits.read(2 + 2 * bits.read(3)) if bits.read(1) else alphabet
     listed, mask = code.lowest_first(), (1 << code.longest) - 1
-    at, symbols, lengths = 0, [], []
-    while left and at < alphabet:
+    lengths = bytearray()
+    add = lengths.append
+    while left and len(lengths) < alphabet:
         # 72 codes with what follows them, of 14 bits at most, lie in one number
         word, k = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 128], "little") >> (bits.at & 7), 0
         for i in range(min(left, 72)):
@@ -149,31 +148,27 @@ def read_prefix(bits: Bits, alphabet: int) -> Prefix:
             k += entry & 15
             n = entry >> 4
             if n < 16:
-                if n:
-                    symbols.append(at)
-                    lengths.append(n)
-                at += 1
+                add(n)
             elif n == 16:
-                times = 3 + (word >> k & 3)
+                lengths += (lengths.rstrip(b"\0")[-1:] or b"\x08") * (3 + (word >> k & 3))
                 k += 2
-                symbols += range(at, at + times)
-                lengths += [lengths[-1] if lengths else 8] * times
-                at += times
             elif n == 17:
-                at += 3 + (word >> k & 7)
+                lengths += bytes(3 + (word >> k & 7))
                 k += 3
             else:
-                at += 11 + (word >> k & 127)
+                lengths += bytes(11 + (word >> k & 127))
                 k += 7
-            if at >= alphabet:
+            if len(lengths) >= alphabet:
                 break
         left -= i + 1
         bits.at += k
         if bits.at > bits.end:
             raise ValueError("the stream ends too early")
-    if at > alphabet:
+    if len(lengths) > alphabet:
         raise ValueError("more code lengths than symbols")
-    return Prefix(symbols, lengths)
+    sizes = np.frombuffer(lengths, np.uint8)
+    symbols = np.flatnonzero(sizes)
+    return Prefix(symbols, sizes[symbols])
 
 
 def _extra(symbol):
@@ -236,6 +231,10 @@ def read_tokens(bits: Bits, codes: list[Prefix], total: int):
     if not green.longest and green.single >= 256:
         raise ValueError("an image without a literal")
     data, longest = np.frombuffer(bits.data, np.uint8), max(c.longest for c in codes)
+    # tables by the bits of the longest code, narrow where they are looked up for all bits: sizes of red, blue and alpha in one
+    wide = [np.repeat(c.table, 1 << longest - c.longest) if c.longest else np.full(1 << longest, c.single << 4) for c in codes]
+    firsts = wide[0].astype(np.uint16)
+    three_sizes = (wide[1] & 15 | (wide[2] & 15) << 4 | (wide[3] & 15) << 8).astype(np.uint16)
     parts, done, at = [], 0, bits.at
     while done < total:
         if at >= bits.end:
@@ -246,26 +245,26 @@ def read_tokens(bits: Bits, codes: list[Prefix], total: int):
         n = min(SCAN, 8 * len(part) - skip)
         part = np.concatenate((part, np.zeros(2 * TOKEN_BITS // 8 + 2, np.int64)))
         three = part[:-2] << 16 | part[1:-1] << 8 | part[2:]
-        window = (three[:, None] >> (24 - longest - np.arange(8)) & (1 << longest) - 1).ravel()[skip:]
-
-        def look(k, where, window=window):
-            """Symbol << 4 | bits of a code that begins there."""
-            c = codes[k]
-            return c.table.take(window.take(where) >> (longest - c.longest)) if c.longest else np.full(len(where), c.single << 4)
-
-        g = green.table.take(window[:n] >> (longest - green.longest)) if green.longest else np.full(n, green.single << 4)
-        stop = ends = np.arange(n) + (g & 15)
-        for c in (red, blue, alpha):
-            if c.longest:
-                ends = ends + c.sizes.take(window >> (longest - c.longest)).take(ends)
+        window = three[:, None] >> (24 - longest - np.arange(8))
+        window &= (1 << longest) - 1
+        window = window.ravel()[skip:]
+        g = firsts.take(window[:n], mode="clip")
+        stop = (g & 15).astype(np.int64)
+        stop += np.arange(n)
+        ends = stop
+        if codes[1].longest or codes[2].longest or codes[3].longest:
+            sizes = three_sizes.take(window, mode="clip")
+            for c, shift in zip(codes[1:4], (0, 4, 8), strict=True):
+                if c.longest:
+                    ends = ends + (sizes.take(ends, mode="clip") >> shift & 15).astype(np.int64)
         other = np.flatnonzero(g >= 256 << 4)
         if len(other):
             ends = ends.copy() if ends is stop else ends
             ends[other] = stop[other]
             far = other[g[other] < (256 + N_LENGTHS) << 4]
             if len(far):
-                after = stop[far] + _extra((g[far] >> 4) - 256)
-                d = look(4, after)
+                after = stop[far] + _extra((g[far] >> 4).astype(np.int64) - 256)
+                d = wide[4].take(window.take(after))
                 ends[far] = after + (d & 15) + _extra(d >> 4)
         follow, p, chain = memoryview(ends), 0, array("q")
         add = chain.append
@@ -273,13 +272,13 @@ def read_tokens(bits: Bits, codes: list[Prefix], total: int):
             add(p)
             p = follow[p]
         chain = np.frombuffer(chain, np.int64)
-        s = g[chain] >> 4
+        s = (g[chain] >> 4).astype(np.int64)
         colour, length, code = np.zeros(len(s), np.int64), np.ones(len(s), np.int64), np.zeros(len(s), np.int64)
         literal = np.flatnonzero(s < 256)
         where = stop[chain[literal]]
         value = s[literal] << 8
         for k, shift in ((1, 16), (2, 0), (3, 24)):
-            e = look(k, where)
+            e = wide[k].take(window.take(where))
             value |= e >> 4 << shift
             where = where + (e & 15)
         colour[literal] = value
@@ -536,38 +535,28 @@ class Writer:
 
     def __init__(self):
         self.value, self.n = 0, 0
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def put(self, value: int, n: int) -> None:
         self.value |= value << self.n
         self.n += n
 
-    def put_all(self, values: np.ndarray, sizes: np.ndarray) -> None:
-        """Values of up to 63 bits each."""
-        if self.n:
-            k = -(-self.n // 32)
-            widths = np.full(k, 32)
-            widths[-1] = self.n - 32 * (k - 1)
-            self.parts.append((np.frombuffer(self.value.to_bytes(4 * k, "little"), "<u4"), widths))
-            self.value, self.n = 0, 0
-        self.parts.append((values, sizes))
-
     def array(self) -> np.ndarray:
-        """The bits that were put one by one."""
+        """The bits that were put."""
         return np.unpackbits(np.frombuffer(self.value.to_bytes((self.n + 7) // 8, "little"), np.uint8), bitorder="little")[: self.n]
 
-    def packed(self) -> bytes:
-        values, sizes = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        values, ends = values.astype(np.uint64), np.cumsum(sizes)
-        at = ends - sizes
-        word, shift = at >> 6, (at & 63).astype(np.uint64)
-        new = np.ones(len(word), bool)
-        new[1:] = word[1:] != word[:-1]
-        starts = np.flatnonzero(new)
-        words = np.zeros((int(ends[-1]) >> 6) + 2, np.uint64)
-        words[word[starts]] = np.bitwise_or.reduceat(values << shift, starts)
-        words[word[starts] + 1] |= np.bitwise_or.reduceat((values >> np.uint64(1)) >> (np.uint64(63) - shift), starts)
-        return words.astype("<u8").tobytes()[: -(-int(ends[-1]) // 8)]
+
+def packed(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Values of up to 63 bits each as 64-bit words, lowest bit first."""
+    values, ends = values.astype(np.uint64), np.cumsum(sizes)
+    at = ends - sizes
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    new = np.ones(len(word), bool)
+    new[1:] = word[1:] != word[:-1]
+    starts = np.flatnonzero(new)
+    words = np.zeros((int(ends[-1]) >> 6) + 2, np.uint64)
+    words[word[starts]] = np.bitwise_or.reduceat(values << shift, starts)
+    words[word[starts] + 1] |= np.bitwise_or.reduceat((values >> np.uint64(1)) >> (np.uint64(63) - shift), starts)
+    return words.astype("<u8", copy=False)
 
 
 #: The code of lengths has 16 symbols of four bits: lengths up to MOST_BITS and the three runs. Codes, and bits with what follows.
@@ -600,53 +589,63 @@ def code_lengths(counts: np.ndarray, group: np.ndarray, starts: np.ndarray, most
     return np.array(listed)
 
 
-def write_codes(out: Writer, counts: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Store a prefix code for each alphabet's counts; codes, lowest bit first, and their sizes by symbol."""
-    used = [np.flatnonzero(c) for c in counts]
-    result = [(np.zeros(len(c), np.int64), np.zeros(len(c), np.int64)) for c in counts]
-    normal = [i for i, u in enumerate(used) if len(u) > 2 or (len(u) == 2 and u[1] > 255)]
-    stored = {}
-    if normal:
-        n = [len(used[i]) for i in normal]
-        at, group = np.concatenate([used[i] for i in normal]), np.repeat(np.arange(len(n)), n)
-        starts = np.cumsum(n) - n
-        sizes = code_lengths(np.concatenate([counts[i][used[i]] for i in normal]), group, starts, MOST_BITS)
-        order = np.argsort(group << 4 | sizes, kind="stable")
+def prefix_codes(counts: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A prefix code for each alphabet, whose counts lie one after another from ``bounds``: code (lowest bit first) << 4 | its bits for
+    each symbol; values and bits that store the codes; where those of each alphabet begin."""
+    table, k = np.zeros(len(counts), np.int64), len(bounds) - 1
+    used = np.flatnonzero(counts)
+    first = np.searchsorted(used, bounds)
+    n = np.diff(first)
+    at = used - np.repeat(bounds[:-1], n)
+    last = at.take(np.maximum(first[1:] - 1, 0)) if len(at) else n
+    normal = (n > 2) | ((n == 2) & (last > 255))
+    # first two values an alphabet: those of a simple code; else the code of lengths, then the number of what follows
+    head, head_bits = np.zeros((2, 2, k), np.int64)
+    head[0], head_bits[0] = 1 | 1 << 2, 11
+    some = np.flatnonzero(~normal & (n > 0))
+    head[0, some] |= at[first[some]] << 3
+    two = some[n[some] == 2]
+    head[0, two] |= 1 << 1 | last[two] << 11
+    head_bits[0, two] = 19
+    table[used[first[two]]], table[used[first[two] + 1]] = 1, 1 << 4 | 1
+    tokens, values, bits = np.zeros(k, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if normal.any():
+        kept = np.repeat(normal, n)
+        used, at, n = used[kept], at[kept], n[normal]
+        group, starts = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
+        sizes = code_lengths(counts[used], group, starts, MOST_BITS)
+        key = group << 4 | sizes
+        order = np.argsort(key.astype(np.uint16) if len(n) <= 1 << 12 else key, kind="stable")
         steps = np.left_shift(1, 15 - sizes[order])
         codes = np.empty(len(at), np.int64)
         codes[order] = mirrored(15)[np.cumsum(steps) - steps & 32767]  # a complete code's steps add up to 32768
+        table[used] = codes << 4 | sizes
         gap = at.copy()
         gap[1:] -= at[:-1] + 1
         gap[starts] = at[starts]
-        rest = gap % 138
+        long = gap // 138
+        rest = gap - 138 * long
         # before each length its zeros: runs of 138, then a run or single ones; none after the last
         many, run = rest > 10, rest > 2
         kinds, more, times = np.full((3, len(at), 3), 18)
         kinds[:, 1], kinds[:, 2] = np.where(many, 18, np.where(run, 17, 0)), sizes
         more[:, 0], more[:, 1], more[:, 2] = 127, np.where(many, rest - 11, np.where(run, rest - 3, 0)), 0
-        times[:, 0], times[:, 1], times[:, 2] = gap // 138, np.where(run, 1, rest), 1
-        ends = np.cumsum(np.add.reduceat(times.sum(1), starts)).tolist()
-        times = times.ravel()
-        kinds, more = np.repeat(kinds.ravel(), times), np.repeat(more.ravel(), times)
-        values, bits = FOUR_BITS[kinds] | more << 4, MORE_BITS[kinds]
-        for i, lo, k, a, b in zip(normal, starts.tolist(), n, [0, *ends], ends, strict=False):
-            stored[i] = values[a:b], bits[a:b]
-            result[i][0][used[i]], result[i][1][used[i]] = codes[lo : lo + k], sizes[lo : lo + k]
-    for i, u in enumerate(used):
-        if i in stored:
-            n_tokens = len(stored[i][0])
-            wide = max(0, ((n_tokens - 2).bit_length() - 1) // 2)
-            for value, k in ((0, 1), (19 - 4, 4), (CODE_OF_LENGTHS, 3 * 19), (1, 1), (wide, 3), (n_tokens - 2, 2 + 2 * wide)):
-                out.put(value, k)
-            out.put_all(*stored[i])
-            continue
-        symbols = u.tolist() or [0]
-        out.put(1 | len(symbols) - 1 << 1 | 1 << 2, 3)
-        for symbol in symbols:
-            out.put(symbol, 8)
-        if len(symbols) == 2:
-            result[i][0][symbols[1]], result[i][1][u] = 1, 1
-    return result
+        times[:, 0], times[:, 1], times[:, 2] = long, np.where(run, 1, rest), 1
+        tokens[normal] = np.add.reduceat(long + times[:, 1] + 1, starts)
+        kinds, times = kinds.ravel(), times.ravel()
+        values, bits = np.repeat(FOUR_BITS[kinds] | more.ravel() << 4, times), np.repeat(MORE_BITS[kinds], times)
+        rest = tokens[normal] - 2
+        wide = np.maximum(0, np.frexp(np.maximum(rest, 1).astype(np.float64))[1] - 1) >> 1
+        head[0, normal], head_bits[0, normal] = (19 - 4) << 1 | CODE_OF_LENGTHS << 5, 5 + 3 * 19
+        head[1, normal], head_bits[1, normal] = 1 | wide << 1 | rest << 4, 6 + 2 * wide
+    begin = np.cumsum(tokens + 2) - tokens - 2
+    out, out_bits = np.empty((2, len(values) + 2 * k), np.int64)
+    own = np.ones(len(out), bool)
+    for i in (0, 1):
+        own[begin + i] = False
+        out[begin + i], out_bits[begin + i] = head[i], head_bits[i]
+    out[own], out_bits[own] = values, bits
+    return table, out, out_bits, begin
 
 
 def _split_value(n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -675,13 +674,18 @@ def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
     key = pixels[:m].copy()
     for k in range(1, LEAST_COPY):
         key = (key ^ key >> 31) * 0x2545F4914F6CDD1D + pixels[k : m + k]
-    found = np.sort(key)
-    if not (found[1:] == found[:-1]).any():
+    # the high bits of a hash above the place: sorted, places that begin alike follow each other
+    key = ((key ^ key >> 31) * 0x2545F4914F6CDD1D).view(np.uint64)
+    low = np.uint64((1 << m.bit_length()) - 1)
+    key &= ~low
+    key |= np.arange(m, dtype=np.uint64)
+    key.sort()
+    same = np.flatnonzero((key[1:] ^ key[:-1]) <= low)
+    if not len(same):
         return []
-    order = np.argsort(key, kind="stable")
-    same = key[order[1:]] == key[order[:-1]]
-    at, source = order[1:][same], order[:-1][same]
-    by_place = np.argsort(at, kind="stable")
+    key = (key & low).astype(np.int64)
+    at, source = key[same + 1], key[same]
+    by_place = np.argsort(at)
     out, free = [], 0
     for i, j in zip(at[by_place].tolist(), source[by_place].tolist(), strict=True):
         if i < free or i - j > MOST_DISTANCE:
@@ -701,130 +705,181 @@ def repeats(pixels: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _entropy(values: np.ndarray, channels: int = 1) -> float:
-    """Bits that values (of several channels: below 256, one after another) take with a prefix code for each channel, and for the
-    codes."""
-    if channels > 1:
-        values = (values.reshape(channels, -1) + np.arange(channels)[:, None] * 256).ravel()
-    n = np.bincount(values)
-    n = n[n > 0]
-    return float(len(values) * np.log2(len(values) / channels) - (n * np.log2(n)).sum()) + 6 * len(n)
+@lru_cache(maxsize=1)
+def _times_log() -> np.ndarray:
+    n = np.arange(1 << 14)
+    return n * np.log2(np.maximum(n, 1))
 
 
-def write_image(out: Writer, pixels: np.ndarray, width: int, main: bool) -> None:
-    """Store an image of ARGB numbers. Copies and a colour cache are used, in the main image, where they save bits."""
-    n = len(pixels)
-    copies = repeats(pixels) if main else []
-    free = np.ones(n, bool)
-    for i, length, _ in copies:
-        free[i : i + length] = False
-    g, r, b, a = (pixels >> shift & 255 for shift in (8, 16, 0, 24))
-    cache_bits, hit = 0, np.zeros(n, bool)
-    if main and n >= 64 and len(copies) <= MOST_SEGMENTS:
-        cache_bits = min(10, n.bit_length() - 1)
-        slot = _slot(pixels, cache_bits)
-        order = np.argsort(slot.astype(np.uint16), kind="stable")
-        hit[order[1:]] = pixels[order[1:]] == pixels[order[:-1]]
-        hit &= free
-        slots = slot[hit]
-        if not len(slots) or len(slots) * (_entropy(np.concatenate((g, r, b, a)), 4) / n - 1) <= _entropy(slots):
-            cache_bits, hit = 0, np.zeros(n, bool)
-    lit = free & ~hit
-    symbol = np.where(lit, g, 0)
-    if cache_bits:
-        symbol[hit] = 256 + N_LENGTHS + slots
-    at = np.array([c[0] for c in copies], np.int64)
+def _bits(n: np.ndarray, total: int) -> np.ndarray:
+    """Bits that symbols of these counts (in the last axis, ``total`` together) take with a prefix code, and for the code."""
+    logs = _times_log().take(n) if total < 1 << 14 else n * np.log2(np.maximum(n, 1))
+    return total * np.log2(max(total, 1)) - logs.sum(-1) + 6 * np.count_nonzero(n, axis=-1)
+
+
+def _channel_bits(channels: np.ndarray) -> np.ndarray:
+    """Bits that each row of bytes takes."""
+    k, n = channels.shape
+    if n > SCAN:
+        counts = np.stack([np.bincount(c, minlength=256) for c in channels])
+    else:
+        counts = np.bincount((channels + (np.arange(k) << 8)[:, None]).ravel(), minlength=k << 8).reshape(k, 256)
+    return _bits(counts, n)
+
+
+def _bytes(pixels: np.ndarray) -> np.ndarray:
+    """A, R, G, B of ARGB numbers in the first axis, as bytes."""
+    return np.ascontiguousarray(pixels.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8)[:, 3::-1].T)
+
+
+class Image:
+    """The tokens of an image of ARGB numbers, and the bits ``before`` it. Copies and a colour cache are used, in the main image, where
+    they save bits."""
+
+    def __init__(self, before: tuple[int, int], pixels: np.ndarray, width: int, main: bool, plain: float | None = None):
+        n = len(pixels)
+        copies = repeats(pixels) if main else []
+        self.symbol, self.lit, self.plain, self.copies = pixels >> 8 & 255, None, pixels, None
+        free = np.ones(n, bool)
+        for i, length, _ in copies:
+            free[i : i + length] = False
+        hit, self.cache_bits = None, 0
+        if main and n >= 64 and len(copies) <= MOST_SEGMENTS:
+            cache_bits = min(10, n.bit_length() - 1)
+            slot = _slot(pixels, cache_bits)
+            order = np.argsort(slot.astype(np.uint16), kind="stable")
+            in_order = pixels[order]
+            found = np.zeros(n, bool)
+            found[order[1:]] = in_order[1:] == in_order[:-1]
+            found &= free
+            slots = slot[found]
+            if len(slots):
+                plain = float(_channel_bits(_bytes(pixels)).sum()) if plain is None else plain
+                if len(slots) * (plain / n - 1) > float(_bits(np.bincount(slots), len(slots))):
+                    hit, self.cache_bits = found, cache_bits
+                    self.symbol[hit] = 256 + N_LENGTHS + slots
+        if copies or hit is not None:
+            lit = free.copy() if hit is None else free & ~hit
+            self.plain = pixels[lit]
+            if copies:
+                at, sizes, away = (np.array(x) for x in zip(*copies, strict=True))
+                short = _short_codes(width)
+                away = np.array([short.get(d, d + 120) for d in away.tolist()])
+                free[at] = True
+                self.symbol, lit = self.symbol[free], lit[free]
+                self.copies = np.cumsum(free)[at] - 1, sizes, away
+            self.lit = np.flatnonzero(lit)
+        value, bits = before
+        if self.cache_bits:
+            value, bits = value | (1 | self.cache_bits << 1) << bits, bits + 4
+        self.before = value, bits + 1 + main
+
+
+def write_streams(streams: list[list[Image]]) -> list[bytes]:
+    """Bits of the images of each stream. The codes and tokens of all are made at once, since each alone is short."""
+    images = [i for s in streams for i in s]
+    k, n = np.array([len(i.symbol) for i in images]), np.array([len(i.plain) for i in images])
+    alphabets = np.array([(256 + N_LENGTHS + (1 << i.cache_bits if i.cache_bits else 0), 256, 256, 256, N_DISTANCES) for i in images])
+    bounds = np.concatenate(([0], np.cumsum(alphabets)))
+    base = bounds[:-1].reshape(-1, 5)
+    first = np.cumsum(k) - k
+    symbol = np.concatenate([i.symbol for i in images]) + np.repeat(base[:, 0], k)
+    plain = np.concatenate([i.plain for i in images])
+    own = np.repeat(base[:, 1], n)
+    coded = [symbol, *((plain >> shift & 255) + (own + 256 * c) for c, shift in enumerate((16, 0, 24)))]
+    copies = [c for c, i in enumerate(images) if i.copies is not None]
     if copies:
-        short = _short_codes(width)
-        sizes = np.array([c[1] for c in copies])
-        away = np.array([short.get(c[2], c[2] + 120) for c in copies])
+        times = [len(images[c].copies[0]) for c in copies]
+        at, sizes, away = (np.concatenate(x) for x in zip(*(images[c].copies for c in copies), strict=True))
         (ls, lx, ln), (ds, dx, dn) = _split_value(sizes), _split_value(away)
-        symbol[at] = 256 + ls
-    starts = free.copy()
-    starts[at] = True
-    alphabet = 256 + N_LENGTHS + (1 << cache_bits if cache_bits else 0)
-    if cache_bits:
-        out.put(1, 1)
-        out.put(cache_bits, 4)
-    else:
-        out.put(0, 1)
-    if main:
-        out.put(0, 1)
-    plain = pixels[lit]
-    counts = [np.bincount(symbol[starts], minlength=alphabet), *(np.bincount(plain >> shift & 255, minlength=256) for shift in (16, 0, 24))]
-    *stored, distances = write_codes(out, [*counts, np.bincount(ds, minlength=N_DISTANCES) if copies else np.zeros(N_DISTANCES, np.int64)])
-    value, bits = stored[0][0][symbol], stored[0][1][symbol]
-    own, wide = value[lit], bits[lit]
-    for (code, size), shift in zip(stored[1:], (16, 0, 24), strict=True):
-        if size.any():
-            channel = plain >> shift & 255
-            own |= code[channel] << wide
-            wide += size[channel]
+        at, ds = at + np.repeat(first[copies], times), ds + np.repeat(base[copies, 4], times)
+        symbol[at] = np.repeat(base[copies, 0], times) + 256 + ls
+        coded.append(ds)
+    table, stored, stored_bits, begin = prefix_codes(sum(np.bincount(c, minlength=int(bounds[-1])) for c in coded), bounds)
+    entry = table.take(symbol)
+    value, bits = entry >> 4, entry & 15
+    lit = np.concatenate([np.arange(a, a + m) if i.lit is None else i.lit + a for i, a, m in zip(images, first.tolist(), k.tolist(), strict=True)])
+    own, wide = value.take(lit), bits.take(lit)
+    for c in coded[1:4]:
+        entry = table.take(c)
+        own |= entry >> 4 << wide
+        wide += entry & 15
     value[lit], bits[lit] = own, wide
     if copies:
-        more, k = value[at], bits[at]
-        more = more | lx << k
-        k = k + ln
-        more = more | distances[0][ds] << k
-        k = k + distances[1][ds]
-        value[at], bits[at] = more | dx << k, k + dn
-    out.put_all(value[starts], bits[starts])
-
-
-def _without_left(p: np.ndarray) -> np.ndarray:
-    """Residuals (A, R, G, B in the first axis) against the pixel to the left, in the first column that above."""
-    out = p.copy()
-    out[:, :, 1:] -= p[:, :, :-1]
-    out[:, 1:, 0] -= p[:, :-1, 0]
-    out[0, 0, 0] -= 255
-    return out & 255
-
-
-def encode_image(pixels: np.ndarray, width: int) -> bytes:
-    """A stream of an image of ARGB numbers. Of the pixels as they are, a palette, differences to the left neighbour and red and
+        more, wide, entry = value[at] | lx << bits[at], bits[at] + ln, table[ds]
+        more, wide = more | entry >> 4 << wide, wide + (entry & 15)
+        value[at], bits[at] = more | dx << wide, wide + dn
+    # each stream begins with a new word
+    before, before_bits = np.array([i.before for i in images]).T
+    code_bits = np.add.reduceat(stored_bits, begin[::5])
+    image_bits = before_bits + code_bits + np.add.reduceat(bits, first)
+    held = np.array([len(s) for s in streams])
+    total = np.add.reduceat(image_bits, np.cumsum(held) - held)
+    parts, part_bits, i = [], [], 0
+    begin, ends = [*begin[::5].tolist(), len(stored)], [*first.tolist(), len(value)]
+    fill = -total & 63
+    nothing = np.zeros(1, np.int64)
+    for x, s in enumerate(streams):
+        for _ in s:
+            parts += before[i : i + 1], stored[begin[i] : begin[i + 1]], value[ends[i] : ends[i + 1]]
+            part_bits += before_bits[i : i + 1], stored_bits[begin[i] : begin[i + 1]], bits[ends[i] : ends[i + 1]]
+            i += 1
+        parts.append(nothing)
+        part_bits.append(fill[x : x + 1])
+    words = memoryview(packed(np.concatenate(parts), np.concatenate(part_bits))).cast("B")
+    at = 8 * (np.cumsum(total + fill) - total - fill >> 6)
+    return [bytes(words[a : a + n]) for a, n in zip(at.tolist(), (-(-total // 8)).tolist(), strict=True)]
+
+
+def image_parts(pixels: np.ndarray, width: int) -> list[Image]:
+    """The images of a stream of ARGB numbers. Of the pixels as they are, a palette, differences to the left neighbour and red and
     blue without green, that which takes the fewest bits is stored."""
     height, n = len(pixels) // width, len(pixels)
-    out = Writer()
-    for value, k in ((0x2F, 8), (width - 1, 14), (height - 1, 14), (1, 1), (0, 3)):
-        out.put(value, k)
-    argb = np.concatenate([pixels >> shift & 255 for shift in (24, 16, 8, 0)])
-    a, r, g, b = argb.reshape(4, n)
-    colours = np.unique(pixels[:1024])
+    value, bits = 0x2F | width - 1 << 8 | height - 1 << 22 | 1 << 36, 40
+    rows = np.empty((10, n), np.uint8)
+    rows[:4] = _bytes(pixels)
+    a, r, g, b = rows[:4]
+    np.subtract(rows[1:4:2], g, out=rows[4:6])
+    # residuals against the pixel to the left, in the first column that above
+    left = rows[6:]
+    left[:, :1] = rows[:4, :1] - np.array([[255], [0], [0], [0]], np.uint8)
+    np.subtract(rows[:4, 1:], rows[:4, :-1], out=left[:, 1:])
+    left[:, width::width] = rows[:4, width::width] - rows[:4, :-width:width]
+    colours = np.sort(pixels[:1024])
+    colours = colours[np.concatenate(([True], colours[1:] != colours[:-1]))]
     if len(colours) <= 256 and n > 1024:
         colours = np.unique(pixels)
     bits_each = 1 if len(colours) <= 2 else 2 if len(colours) <= 4 else 4 if len(colours) <= 16 else 8
-    left = _without_left(argb.reshape(4, height, width))
-    options = {"plain": _entropy(argb, 4), "green": _entropy(np.concatenate((a, g, r - g & 255, b - g & 255)), 4) + 60, "left": _entropy(left, 4) + 60}
+    each = _channel_bits(rows)
+    plain, green, shifted = (float(each[x].sum()) for x in ([0, 1, 2, 3], [0, 2, 4, 5], [6, 7, 8, 9]))
+    options = {"plain": plain, "green": green + 60, "left": shifted + 60}
     if len(colours) <= 256:
         index = np.searchsorted(colours, pixels)
-        options["palette"] = (n * bits_each if bits_each < 8 else _entropy(index)) + 26 * len(colours) + 60
+        options["palette"] = (n * bits_each if bits_each < 8 else float(_bits(np.bincount(index), n))) + 26 * len(colours) + 60
     best = min(options, key=options.get)
 
-    if best == "left":
-        for value, k in ((1, 1), (0, 2), (7, 3)):
-            out.put(value, k)
-        write_image(out, np.full(_blocks(width, 9) * _blocks(height, 9), 1 << 8), 1, False)
-        pixels = _numbers(np.moveaxis(left, 0, -1))
+    images, main_bits = [], options[best] - 60
+    blocks = _blocks(width, 9) * _blocks(height, 9)
+    if best == "plain":
+        main_bits = plain
+    elif best == "left":
+        images.append(Image((value | (1 | 7 << 3) << bits, bits + 6), np.full(blocks, 1 << 8), 1, False))
+        pixels = _numbers(left.T.astype(np.int64))
     elif best == "green":
-        for value, k in ((1, 1), (1, 2), (7, 3)):
-            out.put(value, k)
-        write_image(out, np.full(_blocks(width, 9) * _blocks(height, 9), 32 << 8 | 32), 1, False)  # red and blue get 32 / 32 of green
-        signed = _signed(g)
-        pixels = _numbers(np.stack((a, r - signed & 255, g, b - signed & 255), -1))
-    elif best == "palette":
-        for value, k in ((1, 1), (3, 2), (len(colours) - 1, 8)):
-            out.put(value, k)
+        # red and blue get 32 / 32 of green
+        images.append(Image((value | (1 | 1 << 1 | 7 << 3) << bits, bits + 6), np.full(blocks, 32 << 8 | 32), 1, False))
+        pixels = _numbers(rows[[0, 4, 2, 5]].T.astype(np.int64))
+    else:
         steps = _channels(colours)
         steps[1:] -= steps[:-1].copy()
-        write_image(out, _numbers(steps & 255), len(colours), False)
+        images.append(Image((value | (1 | 3 << 1 | len(colours) - 1 << 3) << bits, bits + 11), _numbers(steps & 255), len(colours), False))
         per = 8 // bits_each
-        packed = -(-width // per)
-        index = np.pad(index.reshape(height, width), ((0, 0), (0, packed * per - width))).reshape(height, packed, per)
+        packed_width = -(-width // per)
+        index = np.pad(index.reshape(height, width), ((0, 0), (0, packed_width * per - width))).reshape(height, packed_width, per)
         pixels = ((index << (np.arange(per) * bits_each)).sum(-1) << 8).ravel() | 255 << 24
-        width = packed
-    out.put(0, 1)
-    write_image(out, pixels, width, True)
-    return out.packed()
+        width, main_bits = packed_width, None
+    images.append(Image((0, 1) if images else (value, bits + 1), pixels, width, True, main_bits))
+    return images
 
 
 def wrap(stream: bytes, more: bytes = b"") -> bytes:
@@ -832,20 +887,42 @@ def wrap(stream: bytes, more: bytes = b"") -> bytes:
     return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
-def encode_payload(payload: bytes) -> bytes:
-    """A payload of a positive multiple of 64 bytes as a lossless WebP file; more than MOST_PAYLOAD bytes as several, one after
-    another."""
-    if not payload or len(payload) % ROW_BYTES:
+def encode_payloads(payloads: list[bytes]) -> list[bytes]:
+    """Each payload of a positive multiple of 64 bytes as a lossless WebP file; more than MOST_PAYLOAD bytes as several, one after
+    another. Payloads of up to BATCH bytes together are written at once."""
+    if any(not p or len(p) % ROW_BYTES for p in payloads):
         raise ValueError("a payload is a positive multiple of 64 bytes")
-    if len(payload) > MOST_PAYLOAD:
-        return b"".join(encode_payload(payload[i : i + MOST_PAYLOAD]) for i in range(0, len(payload), MOST_PAYLOAD))
-    rows = len(payload) // ROW_BYTES
-    factor = -(-rows // MAX_SIDE)
-    width, height, more = 16 * factor, -(-rows // factor), b""
-    if 4 * width * height != len(payload):
-        more = b"SIZE" + struct.pack("<IQ", 8, len(payload))
-        payload = payload.ljust(4 * width * height, b"\0")
-    return wrap(encode_image(turned(np.frombuffer(payload, "<u4").astype(np.int64)), width), more)
+    files, streams, extras, held, waiting = [b""] * len(payloads), [], [], [], 0
+
+    def write():
+        for i, stream, more in zip(held, write_streams(streams), extras, strict=True):
+            files[i] += wrap(stream, more)
+        for x in (held, streams, extras):
+            x.clear()
+
+    for i, whole in enumerate(payloads):
+        for at in range(0, len(whole), MOST_PAYLOAD):
+            payload, more = whole[at : at + MOST_PAYLOAD], b""
+            if held and waiting + len(payload) > BATCH:
+                write()
+                waiting = 0
+            waiting += len(payload)
+            rows = len(payload) // ROW_BYTES
+            factor = -(-rows // MAX_SIDE)
+            width, height = 16 * factor, -(-rows // factor)
+            if 4 * width * height != len(payload):
+                more = b"SIZE" + struct.pack("<IQ", 8, len(payload))
+                payload = payload.ljust(4 * width * height, b"\0")
+            held.append(i)
+            extras.append(more)
+            streams.append(image_parts(turned(np.frombuffer(payload, "<u4").astype(np.int64)), width))
+    if held:
+        write()
+    return files
+
+
+def encode_payload(payload: bytes) -> bytes:
+    return encode_payloads([payload])[0]
 
 
 def decode_payload(data: bytes) -> bytes:
@@ -880,7 +957,7 @@ def to_media(docs: DataFrame) -> DataFrame:
     def rows(batches):
         for batch in slices(batches):
             texts = [(t or "").encode() for t in batch.column(1).to_pylist()]
-            yield [batch.column(0), [len(t) for t in texts], [encode_payload(padded(t)) for t in texts]]
+            yield [batch.column(0), [len(t) for t in texts], encode_payloads([padded(t) for t in texts])]
 
     return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id long, n_bytes long, media binary", rows)
 

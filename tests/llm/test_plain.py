@@ -243,3 +243,16 @@ def test_long_texts_are_deduplicated(spark):
         want.append((len(t), int(gone.sum()), int((gone & ~np.r_[False, gone[:-1]]).sum()), hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest()))
     df = spark.createDataFrame([(0, a), (1, b)], "doc_id long, text string")
     assert [tuple(r)[1:5] for r in suffixdedup.dedup(df, with_kept=False).orderBy("doc_id").collect()] == want
+
+
+def test_payloads_are_written_together(monkeypatch):
+    """Codes of short payloads are made at once, and each file is what its payload gives alone."""
+    rng = random.Random(8)
+    payloads = [webp.padded(long_text(rng, rng.randint(1, 200)).encode()) for _ in range(40)]
+    payloads += [bytes(64), bytes(range(256)) * 9, rng.randbytes(6400), rng.randbytes(3200) * 2]
+    alone, made, real = [webp.encode_payload(p) for p in payloads], [], webp.prefix_codes
+    monkeypatch.setattr(webp, "prefix_codes", lambda *a: (made.append(1), real(*a))[1])
+    assert webp.encode_payloads(payloads) == alone and len(made) == 1
+    monkeypatch.setattr(webp, "BATCH", 1000)
+    assert webp.encode_payloads(payloads) == alone and webp.encode_payloads([]) == []
+    assert [webp.decode_payload(f) for f in alone] == payloads
